@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from .chat import op10_chat_formatting
 from .packing import op6_packing
+from .quality import op4_quality_rules
 from .token_output import op9_token_output
 
 QUERIES = {
+    "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
     "op9_token_output": op9_token_output,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 ORACLE_SQL: dict[str, str] = {}
