@@ -5,11 +5,13 @@ from __future__ import annotations
 from .chat import op10_chat_formatting
 from .packing import op6_packing
 from .quality import op4_quality_rules
+from .simhash import op7_simhash
 from .token_output import op9_token_output
 
 QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
+    "op7_simhash": op7_simhash,
     "op9_token_output": op9_token_output,
     "op10_chat_formatting": op10_chat_formatting,
 }
