@@ -192,14 +192,28 @@ class BatchEncoder:
         if block:
             yield block
 
-    def leaves(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """Characters and ids of each pre-token of a sure text."""
-        if not text:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        whole, starts, stops, key, _ = self._split([text])
-        distinct, first, inverse = np.unique(key, return_index=True, return_inverse=True)
-        _, size = self._known(distinct, whole, starts[first], stops[first])
-        return stops - starts, size[inverse]
+    def leaves(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
+        """Characters and number of ids of each text's pre-tokens; None for a text that is not sure."""
+        out: list = [None] * len(texts)
+        none = np.zeros(0, np.int64)
+        sure = [i for i, t in enumerate(texts) if t and self.sure(t)]
+        for i, text in enumerate(texts):
+            if not text:
+                out[i] = (none, none)
+        at = 0
+        while at < len(sure):
+            stop, size = at, 0
+            while stop < len(sure) and size < BLOCK:
+                size += len(texts[sure[stop]])
+                stop += 1
+            whole, starts, stops, key, ends = self._split([texts[i] for i in sure[at:stop]])
+            distinct, first, inverse = np.unique(key, return_index=True, return_inverse=True)
+            sizes = self._known(distinct, whole, starts[first], stops[first])[1][inverse]
+            chars, cuts = stops - starts, np.searchsorted(starts, np.concatenate([[0], ends])).tolist()
+            for i, a, b in zip(sure[at:stop], cuts, cuts[1:]):
+                out[i] = (chars[a:b], sizes[a:b])
+            at = stop
+        return out
 
 
 _table: list[np.ndarray] = []

@@ -6,9 +6,11 @@ from .chat import op10_chat_formatting
 from .packing import op6_packing
 from .quality import op4_quality_rules
 from .simhash import op7_simhash
+from .token_counts import op3_token_counts
 from .token_output import op9_token_output
 
 QUERIES = {
+    "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
