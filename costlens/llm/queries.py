@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import op10_chat_formatting
+from .language_model import op8_lm_scoring
 from .packing import op6_packing
 from .quality import op4_quality_rules
 from .simhash import op7_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_token_output": op9_token_output,
     "op10_chat_formatting": op10_chat_formatting,
 }
