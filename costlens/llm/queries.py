@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .chat import op10_chat_formatting
 from .language_model import op8_lm_scoring
+from .line_dedup import op1_line_dedup
 from .packing import op6_packing
 from .quality import op4_quality_rules
 from .simhash import op7_simhash
@@ -11,6 +12,7 @@ from .token_counts import op3_token_counts
 from .token_output import op9_token_output
 
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op6_packing": op6_packing,
