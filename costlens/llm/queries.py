@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chat import op10_chat_formatting
+from .decontamination import op5_decontamination
 from .language_model import op8_lm_scoring
 from .line_dedup import op1_line_dedup
 from .packing import op6_packing
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
+    "op5_decontamination": op5_decontamination,
     "op6_packing": op6_packing,
     "op7_simhash": op7_simhash,
     "op8_lm_scoring": op8_lm_scoring,
