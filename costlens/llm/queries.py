@@ -9,11 +9,13 @@ from .line_dedup import op1_line_dedup
 from .packing import op6_packing
 from .quality import op4_quality_rules
 from .simhash import op7_simhash
+from .suffix_dedup import op2_suffix_dedup
 from .token_counts import op3_token_counts
 from .token_output import op9_token_output
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
     "op4_quality_rules": op4_quality_rules,
     "op5_decontamination": op5_decontamination,
