@@ -74,7 +74,8 @@ def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
         chosen = best.select("root", F.explode("leaf").alias("leaf"))
     on_path = chosen.select("leaf", F.col("leaf").alias("node"))
     for link in links:
-        on_path = on_path.unionByName(on_path.join(link, "node").select("leaf", F.col("up").alias("node")))
+        # written each time: the step refers to itself twice, so that the plan would double
+        on_path = cut(on_path.unionByName(on_path.join(link, "node").select("leaf", F.col("up").alias("node"))), "paths")
     return on_path.join(reach.select("node", "depth", "root"), "node")
 
 
