@@ -197,19 +197,30 @@ def verdict(rules: list[list[Test]]) -> Column:
     return F.lit(True) if out is None else out.otherwise(True)
 
 
+def labelled(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+    """Labels (doc_id, quality) that teach: ``limit`` at most, chosen by a hash, the same ones in every run."""
+    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit)
+
+
 def teach(stats: DataFrame, labels: DataFrame, limit: int = LABELLED) -> list[list[Test]]:
-    """Learns from labels (doc_id, quality: 0 is bad) of documents that the base rules keep; ``limit`` bounds how many."""
-    chosen = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
-    # by a hash of the id and the label, the same ones in every run
-    chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit)
+    """Learns from labels (quality 0 is bad) of documents that the base rules keep; ``limit`` bounds how many."""
     columns = [feature_column(*f).alias(f"f{i}") for i, f in enumerate(FEATURES)]
-    rows = stats.where(~base_failed()).join(F.broadcast(chosen), "doc_id").select("quality", *columns)
+    rows = stats.where(~base_failed()).join(F.broadcast(labelled(labels, limit)), "doc_id").select("quality", *columns)
     rows = rows.orderBy(*rows.columns).limit(2 * limit).toPandas()
     if rows.empty:
         return []
     return learn(rows.iloc[:, 1:].to_numpy(np.float64), rows["quality"].to_numpy() == 0)
 
 
+def apply_to(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
+    """The rows of ``docs`` that the base rules and the learned list keep."""
+    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(labelled(labels, limit)), "doc_id", "left_semi")
+    rules = teach(with_statistics(taught, ["doc_id"]), labels, limit)
+    whole = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_document"), "text")
+    return with_statistics(whole, ["_document"]).where(~base_failed() & verdict(rules)).select("_document.*")
+
+
 def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, the statistics, base_failed and kept of each row of ``docs``, with what else its columns hold but text."""
     keep = [c for c in docs.columns if c not in {"text", *BASE, *MORE, "base_failed", "kept"}]

@@ -215,21 +215,32 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     return found.unionByName(through).distinct()
 
 
-def near_duplicates(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> DataFrame:
-    """Columns ``keep`` of ``docs``, fp, and component_id: the least doc_id that links reach."""
+def grouped(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """Columns ``keep`` (doc_id among them) and fp of each row of ``docs``; and of each fingerprint its component, a
+    fingerprint, and the least doc_id that the component reaches."""
     rows = cut(with_fingerprint(docs, keep, shingle), "fingerprints")
-    prints = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    prints = cut(prints, "prints")
+    prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = cut(components(links(prints.select("fp"))), "components")
     members = found.withColumnRenamed("vertex", "fp").join(prints, "fp")
     ids = members.groupBy("component").agg(F.min("least").alias("component_id"))
-    members = members.join(ids, "component").select("fp", "component_id")
-    # only fingerprints that are linked or shared say more than the row itself
-    known = prints.join(members, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.join(known, "fp")
+    linked = members.join(ids, "component").select("fp", "component", "component_id")
+    known = prints.join(linked, "fp", "left")
+    return rows, known.select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "least").alias("component_id"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """One row of ``docs`` for each component: that of least doc_id, of equal ones that of least text hash."""
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row"), "text")
+    rows, known = grouped(named, ["doc_id", "row"], shingle)
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
+    chosen = rows.join(known, "fp").groupBy("component").agg(best).select(F.col("best.doc_id").alias("_doc"), F.col("best.row").alias("_row"))
+    keyed = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_text": F.xxhash64(text_or_empty())})
+    kept = keyed.join(chosen, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_row")), "left_semi")
+    return kept.dropDuplicates(["_key", "_text"]).select(*docs.columns)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = near_duplicates(docs, ["doc_id"])
+    rows, known = grouped(docs, ["doc_id"])
+    out = rows.join(known, "fp")
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
