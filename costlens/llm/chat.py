@@ -48,15 +48,19 @@ def unescaped(text: str) -> str:
 
 def depths(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
     """Depth, root and score sum of each node (node, parent, score), and the links of reach 1, 2, 4, ..."""
-    state = nodes.select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"), F.when(F.col("parent").isNull(), F.col("node")).alias("root"))
-    links = []
-    while True:
-        state = cut(state, "links")
-        if state.where(F.col("up").isNotNull()).isEmpty():
-            return state.drop("up"), links
-        links.append(state.where(F.col("up").isNotNull()).select("node", "up"))
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("up_"), F.col("depth").alias("d_"), F.col("total").alias("t_"), F.col("root").alias("r_"))
-        state = state.join(above, "up", "left").select("node", F.col("up_").alias("up"), (F.col("depth") + F.coalesce("d_", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("t_", F.lit(0.0))).alias("total"), F.coalesce("root", "r_").alias("root"))
+    names = ["node", "up", "depth", "total", "root"]
+    active = cut(nodes.select("node", F.col("parent").alias("up"), F.lit(1).cast("long").alias("depth"), F.col("score").alias("total"), F.when(F.col("parent").isNull(), F.col("node")).alias("root")), "links")
+    done, links = active.where(F.col("up").isNull()), []
+    active = active.where(F.col("up").isNotNull())
+    while not active.isEmpty():
+        links.append(active.select("node", "up"))
+        # a node that has met its root is done; only the others go on
+        above = active.unionByName(done).select(F.col("node").alias("up"), F.col("up").alias("up_"), F.col("depth").alias("d_"), F.col("total").alias("t_"), F.col("root").alias("r_"))
+        met = active.join(above, "up").select("node", F.col("up_").alias("up"), (F.col("depth") + F.col("d_")).alias("depth"), (F.col("total") + F.col("t_")).alias("total"), F.col("r_").alias("root"))
+        met = cut(met.select(*names), "links")
+        done = done.unionByName(met.where(F.col("up").isNull()))
+        active = met.where(F.col("up").isNotNull())
+    return done.drop("up"), links
 
 
 def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
@@ -72,10 +76,10 @@ def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     else:
         best = leaves.groupBy("root").agg(F.max_by("node", rank, F.lit(keep)).alias("leaf"))
         chosen = best.select("root", F.explode("leaf").alias("leaf"))
-    on_path = chosen.select("leaf", F.col("leaf").alias("node"))
+    on_path = cut(chosen.select("leaf", F.col("leaf").alias("node")), "paths")
     for link in links:
-        # written each time: the step refers to itself twice, so that the plan would double
-        on_path = cut(on_path.unionByName(on_path.join(link, "node").select("leaf", F.col("up").alias("node"))), "paths")
+        # written each time: a step refers to all before it, so that the plan would double
+        on_path = on_path.unionByName(cut(on_path.join(link, "node").select("leaf", F.col("up").alias("node")), "paths"))
     return on_path.join(reach.select("node", "depth", "root"), "node")
 
 
