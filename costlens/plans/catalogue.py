@@ -1,10 +1,248 @@
-"""The registered queries and their SQL."""
+"""The registered queries: operators on frames made from the provided tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from ..functions import json_text, scalars
+from ..functions.masks import Terms
+from ..operators import audit, entities, extraction, reports, views
+from ..sources.tables import ENV_TERMS, REG_TERMS, TECH_TERMS, entity_names, named_resources, rollup_costs, table
+from .oracles import ORACLE_SQL as ORACLE_SQL
+
+TERMS = Terms.of(TECH_TERMS, ENV_TERMS, REG_TERMS)
+#: The audited month.
+YEAR, MONTH = 1996, "12"
+
+
+def _rounded(frame: DataFrame, digits: int = 6) -> DataFrame:
+    """Doubles to ``digits`` places, so that engines that add in another order agree."""
+    return frame.select(*(F.round(c, digits).alias(c) if k == "double" else F.col(c) for c, k in frame.dtypes))
+
+
+def resources_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.resources_per_day(rollup_costs(spark, sf_dir))
+
+
+def resources_per_day_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.resources_per_day_json(resources_per_day(spark, sf_dir))
+
+
+def state_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.resource_daily_aggregated_state(resources_per_day_json(spark, sf_dir))
+
+
+def monthly_resource_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.monthly(resources_per_day_json(spark, sf_dir), YEAR, MONTH)
+
+
+def tags_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = named_resources(spark, sf_dir)
+    return views.tags_index(rows, ["ResourceId", "BillingAccountName", "SubAccountName"])
+
+
+def tag_json_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = json_text.tag_pairs(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", F.size(pairs).cast("long").alias("n_pairs"), F.array_join(F.transform(pairs, lambda p: F.concat(p["key"], F.lit("="), p["value"])), ";").alias("pairs"))
+
+
+def resource_group_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = rollup_costs(spark, sf_dir).select("ResourceId").distinct()
+    return ids.select("ResourceId", views.day_resource_group(F.col("ResourceId")).alias("day_group"), views.month_resource_group(F.col("ResourceId")).alias("month_group"))
+
+
+def date_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 6
+    day, iso = F.date_format("o_orderdate", "yyyy-MM-dd"), F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")
+    text = F.when(k == 0, day).when(k == 1, F.concat(iso, F.lit("Z"))).when(k == 2, F.concat(iso, F.lit("+02:00"))).when(k == 3, F.lit(" ")).when(k == 4, F.concat(F.lit("not "), day)).otherwise(F.concat(F.replace(iso, F.lit("T"), F.lit(" ")), F.lit(" UTC")))
+    return orders.select("o_orderkey", F.to_timestamp_ntz(F.date_format(scalars.to_time(text), "yyyy-MM-dd HH:mm:ss")).alias("parsed"))
+
+
+def decimal_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders, k = table(spark, sf_dir, "orders"), F.col("o_orderkey") % 5
+    cents = (F.col("o_totalprice") * 100).cast("long")
+    plain = F.concat((cents / 100).cast("long").cast("string"), F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    text = F.when(k == 0, F.concat(F.lit("$"), plain)).when(k == 1, F.concat(F.lit("1,"), F.lpad((cents % 1000).cast("string"), 3, "0"))).when(k == 2, "no number").when(k == 3, "1000000").otherwise(plain)
+    return orders.select("o_orderkey", scalars.to_cost(text).cast("decimal(18,4)").alias("cost"))
+
+
+def charge_period_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    end = F.when(F.col("l_linenumber") == 4, None).otherwise(F.col("l_shipdate") + F.make_dt_interval(days=F.col("l_linenumber") % 3))
+    return lines.select(scalars.is_daily_period(F.col("l_shipdate"), end).alias("daily"), "l_linenumber").groupBy("l_linenumber", "daily").agg(F.count("*").alias("n"))
+
+
+def null_safe_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = audit.without_excluded(named_resources(spark, sf_dir))
+    return kept.groupBy("ResourceType").agg(F.count("*").alias("n"))
+
+
+def entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(table(spark, sf_dir, "pages").select("page_id", scalars.entropy(F.col("url")).alias("entropy")))
+
+
+def report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.report(named_resources(spark, sf_dir), TERMS)
+
+
+def mask_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = ["ResourceId", "MaskedName", "ResidualPreview", "OriginalLength", "RemovedChars", "PercentRemoved", "ResidualLength", "EntropyOriginal", "EntropyResidual", "MaskHitsTotal", "MaskHitsGuid", "MaskHitsHex", "MaskHitsTech", "MaskHitsEnv", "MaskHitsReg", "MaskHitsNum"]
+    rows = report(spark, sf_dir).select(*names)
+    return _rounded(rows.select(*(F.col(c).cast("long").alias(c) if k == "int" else F.col(c) for c, k in rows.dtypes)))
+
+
+def phase1_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(spark, sf_dir).select("ResourceId", "OverstripFlag", "AcronymOnlyResidual", "HeavyScaffold", "IsGlued", "EnvConflict")
+
+
+def embedded_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(spark, sf_dir).where("IsGlued").select("ResourceId", F.array_join("EmbeddedEnvList", "|").alias("env"), F.array_join("EmbeddedTechList", "|").alias("tech"))
+
+
+def protect_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = audit.protect_by_frequency(report(spark, sf_dir), TERMS)
+    return found.select("Chunk", "DisplayForm", F.col("Length").cast("long").alias("Length"), "SupportNames", "SpreadSubAccounts", "SpreadResourceGroups", "SampleName1", "SampleName2")
+
+
+def _cost_set(rows: DataFrame) -> DataFrame:
+    return audit.protect_by_cost(rows, TERMS)
+
+
+def protect_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _cost_set(report(spark, sf_dir))
+    return _rounded(found.select("Chunk", "DisplayForm", "SupportNames", F.col("TotalCost").cast("decimal(38,4)").alias("TotalCost"), "CostPercentOfTotal"))
+
+
+def protect_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = report(spark, sf_dir).persist()
+    both = reports.protect_categories(audit.protect_combined(audit.protect_by_frequency(rows, TERMS), _cost_set(rows)), 1)
+    return _rounded(both.select("Chunk", "SupportNames", F.col("TotalCost").cast("decimal(38,4)").alias("TotalCost"), "InFrequencySet", "InCostSet", "category", "log_support", F.round("log_cost", 4).alias("log_cost"), F.col("scaled_spread").cast("long").alias("scaled_spread")))
+
+
+def suggested_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = report(spark, sf_dir).persist()
+    found = audit.suggested_entities(rows, audit.protect_by_frequency(rows, TERMS).select("Chunk"))
+    return found.select("entity_name", F.size("found_in_chunks").cast("long").alias("n_names"), F.md5(F.array_join("found_in_chunks", "|")).alias("names_md5"))
+
+
+def _covered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rows = report(spark, sf_dir).persist()
+    chunks = [r[0] for r in audit.protect_by_frequency(rows, TERMS).select("Chunk").collect()]  # capped at 500
+    return rows, audit.glued_coverage(rows, chunks, TERMS)
+
+
+def glued_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _covered(spark, sf_dir)[1].select("ResourceId", "GluedExplained", F.col("CoverageFailOffset").cast("long").alias("CoverageFailOffset"), "GluedMaskedString")
+
+
+def corpus_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, covered = _covered(spark, sf_dir)
+    return _rounded(audit.corpus_rollup(rows.join(covered.select("ResourceId", "GluedExplained"), "ResourceId", "left")))
+
+
+def topn_scopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = audit.corpus_rollup(report(spark, sf_dir).withColumn("GluedExplained", F.lit(None).cast("boolean")))
+    return _rounded(reports.extremes(rows, "BillingAccountName", "PctRemovedMean", 15))
+
+
+def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.top_tokens(report(spark, sf_dir), TERMS)
+
+
+def residue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = report(spark, sf_dir).persist()
+    chunks = audit.protect_by_frequency(rows, TERMS).select("Chunk").where(F.length("Chunk") > 5)
+    return extraction.clean_residues(rows, chunks).groupBy("residue").agg(F.count("*").alias("n"))
+
+
+def extracted_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = report(spark, sf_dir)
+    found = extraction.by_entity(extraction.extract(extraction.clean_residues(rows, spark.createDataFrame([], "Chunk string"))))
+    return found.select("entity_name", F.size("found_in_chunks").cast("long").alias("n_residues"))
+
+
+def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(entities.similar_pairs(entities.gram_weights(entity_names(spark, sf_dir))))
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    names = entity_names(spark, sf_dir)
+    return names, entities.links(entities.similar_pairs(entities.gram_weights(names)))
+
+
+def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_edges(spark, sf_dir)[1])
+
+
+def components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.components(_edges(spark, sf_dir)[1])
+
+
+def entity_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(entities.groups(*_edges(spark, sf_dir)), 3)
+
+
+def _suggestions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two lists over the entity names: every name with its first word, and every third with its last."""
+    names = entity_names(spark, sf_dir)
+    words = F.split("name", " ")
+    none = F.array().cast("array<string>")
+    p2 = names.select(F.col("name").alias("entity_name"), none.alias("abbreviations"), F.array(words[0]).alias("found_in_chunks"))
+    p3 = names.where(F.col("index") % 3 == 0).select(F.col("name").alias("entity_name"), F.array(F.substring("name", 1, 3)).alias("abbreviations"), F.array(F.element_at(words, -1)).alias("found_in_chunks"))
+    return p2, p3
+
+
+def entity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = entities.merge(*_suggestions(spark, sf_dir))
+    return merged.select("entity_name", *(F.array_join(c, "|").alias(c) for c in ("abbreviations", "found_in_chunks", "validation_source")))
+
+
+def _master(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    members = entities.groups(*_edges(spark, sf_dir)).persist()
+    return members, *entities.master(entities.merge(*_suggestions(spark, sf_dir)), members)
+
+
+def master_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    grouped = _master(spark, sf_dir)[1]
+    return grouped.select("canonical", F.array_join("abbreviations", "|").alias("abbreviations"), F.array_join("found_in_chunks", "|").alias("found_in_chunks"), "status", F.size("members").cast("long").alias("n_members"))
+
+
+def _costs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    members, grouped, distinct = _master(spark, sf_dir)
+    every = grouped.select(F.col("canonical").alias("entity_name"), "found_in_chunks", F.size("members").alias("num_members")).unionByName(distinct.select("entity_name", "found_in_chunks", F.lit(0).alias("num_members")))
+    return members, distinct, entities.entity_costs(every, named_resources(spark, sf_dir))
+
+
+def entity_cost_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    costs = _costs(spark, sf_dir)[2]
+    return _rounded(costs.select("entity_name", F.col("num_members").cast("long").alias("num_members"), F.col("cost").cast("decimal(38,4)").alias("cost"), "cost_pct_of_total", "cumulative_cost_pct"), 4)
+
+
+def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(entities.scorecard(*_costs(spark, sf_dir)))
+
+
+def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.histogram(report(spark, sf_dir), "ResidualLength", 50)
+
+
+def density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.density(report(spark, sf_dir), "OriginalLength", "ResidualLength")
+
+
+def box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(reports.box(report(spark, sf_dir).withColumn("RemovedChars", F.col("RemovedChars").cast("double")), "SubAccountName", "RemovedChars"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f
+    for f in (
+        resources_per_day, resources_per_day_json, state_hashes, monthly_resource_cost, tags_index, tag_json_parse, resource_group_extract, date_parse, decimal_parse,
+        charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
+        glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
+        master_groups, entity_cost_coverage, scorecard, histogram, density, box,
+    )
+}
