@@ -169,8 +169,8 @@ def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    names = entity_names(spark, sf_dir)
-    return names, entities.links(entities.similar_pairs(entities.gram_weights(names)))
+    names = entity_names(spark, sf_dir).persist()
+    return names, entities.links(entities.similar_pairs(entities.gram_weights(names).persist())).persist()
 
 
 def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -213,7 +213,7 @@ def master_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _costs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     members, grouped, distinct = _master(spark, sf_dir)
     every = grouped.select(F.col("canonical").alias("entity_name"), "found_in_chunks", F.size("members").alias("num_members")).unionByName(distinct.select("entity_name", "found_in_chunks", F.lit(0).alias("num_members")))
-    return members, distinct, entities.entity_costs(every, named_resources(spark, sf_dir))
+    return members, distinct, entities.entity_costs(every.persist(), named_resources(spark, sf_dir).persist()).persist()
 
 
 def entity_cost_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
