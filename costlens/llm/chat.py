@@ -22,7 +22,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import cut, table
@@ -74,8 +74,8 @@ def paths(nodes: DataFrame, keep: int = 1) -> DataFrame:
     if keep == 1:
         chosen = leaves.groupBy("root").agg(F.max_by("node", rank).alias("leaf"))
     else:
-        best = leaves.groupBy("root").agg(F.max_by("node", rank, F.lit(keep)).alias("leaf"))
-        chosen = best.select("root", F.explode("leaf").alias("leaf"))
+        place = F.row_number().over(Window.partitionBy("root").orderBy(rank.desc()))
+        chosen = leaves.select("root", F.col("node").alias("leaf"), place.alias("place")).where(F.col("place") <= keep).drop("place")
     on_path = cut(chosen.select("leaf", F.col("leaf").alias("node")), "paths")
     for link in links:
         # written each time: a step refers to all before it, so that the plan would double
