@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalized
+from ..sources.store import scratch
 
 DUPLICATE, RELATED, CONFIDENT, TOP_K = 0.92, 0.80, 0.95, 5
 GRAMS = (3, 5)
@@ -71,9 +72,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     spark = edges.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costlens-"))
+        spark.sparkContext.setCheckpointDir(scratch(spark))
     both = edges.select("i", "j").unionByName(edges.select(F.col("j").alias("i"), F.col("i").alias("j"))).checkpoint()
     labels = both.select(F.col("i").alias("node")).distinct().withColumn("component", F.col("node")).checkpoint()
     while True:

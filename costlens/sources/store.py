@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,15 @@ from ..functions.masks import Terms
 DEFAULTS = {"exclusions": "vm sql aks db adf nsg vnet disk storage", "environments": "prod dev test uat qa stage staging preprod", "regions": "weu neu eus wus northeurope westeurope eastus westus"}
 
 
+def scratch(spark: SparkSession) -> str:
+    """The folder that driver and executors share, or one of its own where the session names none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costlens-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
+
 def month_path(base: str, tenant: str, stem: str, year: int, month: str, phase: str, suffix: str) -> str:
     return f"{base.rstrip('/')}/{tenant}/audit/{stem}.{year}_{month}.{phase}.{suffix}"
 
