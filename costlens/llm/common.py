@@ -20,11 +20,25 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+#: Spark's setting by which a finished query deletes its own shuffle files.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: executors lost later do not cost what it took to make it."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a Parquet table in the shared folder: executors lost later do not cost what it took to make it. Its
+    shuffle files go when it is written; nothing reads them again."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def partitions(spark: SparkSession) -> int:

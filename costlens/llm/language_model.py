@@ -250,7 +250,6 @@ def scored(docs: DataFrame) -> DataFrame:
     dealt = rows.repartitionById(parts, F.col("target")).sortWithinPartitions("doc_id", "text")
     asked = dealt.select("doc_id", "text", (~F.col("held_out")).alias("train")).mapInArrow(_ask(parts), blobs.SCHEMA)
     first = cut(blobs.to_target(asked, parts).mapInArrow(_answer_pairs(parts), blobs.SCHEMA), "bigrams")
-    blobs.release(spark)
     second = cut(blobs.to_target(first.where(F.col("kind").isin(ASK1, SUCCESSORS)), parts).mapInArrow(_answer_words, blobs.SCHEMA), "unigrams")
     sums = [blobs.unpacked(bytes(r["a"])) for r in second.where(F.col("kind") == TOTAL).select("a").collect()]
     distinct, tokens = (int(x) for x in np.sum(sums, axis=0)) if sums else (0, 0)

@@ -221,13 +221,11 @@ def removals(docs: DataFrame) -> DataFrame:
     dealt = rows.repartitionById(parts, F.col("target")).sortWithinPartitions("doc_id", "row")
     asked = blobs.to_target(dealt.select("text").mapInArrow(_ask(parts), blobs.SCHEMA), parts)
     answers = cut(asked.mapInArrow(_answer, blobs.SCHEMA), "rarity")
-    blobs.release(docs.sparkSession)
     none = F.lit(None)
     questions = answers.select("kind", "origin", "a", none.cast("long").alias("doc_id"), none.cast("long").alias("row"), none.cast("string").alias("text"), "target")
     documents = rows.select(F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("origin"), none.cast("binary").alias("a"), "doc_id", "row", "text", "target")
     met = questions.unionByName(documents).repartitionById(parts, F.col("target")).sortWithinPartitions("kind", "origin", "doc_id", "row")
     found = cut(met.drop("target").mapInArrow(_find, FOUND), "lines")
-    blobs.release(docs.sparkSession)
 
     parts_of_set = F.struct("doc_id", F.col("first_line").alias("line"), "row")
     local = found.where("kind = 2").withColumn("high", F.col("high")[0]).withColumn("low", F.col("low")[0])

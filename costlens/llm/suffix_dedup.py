@@ -442,11 +442,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
 
     asked = blobs.to_target(with_documents().mapInArrow(_ask(parts), blobs.SCHEMA), parts)
     answers = cut(asked.mapInArrow(_answer, blobs.SCHEMA), "answers")
-    blobs.release(spark)
     met = cut(with_documents(answers).mapInArrow(_meet(parts), blobs.SCHEMA), "stretches")
-    blobs.release(spark)
     sorted_ = cut(blobs.to_target(met.where(F.col("kind") == MEET), parts).mapInArrow(_sort, blobs.SCHEMA), "repeats")
-    blobs.release(spark)
     repeats = sorted_.unionByName(met.where(F.col("kind") == REPEAT))
     return with_documents(repeats).mapInArrow(_remove, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
 
