@@ -29,10 +29,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import blobs
-from .common import cut, lower_words, partitions, table, text_or_empty
+from .common import cut, partitions, table, text_or_empty
+from .word_hash import text_words
 
 FOLDS, HELD_OUT = 7, 2
-END, BEGIN = 0, 1
+#: Hashes of marks that are no words, since words hold no blanks.
+END, BEGIN = (np.uint64(xxhash.xxh64_intdigest(name)) for name in (b" end", b" begin"))
 #: Kinds of rows: unigram and bigram questions, bigram answers, successors of a history in one bucket, unigram answers,
 #: totals, documents.
 ASK1, ASK2, ANSWER2, SUCCESSORS, ANSWER1, TOTAL, DOCUMENT = range(1, 8)
@@ -44,26 +46,25 @@ class Block:
 
     def __init__(self, parts: int):
         self.parts = parts
-        # names that no word has, since words hold no blanks
-        self.number: dict[bytes, int] = {b" end": END, b" begin": BEGIN}
-        self.tokens: list[np.ndarray] = []
+        self.hashes: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
 
     def add(self, texts: list[str]) -> None:
-        number = self.number
-        for text in texts:
-            self.tokens.append(np.array([number.setdefault(w, len(number)) for w in lower_words(text)] + [END], np.int32))
+        hashes, counts = text_words([t.encode("utf-8", "surrogatepass") for t in texts], lower=True)
+        self.hashes.append(np.insert(hashes, np.cumsum(counts), END))
+        self.counts.append(counts + 1)
 
     def finish(self) -> None:
-        self.sizes = np.array([len(t) for t in self.tokens], np.int64)
+        self.sizes = np.concatenate(self.counts)
         self.starts = np.cumsum(self.sizes) - self.sizes
-        self.word = np.concatenate(self.tokens) if self.tokens else np.zeros(0, np.int32)
-        self.tokens = []
-        self.vocabulary = len(self.number)
-        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.number), np.uint64, self.vocabulary)
-        self.order1 = np.argsort(self.hash)
+        # local numbers ascend with the hashes
+        self.hash, word = np.unique(np.concatenate([[END, BEGIN], *self.hashes]), return_inverse=True)
+        self.hashes = []
+        (self.end, self.begin), self.word = word[:2].tolist(), word[2:].astype(np.int32)
+        self.vocabulary = len(self.hash)
         before = np.empty_like(self.word)
         before[1:] = self.word[:-1]
-        before[self.starts] = BEGIN
+        before[self.starts] = self.begin
         self.pair, self.event = np.unique(before.astype(np.int64) * self.vocabulary + self.word, return_inverse=True)
         head, tail = np.divmod(self.pair, self.vocabulary)
         self.head, self.tail = self.hash[head] >> U16, self.hash[tail] >> U16
@@ -74,10 +75,9 @@ class Block:
     def questions(self, train: np.ndarray, block: int) -> Iterator[tuple]:
         """Rows that ask for totals; ``train`` says of each document whether it is counted."""
         counted = np.repeat(train, self.sizes)
-        own1 = np.bincount(self.word[counted], minlength=self.vocabulary)[self.order1]
-        key = self.hash[self.order1]
-        for b, i, j in blobs.slices(blobs.bucket_of(key, 64, self.parts)):
-            yield ASK1, b, block, blobs.steps(key[i:j]), blobs.packed(own1[i:j]), None, None
+        own1 = np.bincount(self.word[counted], minlength=self.vocabulary)
+        for b, i, j in blobs.slices(blobs.bucket_of(self.hash, 64, self.parts)):
+            yield ASK1, b, block, blobs.steps(self.hash[i:j]), blobs.packed(own1[i:j]), None, None
         own2 = np.bincount(self.event[counted], minlength=len(self.pair))[self.order2]
         head, tail = self.head[self.order2], self.tail[self.order2]
         for b, i, j in blobs.slices(self.bucket[self.order2]):
@@ -88,7 +88,8 @@ class Block:
 class Automaton:
     """States are local words as histories, and the root (-1). ``arcs`` are ascending codes state * vocabulary + word."""
 
-    def __init__(self, vocabulary: int, arcs: np.ndarray, weights: np.ndarray, failure: np.ndarray, root: np.ndarray):
+    def __init__(self, vocabulary: int, arcs: np.ndarray, weights: np.ndarray, failure: np.ndarray, root: np.ndarray, begin: int):
+        self.begin = begin
         self.vocabulary, self.arcs, self.weights, self.root = vocabulary, arcs, weights, root
         self.failure = np.append(failure, 0.0)  # the root is the last
         self.has_state = np.isfinite(failure)
@@ -107,7 +108,7 @@ class Automaton:
         """Of each document; all documents are traversed in step, the longest stay to the end."""
         order = np.argsort(-sizes, kind="stable")
         out, begin, size = np.zeros(len(sizes)), starts[order], sizes[order]
-        state = np.full(len(sizes), BEGIN if self.has_state[BEGIN] else -1, np.int64)
+        state = np.full(len(sizes), self.begin if self.has_state[self.begin] else -1, np.int64)
         active, at = len(size), 0
         while True:
             active = int(np.searchsorted(-size[:active], -at, side="left"))
@@ -131,10 +132,10 @@ def _ask(parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, train = Block(parts), []
         for b in batches:
-            for at in range(0, b.num_rows, 1000):
-                block.add(b.column(1).slice(at, 1000).to_pylist())
+            if b.num_rows:
+                block.add(b.column(1).to_pylist())
             train.append(b.column(2).to_numpy(zero_copy_only=False))
-        if train:
+        if block.counts:
             block.finish()
             for row in block.questions(np.concatenate(train), TaskContext.get().partitionId()):
                 yield blobs.batch([row])
@@ -212,26 +213,25 @@ def _score(parts: int, distinct: int, tokens: int):
             rest = b.slice(docs)
             ids.append(rest.column(4))
             held.append(rest.column(6))
-            for at in range(0, rest.num_rows, 1000):
-                block.add(rest.column(5).slice(at, 1000).to_pylist())
-        if not block.tokens:
+            if rest.num_rows:
+                block.add(rest.column(5).to_pylist())
+        if not block.counts:
             return
         block.finish()
-        seen, follow = np.zeros(block.vocabulary, np.int64), np.zeros(block.vocabulary, np.int64)
-        seen[block.order1] = np.concatenate([a for a, _ in answers[ANSWER1]])
-        follow[block.order1] = np.concatenate([f for _, f in answers[ANSWER1]])
+        seen = np.concatenate([a for a, _ in answers[ANSWER1]]).astype(np.int64)
+        follow = np.concatenate([f for _, f in answers[ANSWER1]]).astype(np.int64)
         both = np.zeros(len(block.pair), np.int64)
         both[block.order2] = np.concatenate([a for a, _ in answers[ANSWER2]])
         single = (seen + 1) / (tokens + distinct + 1)
         history = seen.copy()
-        history[BEGIN] = seen[END]
+        history[block.begin] = seen[block.end]
         with np.errstate(divide="ignore"):
             failure = np.where(history > 0, np.log10(follow / np.maximum(history + follow, 1)), -np.inf)
         arc = np.flatnonzero(both > 0)
         head, tail = np.divmod(block.pair[arc], block.vocabulary)
         weight = np.log10((both[arc] + follow[head] * single[tail]) / (history[head] + follow[head]))
         root = np.log10(single)
-        scores = Automaton(block.vocabulary, block.pair[arc], weight, failure, root).scores(block.word, block.starts, block.sizes)
+        scores = Automaton(block.vocabulary, block.pair[arc], weight, failure, root, block.begin).scores(block.word, block.starts, block.sizes)
         base = np.add.reduceat(root[block.word], block.starts)
         known = np.add.reduceat((seen > 0)[block.word].astype(np.int64), block.starts)
         yield pa.RecordBatch.from_arrays([pa.chunked_array(ids).combine_chunks(), pa.chunked_array(held).combine_chunks(), pa.array(block.sizes), pa.array(known), pa.array(np.full(len(scores), tokens)), pa.array(base), pa.array(scores)], names=names)
