@@ -4,10 +4,10 @@ A line is the set of its words ``[^\x20\x09-\x0D]+``; a line matches another at
 if an earlier one (smaller doc_id, or the same and a smaller line number) matches it, judged on the input. Lines without
 words stay.
 
-Words are ranked by rarity: blocks of documents ask for the number of lines that hold each of their words (see
-``blobs``). Equal sets become one. A set of n words posts its n - ceil(0.8 n) + 1 rarest, without those of one line;
-sets that meet at a word are compared by length, by the position of the word and by a bitmap of 128 bits, each of which
-only drops pairs that cannot match. The pairs left are verified on the words of the lines themselves.
+Words (by 64-bit hashes) are ranked by rarity: blocks of documents ask how often each of their words occurs (see
+``blobs``). Equal sets become one. A set of n words posts its n - ceil(0.8 n) + 1 rarest, without those that occur once;
+sets that meet at a word are compared by length, by the position of the word and by the parities of their words in
+128 groups, each of which only drops pairs that cannot match. The pairs left are verified on the words of the lines themselves.
 
 Nulls: a null text has one empty line, a null doc_id is kept and comes first. Rows with equal doc_id are at the same
 place in the order: their lines compare by line number. Other columns are kept by ``apply``. An empty table gives no
@@ -20,13 +20,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import blobs
 from .common import cut, partitions, table, text_or_empty
+from .word_hash import line_words
 
 #: Jaccard similarity, as a fraction.
 TOP, UNDER = 4, 5
@@ -35,32 +35,24 @@ FOUND = "kind int, doc_id long, row long, n_lines int, line array<int>, high arr
 
 
 class Lines:
-    """The lines of a block's documents as sets of local word numbers."""
+    """The lines of a block's documents and the hashes of their words."""
 
     def __init__(self):
-        self.number: dict[bytes, int] = {}
-        self.words: list[np.ndarray] = []
-        self.sizes: list[int] = []  # words of each line
-        self.counts: list[int] = []  # lines of each document
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
     def add(self, texts: list[str]) -> None:
-        number, sizes = self.number, self.sizes
-        for text in texts:
-            lines = [line.split() for line in text.encode("utf-8", "surrogatepass").split(b"\n")]
-            self.counts.append(len(lines))
-            sizes.extend(map(len, lines))
-            self.words.append(np.array([number.setdefault(w, len(number)) for line in lines for w in line], np.int32))
+        if texts:
+            self.found.append(line_words([t.encode("utf-8", "surrogatepass") for t in texts]))
 
     def finish(self) -> None:
-        self.word = np.concatenate(self.words) if self.words else np.zeros(0, np.int32)
-        self.line = np.repeat(np.arange(len(self.sizes)), self.sizes)
-        self.words = []
-        self.hash = np.fromiter(map(xxhash.xxh64_intdigest, self.number), np.uint64, len(self.number))
-        self.order = np.argsort(self.hash)
+        word, sizes, self.counts = (np.concatenate(c) for c in zip(*self.found))
+        self.found = []
+        self.line = np.repeat(np.arange(len(sizes)), sizes)
+        self.hash, self.word, self.times = np.unique(word, return_inverse=True, return_counts=True)
 
     def sets(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lines and ranks of the sets' words, by line and rank."""
-        n = max(1, len(self.number))
+        n = max(1, len(self.hash))
         return np.divmod(np.unique(self.line * n + rank[self.word]), n)
 
 
@@ -69,14 +61,11 @@ def _ask(parts: int):
         block = Lines()
         for b in batches:
             block.add(b.column(0).to_pylist())
-        if not block.counts:
+        if not block.found:
             return
         block.finish()
-        number = np.arange(len(block.number))
-        lines = np.bincount(block.sets(number)[1], minlength=len(number))[block.order]
-        key = block.hash[block.order]
-        for b, i, j in blobs.slices(blobs.bucket_of(key, 64, parts)):
-            yield blobs.batch([(ASK, b, TaskContext.get().partitionId(), blobs.steps(key[i:j]), blobs.packed(lines[i:j]), None, None)])
+        for b, i, j in blobs.slices(blobs.bucket_of(block.hash, 64, parts)):
+            yield blobs.batch([(ASK, b, TaskContext.get().partitionId(), blobs.steps(block.hash[i:j]), blobs.packed(block.times[i:j]), None, None)])
 
     return ask
 
@@ -106,11 +95,10 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids += b.column(3).slice(docs).to_pylist()
         rows.append(b.column(4).slice(docs).to_numpy(zero_copy_only=False))
         block.add(b.column(5).slice(docs).to_pylist())
-    if not block.counts:
+    if not block.found:
         return
     block.finish()
-    known = np.zeros(len(block.number), np.int64)
-    known[block.order] = np.concatenate(answers) if answers else known
+    known = np.concatenate(answers).astype(np.int64) if answers else np.zeros(0, np.int64)
     by_rank = np.lexsort((block.hash, known))
     rank = np.empty(len(by_rank), np.int64)
     rank[by_rank] = np.arange(len(by_rank))
@@ -125,7 +113,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     zero = np.zeros(0, np.uint64)
     high = np.add.reduceat(mixed, starts) if len(starts) else zero
     low = np.add.reduceat(mixed * mixed ^ key, starts) if len(starts) else zero
-    counts = np.array(block.counts)
+    counts = block.counts
     first_of, doc_of = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
     row = np.concatenate(rows)
     ids_of = pa.array(ids, pa.int64())
@@ -149,7 +137,7 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     m = len(chosen)
     bit = (mixed >> np.uint64(57)).astype(np.int64)
     value = np.left_shift(np.uint64(1), (bit & 63).astype(np.uint64))
-    bits = [np.bitwise_or.reduceat(np.where(bit >> 6 == k, value, np.uint64(0)), starts).view(np.int64)[chosen] for k in (0, 1)]
+    bits = [np.bitwise_xor.reduceat(np.where(bit >> 6 == k, value, np.uint64(0)), starts).view(np.int64)[chosen] for k in (0, 1)]
     prefix = size - -(-TOP * size // UNDER) + 1
     place = np.arange(len(line)) - np.repeat(starts, size)
     posts = (place < np.repeat(prefix, size)) & (holders > 1) & np.repeat(size > UNDER - 2, size)
