@@ -11,9 +11,10 @@ input.
    is an anchor. Blocks of documents ask how often their anchors' hashes occur in the corpus (see ``blobs``).
 3. Strings around anchors that occur once are unique. The others, as one stretch of bytes for each anchor, meet the
    equal anchors of all documents; equal stretches of one block go as one, the least, and the others are known to repeat.
-4. There the suffixes of the stretches at each offset are merge-sorted. A comparison takes prefix polynomial hashes and
-   finds the common extension by binary search. Neighbours that hash as equal are verified byte by byte; where one is
-   not, its offset is sorted by the bytes. Of equal strings all but the earliest repeat.
+4. There the suffixes of the stretches at each offset are merge-sorted, those that have a hash in common as one, those
+   whose hash is unique not at all. A comparison takes prefix polynomial hashes and finds the common extension by
+   binary search. Equal hashes are verified byte by byte; where they collide, the offset goes by its bytes. Of equal
+   strings all but the earliest repeat.
 
 Nulls: a null text is empty, a null doc_id is kept and comes first. Rows of equal doc_id count as one document: they are
 earlier or later by start alone, so that repeated rows fare alike. Other columns are ignored. An empty table gives no rows.
@@ -87,7 +88,10 @@ def anchors(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     new[1:] = (np.diff(best) != 0) | (np.diff(start) != 1)
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return best[first], grams[best[first]], start[first], start[last]
+    # least hashes crowd at the low end: mixed again, so that they spread over the buckets
+    value = grams[best[first]] * np.uint64(0xD6E8FEB86659FD93)
+    value = (value ^ value >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+    return best[first], value ^ value >> np.uint64(32), start[first], start[last]
 
 
 class Block:
@@ -305,29 +309,41 @@ class Stretches:
         return row
 
     def repeated(self, row: np.ndarray, at: np.ndarray, seg: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and offsets of strings that an earlier place has too."""
-        sorted_ = self.sort(row, at, seg)
-        same = np.zeros(len(row), bool)
-        if len(row) > 1:
-            a, b = sorted_[:-1], sorted_[1:]
-            same[1:] = (seg[1:] == seg[:-1]) & (self.sums[a, at[1:] + LENGTH] - self.sums[a, at[1:]] == self.sums[b, at[1:] + LENGTH] - self.sums[b, at[1:]])
-        doubtful = np.zeros(0, np.int64)
-        hit = np.flatnonzero(same)
-        for k in range(0, len(hit), 100_000):  # verification
-            h = hit[k : k + 100_000]
-            columns = at[h][:, None] + np.arange(LENGTH)
-            wrong = (self.bytes[sorted_[h][:, None], columns] != self.bytes[sorted_[h - 1][:, None], columns]).any(1)
-            doubtful = np.union1d(doubtful, seg[h[wrong]])
-        for s in doubtful.tolist():  # hashes collided: sort this offset by its bytes
-            el = np.flatnonzero(seg == s)
-            strings = [self.bytes[r, at[el[0]] : at[el[0]] + LENGTH].tobytes() for r in row[el].tolist()]
-            order = sorted(range(len(el)), key=lambda i: (strings[i], i))
-            sorted_[el] = row[el][order]
-            same[el] = [k > 0 and strings[order[k]] == strings[order[k - 1]] for k in range(len(el))]
-        first = np.maximum.accumulate(np.where(same, 0, np.arange(len(row))))
-        f, r = places[sorted_[first]], places[sorted_]
-        later = same & ((r["key"] > f["key"]) | ((r["key"] == f["key"]) & (r["start"] > f["start"])))
-        return sorted_[later], at[later]
+        """Rows and offsets of strings that an earlier place has too. Elements come by segment, then place.
+
+        A string whose hash occurs once in its segment is unique. Of those with equal hashes the earliest is sorted,
+        and the others are verified against it byte by byte; neighbours in the sorted order must differ.
+        """
+        name = self.sums[row, at + LENGTH] - self.sums[row, at] + seg.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        name = (name ^ name >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
+        order = np.argsort(name, kind="stable")
+        new = np.ones(len(order), bool)
+        new[1:] = np.diff(name[order]) != 0
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(order)))
+        first = np.repeat(order[start], size)
+        shared = np.repeat(size > 1, size)
+        el, first = order[shared], first[shared]
+        wrong = seg[el] != seg[first]
+        strings = np.lib.stride_tricks.sliding_window_view(self.bytes, LENGTH, axis=1)
+        for k in range(0, len(el), 50_000):
+            e, f = el[k : k + 50_000], first[k : k + 50_000]
+            wrong[k : k + 50_000] |= (strings[row[e], at[e]] != strings[row[f], at[f]]).any(1)
+        heads = np.sort(order[start[size > 1]])
+        sorted_ = self.sort(row[heads], at[heads], seg[heads])
+        x, y, p = sorted_[:-1], sorted_[1:], at[heads][1:]
+        tied = (seg[heads][1:] == seg[heads][:-1]) & (self.extension(x, y, p) == LENGTH) if len(heads) > 1 else np.zeros(0, bool)
+        doubtful = np.unique(np.concatenate([seg[el[wrong]], seg[first[wrong]], seg[heads][1:][tied]]))
+        good = ~np.isin(seg[el], doubtful) if len(doubtful) else np.ones(len(el), bool)
+        el, first = el[good], first[good]
+        for s in doubtful.tolist():  # hashes collided: these offsets go by their bytes
+            own = np.flatnonzero(seg == s)
+            earliest: dict[bytes, int] = {}
+            heads_ = [earliest.setdefault(self.bytes[row[i], at[i] : at[i] + LENGTH].tobytes(), i) for i in own.tolist()]
+            el, first = np.concatenate([el, own]), np.concatenate([first, np.array(heads_)])
+        f, r = places[row[first]], places[row[el]]
+        later = (r["key"] > f["key"]) | ((r["key"] == f["key"]) & (r["start"] > f["start"]))
+        return row[el[later]], at[el[later]]
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
