@@ -4,7 +4,7 @@ Texts are lower-cased and split into words at blanks and ASCII punctuation. One
 text, the places of words that the benchmark has. Windows of ``WINDOW`` words, ``STRIDE`` apart, are passages. A
 distributed randomised SVD of the passages' TF-IDF matrix (the benchmark's items are rows of it too) gives a latent
 space; passage and item are candidates if their cosine there, plus the most that what both have outside the space can
-add, reaches ``COSINE``, so that no pair of that TF-IDF cosine is lost. A candidate is a match if the longest common
+add, reaches ``COSINE`` (so that no pair of that TF-IDF cosine is lost), and the TF-IDF cosine does. A candidate is a match if the longest common
 subsequence of words, in a stretch around the passage, covers ``SURE`` of the item, or ``PARAPHRASE`` of it and half
 of its answer (column ``answer``, else its last sentence).
 
@@ -27,20 +27,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table, text_or_empty
+from .word_hash import hash_words, pieces
 
 WINDOW, STRIDE = 64, 32
 RANK, EXTRA = 128, 8
-COSINE = 0.4
+COSINE = 0.5
 SURE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.5
-ITEMS = 2_000
+ITEMS = 500
 #: Words in more passages than this share are left out of the matrix, where all their items keep ``LEAST`` others.
-MOST_PASSAGES, LEAST = 0.02, 8
+MOST_PASSAGES, LEAST = 0.005, 8
 CHUNK = 64
+#: Documents of a batch, and entries of the sparse matrix, that are worked on at once.
+SLICE, ENTRIES = 400, 40_000
 BLANKS = bytes(32 if chr(b) in " \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
 
 
+def plain(text: str) -> bytes:
+    return text.lower().encode("utf-8", "surrogatepass").translate(BLANKS)
+
+
 def words(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(BLANKS).split()
+    return plain(text).split()
 
 
 @dataclass
@@ -71,19 +78,30 @@ class Items:
 
 def hits(docs: DataFrame, items: Items) -> DataFrame:
     """doc_id, row (hash of the text), n_words, and the numbers and places of the words that items have."""
-    number = items.number
+    named = hash_words(b"\n".join(items.number))[0]
+    order = np.argsort(named)
+    sorted_ = named[order]
+    first_bits = np.zeros(1 << 16, bool)  # most words of a text fail this look-up and need no search
+    first_bits[sorted_ >> np.uint64(48)] = True
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        get = number.get
         for b in batches:
+            texts = [plain(t) for t in b.column(2).to_pylist()]
             sizes, found, places = [], [], []
-            for text in b.column(2).to_pylist():
-                listed = words(text)
-                code = np.array([get(w, -1) for w in listed], np.int32)
-                at = np.flatnonzero(code >= 0)
-                sizes.append(len(listed))
-                found.append(code[at].tobytes())
-                places.append(at.astype(np.int32).tobytes())
+            for i, j in pieces(texts):
+                h, start, _ = hash_words(b"\n".join(texts[i:j]))
+                ends = np.searchsorted(start, np.cumsum([len(t) + 1 for t in texts[i:j]]))
+                begins = np.concatenate([[0], ends[:-1]])
+                at = np.flatnonzero(first_bits[h >> np.uint64(48)])
+                k = np.minimum(np.searchsorted(sorted_, h[at]), len(sorted_) - 1)
+                ok = sorted_[k] == h[at]
+                at, code = at[ok], order[k[ok]].astype(np.int32)
+                doc = np.searchsorted(ends, at, side="right")
+                place = (at - begins[doc]).astype(np.int32)
+                cuts = np.searchsorted(doc, np.arange(j - i + 1)).tolist()
+                sizes += (ends - begins).tolist()
+                found += [code[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
+                places += [place[x:y].tobytes() for x, y in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(found, pa.binary()), pa.array(places, pa.binary())], names=["doc_id", "row", "n_words", "words", "places"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row"), text_or_empty().alias("text"))
@@ -133,8 +151,9 @@ class Passages:
         """A M for the sparse rows A."""
         out = np.empty((len(starts), matrix.shape[1]), np.float32)
         edges = np.append(starts, len(value))
-        for a in range(0, len(starts), 20_000):
-            b = min(a + 20_000, len(starts))
+        b = 0
+        while b < len(starts):
+            a, b = b, max(b + 1, int(np.searchsorted(edges, edges[b] + ENTRIES)) - 1)
             part = slice(edges[a], edges[b])
             out[a:b] = np.add.reduceat(value[part, None] * matrix[self.word[part]], starts[a:b] - edges[a], axis=0)
         return out
@@ -142,8 +161,8 @@ class Passages:
     def transposed_times(self, value: np.ndarray, dense: np.ndarray, out: np.ndarray) -> None:
         """Adds A' D to ``out``."""
         order = np.argsort(self.word, kind="stable")
-        for a in range(0, len(order), 100_000):
-            part = order[a : a + 100_000]
+        for a in range(0, len(order), ENTRIES):
+            part = order[a : a + ENTRIES]
             starts = np.flatnonzero(np.diff(self.word[part], prepend=-1))
             out[self.word[part[starts]]] += np.add.reduceat(value[part, None] * dense[self.entry[part]], starts, axis=0)
 
@@ -155,9 +174,9 @@ def summed(found: DataFrame, add, shape: tuple[int, int]) -> np.ndarray:
         total = np.zeros(shape, np.float64)
         any_ = False
         for b in batches:
-            if b.num_rows:
+            for at in range(0, b.num_rows, SLICE):
                 any_ = True
-                add(b, total)
+                add(b.slice(at, SLICE), total)
         if any_:
             for k in range(0, shape[0], CHUNK):
                 yield pa.RecordBatch.from_arrays([pa.array([k // CHUNK], pa.int32()), pa.array([total[k : k + CHUNK].tobytes()], pa.binary())], names=["chunk", "sums"])
@@ -185,10 +204,13 @@ def weights(found: DataFrame, items: Items) -> np.ndarray:
     names = len(items.number)
 
     def count(b: pa.RecordBatch, total: np.ndarray) -> None:
-        p = Passages.of(b, names)
-        total[:names, 0] += np.bincount(p.word, minlength=names)
         sizes = b.column(0).to_numpy()
-        total[names, 0] += (np.maximum(0, -(-(sizes - WINDOW) // STRIDE)) + 1).sum()
+        windows = -(-sizes // WINDOW) + (sizes == 0)
+        first = np.cumsum(windows) - windows
+        for i, (found_, places) in enumerate(zip(b.column(1), b.column(2))):
+            word, place = (np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in (found_, places))
+            total[:names, 0] += np.bincount(np.unique((first[i] + place // WINDOW) * names + word) % names, minlength=names) if len(word) else 0
+        total[names, 0] += windows.sum()
 
     got = summed(found, count, (names + 1, 1))[:, 0]
     frequency, n = got[:-1], max(1.0, got[-1])
@@ -210,7 +232,7 @@ def item_rows(items: Items, weight: np.ndarray) -> np.ndarray:
 
 
 def latent_space(found: DataFrame, items: Items, weight: np.ndarray, rows: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
-    """Right singular vectors (words by rank) by a randomised SVD with one power step, in two passes over passages."""
+    """Right singular vectors (words by rank) by a randomised SVD, in one pass over the passages."""
     names = len(weight)
     wanted = weight > 0
     size = min(rank + EXTRA, names)
@@ -224,21 +246,16 @@ def latent_space(found: DataFrame, items: Items, weight: np.ndarray, rows: np.nd
 
     range_ = summed(found, power, (names, size))
     # the items' rows weigh as much as all passages
-    scale = max(1.0, np.linalg.norm(range_) / max(1e-9, np.linalg.norm(rows.T @ (rows @ omega))))
-    basis, _ = np.linalg.qr(range_ + scale * rows.T @ (rows @ omega))
-    small = basis.astype(np.float32)
-
-    def gram(b: pa.RecordBatch, total: np.ndarray) -> None:
-        p = Passages.of(b, names, wanted)
-        value, starts, _ = p.rows(weight)
-        if len(starts):
-            y = p.times_matrix(value, starts, small)
-            total += y.T @ y
-
-    y = rows @ basis
-    square = summed(found, gram, (size, size)) + scale * y.T @ y
-    _, vectors = np.linalg.eigh((square + square.T) / 2)
-    return basis @ vectors[:, ::-1][:, : min(rank, size)]
+    own = rows.T @ (rows @ omega)
+    sketch = range_ + max(1.0, np.linalg.norm(range_) / max(1e-9, np.linalg.norm(own))) * own
+    # G = A'A is symmetric: its leading eigenvectors, A's right singular vectors, follow from G omega alone (Nystroem)
+    shift = 1e-7 * np.linalg.norm(sketch)
+    sketch = sketch + shift * omega
+    core = omega.T.astype(np.float64) @ sketch
+    value, vector = np.linalg.eigh((core + core.T) / 2)
+    good = value > 1e-12 * value.max()
+    basis, _, _ = np.linalg.svd(sketch @ (vector[:, good] / np.sqrt(value[good])), full_matrices=False)
+    return basis[:, :size]
 
 
 def common_subsequence(a: np.ndarray, b: np.ndarray) -> int:
@@ -279,13 +296,11 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
     space = latent_space(found, items, weight, rows)
     latent = (rows @ space).astype(np.float32)
     outside = np.sqrt(np.maximum(0, 1 - (latent.astype(np.float64) ** 2).sum(1)) + 1e-6).astype(np.float32)
-    space = space.astype(np.float32)
+    space, small_rows = space.astype(np.float32), rows.astype(np.float32)
     names, wanted = len(weight), weight > 0
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in (x.slice(at, SLICE) for x in batches for at in range(0, x.num_rows, SLICE)):
             p = Passages.of(b.select(["n_words", "words", "places"]), names, wanted)
             value, starts, _ = p.rows(weight)
             passage, item, cosine = [], [], []
@@ -297,6 +312,11 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
                 rest = np.sqrt(np.maximum(0, 1 - (y * y).sum(1)) + 1e-6)
                 near = y @ latent.T
                 i, j = np.nonzero(near + rest[:, None] * outside[None] >= COSINE)
+                # the cosine itself, of those that the bound leaves
+                sizes = np.diff(np.append(starts, len(value)))[at + i]
+                entry = np.repeat(starts[at + i] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+                exact = np.bincount(np.repeat(np.arange(len(i)), sizes), weights=value[entry] * small_rows[np.repeat(j, sizes), p.word[entry]], minlength=len(i))
+                i, j = i[exact >= COSINE], j[exact >= COSINE]
                 passage.append(i + at)
                 item.append(j)
                 cosine.append(near[i, j])
