@@ -1,14 +1,14 @@
 r"""Operator 5: benchmark decontamination by latent semantic retrieval.
 
 Texts are lower-cased and split into words at blanks and ASCII punctuation. One pass over all documents keeps, of each
-text, the places of words that the benchmark has. Windows of ``WINDOW`` words, ``STRIDE`` apart, are passages. A
+text, the places of words that the benchmark has. Windows of ``WINDOW`` words, ``STRIDE`` apart, are passages; items
+are cut into parts likewise, since no passage is like the whole of a longer item, and a part stands for its item. A
 distributed randomised SVD of the passages' TF-IDF matrix (the benchmark's items are rows of it too) gives a latent
-space; passage and item are candidates if their cosine there, plus the most that what both have outside the space can
-add, reaches ``COSINE`` (so that no pair of that TF-IDF cosine is lost), and the TF-IDF cosine does. A candidate is a match if the longest common
+space; passage and part are candidates if their TF-IDF cosine reaches ``COSINE``. A candidate is a match if the longest common
 subsequence of words, in a stretch around the passage, covers ``SURE`` of the item, or ``PARAPHRASE`` of it and half
 of its answer (column ``answer``, else its last sentence).
 
-The benchmark is the stated query set: it is taken in blocks of ``ITEMS`` items, so that what tasks are sent has a
+The benchmark is the stated query set: it is taken in blocks of about ``ITEMS`` parts, so that what tasks are sent has a
 bound. What comes to the driver is a matrix of its words by the rank.
 
 Nulls: null texts and items are empty and match nothing; a null doc_id is kept. Rows are told apart by doc_id and text.
@@ -31,11 +31,11 @@ from .word_hash import hash_words, pieces
 
 WINDOW, STRIDE = 64, 32
 RANK, EXTRA = 128, 8
-COSINE = 0.5
+COSINE = 0.4
 SURE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.5
 ITEMS = 500
 #: Words in more passages than this share are left out of the matrix, where all their items keep ``LEAST`` others.
-MOST_PASSAGES, LEAST = 0.005, 8
+MOST_PASSAGES, LEAST = 0.02, 8
 CHUNK = 64
 #: Documents of a batch, and entries of the sparse matrix, that are worked on at once.
 SLICE, ENTRIES = 400, 40_000
@@ -58,6 +58,9 @@ class Items:
     number: dict[bytes, int]
     lists: list[np.ndarray]
     answers: list[np.ndarray]
+    #: Item and first word of each part.
+    part_of: np.ndarray
+    part_at: np.ndarray
 
     @classmethod
     def of(cls, rows: list) -> "Items":
@@ -73,7 +76,12 @@ class Items:
             ids.append(row["item_id"])
             lists.append(np.array([number.setdefault(w, len(number)) for w in listed], np.int32))
             answers.append(np.array([number.setdefault(w, len(number)) for w in words(answer) or listed], np.int32))
-        return cls(ids, number, lists, answers)
+        parts = [(i, at) for i, listed in enumerate(lists) for at in range(0, max(1, len(listed) - WINDOW + STRIDE), STRIDE)]
+        part_of, part_at = np.array(parts, np.int64).reshape(-1, 2).T
+        return cls(ids, number, lists, answers, part_of, part_at)
+
+    def part(self, k: int) -> np.ndarray:
+        return self.lists[self.part_of[k]][self.part_at[k] : self.part_at[k] + WINDOW]
 
 
 def hits(docs: DataFrame, items: Items) -> DataFrame:
@@ -153,7 +161,7 @@ class Passages:
         edges = np.append(starts, len(value))
         b = 0
         while b < len(starts):
-            a, b = b, max(b + 1, int(np.searchsorted(edges, edges[b] + ENTRIES)) - 1)
+            a, b = b, max(b + 1, int(np.searchsorted(edges, edges[b] + ENTRIES * RANK // max(RANK, matrix.shape[1]))) - 1)
             part = slice(edges[a], edges[b])
             out[a:b] = np.add.reduceat(value[part, None] * matrix[self.word[part]], starts[a:b] - edges[a], axis=0)
         return out
@@ -215,18 +223,18 @@ def weights(found: DataFrame, items: Items) -> np.ndarray:
     got = summed(found, count, (names + 1, 1))[:, 0]
     frequency, n = got[:-1], max(1.0, got[-1])
     kept = frequency <= MOST_PASSAGES * n
-    for listed in items.lists:
-        own = np.unique(listed)
+    for k in range(len(items.part_of)):
+        own = np.unique(items.part(k))
         if kept[own].sum() < LEAST:
             kept[own[np.argsort(frequency[own], kind="stable")][:LEAST]] = True
     return np.where(kept, np.log((n + 1) / (frequency + 1)) + 1e-3, 0.0)
 
 
 def item_rows(items: Items, weight: np.ndarray) -> np.ndarray:
-    """The items' rows of the TF-IDF matrix, each of length 1."""
-    out = np.zeros((len(items.ids), len(weight)))
-    for i, listed in enumerate(items.lists):
-        word, times = np.unique(listed, return_counts=True)
+    """Rows of the TF-IDF matrix of the items' parts, each of length 1."""
+    out = np.zeros((len(items.part_of), len(weight)))
+    for i in range(len(out)):
+        word, times = np.unique(items.part(i), return_counts=True)
         out[i, word] = (1 + np.log(times)) * weight[word]
     return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-12)
 
@@ -275,7 +283,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, row, item_id, cosine (latent), lcs, item_words, answer_lcs, answer_words of each match."""
     columns = [F.col("item_id"), F.col("text").cast("string")] + [F.col("answer").cast("string")] * ("answer" in benchmark.columns)
     bench = benchmark.select(*columns).where("item_id IS NOT NULL")
-    blocks = max(1, -(-bench.count() // ITEMS))
+    size = F.greatest(F.lit(1), F.ceil((F.size(F.split(text_or_empty(), r"[\s!-/:-@\[-`{-~]+")) - WINDOW) / STRIDE) + 1)
+    blocks = max(1, -(-int(bench.agg(F.sum(size)).first()[0] or 0) // ITEMS))
     schema = "doc_id long, row long, item_id long, cosine double, lcs int, item_words int, answer_lcs int, answer_words int"
     out = None
     for k in range(blocks):
@@ -295,9 +304,11 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
     rows = item_rows(items, weight)
     space = latent_space(found, items, weight, rows)
     latent = (rows @ space).astype(np.float32)
-    outside = np.sqrt(np.maximum(0, 1 - (latent.astype(np.float64) ** 2).sum(1)) + 1e-6).astype(np.float32)
-    space, small_rows = space.astype(np.float32), rows.astype(np.float32)
+    space, terms = space.astype(np.float32), np.ascontiguousarray(rows.T, np.float32)
     names, wanted = len(weight), weight > 0
+    member = np.zeros((len(items.ids), names), bool)
+    for k, listed in enumerate(items.lists):
+        member[k, listed] = True
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x.slice(at, SLICE) for x in batches for at in range(0, x.num_rows, SLICE)):
@@ -309,14 +320,10 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
                 edge = [starts[at], starts[stop] if stop < len(starts) else len(value)]
                 part = Passages(p.doc, p.start, p.entry[edge[0] : edge[1]], p.word[edge[0] : edge[1]], p.times[edge[0] : edge[1]])
                 y = part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], space)
-                rest = np.sqrt(np.maximum(0, 1 - (y * y).sum(1)) + 1e-6)
                 near = y @ latent.T
-                i, j = np.nonzero(near + rest[:, None] * outside[None] >= COSINE)
-                # the cosine itself, of those that the bound leaves
-                sizes = np.diff(np.append(starts, len(value)))[at + i]
-                entry = np.repeat(starts[at + i] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-                exact = np.bincount(np.repeat(np.arange(len(i)), sizes), weights=value[entry] * small_rows[np.repeat(j, sizes), p.word[entry]], minlength=len(i))
-                i, j = i[exact >= COSINE], j[exact >= COSINE]
+                # what lies outside the space could lift nearly any pair, so the cosine itself is taken of all
+                exact = part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], terms)
+                i, j = np.nonzero(exact >= COSINE)
                 passage.append(i + at)
                 item.append(j)
                 cosine.append(near[i, j])
@@ -326,14 +333,16 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
                 d, start = int(p.doc[i]), int(p.start[i])
                 if d not in texts:
                     texts[d] = tuple(np.frombuffer(b.column(k)[d].as_buffer(), np.int32) for k in (3, 4))
+                ahead, j = int(items.part_at[j]), int(items.part_of[j])
                 listed, answer = items.lists[j], items.answers[j]
                 code, place = texts[d]
-                # as far as the item could reach that has half its words in the passage
-                lo, hi = np.searchsorted(place, [start - len(listed) // 2, start + WINDOW + len(listed) // 2])
+                # as far as the item could reach that has the part, or half its words, in the passage
+                lo, hi = np.searchsorted(place, [start - ahead - len(listed) // 2, start + max(WINDOW, len(listed) - ahead) + len(listed) // 2])
                 near_by = code[lo:hi]
-                if len(near_by) < PARAPHRASE * len(listed):
+                own = near_by[member[j, near_by]]  # no other word is in a common subsequence
+                if len(own) < PARAPHRASE * len(listed):
                     continue
-                lcs = common_subsequence(listed, near_by)
+                lcs = common_subsequence(listed, own)
                 if lcs < PARAPHRASE * len(listed):
                     continue
                 ans = common_subsequence(answer, near_by)
