@@ -4,7 +4,7 @@ Texts are lower-cased and split into words at blanks and ASCII punctuation. One
 text, the places of words that the benchmark has. Windows of ``WINDOW`` words, ``STRIDE`` apart, are passages; items
 are cut into parts likewise, since no passage is like the whole of a longer item, and a part stands for its item. A
 distributed randomised SVD of the passages' TF-IDF matrix (the benchmark's items are rows of it too) gives a latent
-space; passage and part are candidates if their TF-IDF cosine reaches ``COSINE``. A candidate is a match if the longest common
+space; passage and part are candidates if their cosine there or their TF-IDF cosine reaches ``COSINE``. A candidate is a match if the longest common
 subsequence of words, in a stretch around the passage, covers ``SURE`` of the item, or ``PARAPHRASE`` of it and half
 of its answer (column ``answer``, else its last sentence).
 
@@ -298,6 +298,11 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "row", "item_id").agg(F.max(best).alias("m")).select("doc_id", "row", "item_id", "m.cosine", "m.lcs", "m.item_words", "m.answer_lcs", "m.answer_words")
 
 
+def admitted(latent: np.ndarray, exact: np.ndarray) -> np.ndarray:
+    """Which pairs are candidates, by latent and by TF-IDF cosine: either is enough."""
+    return (latent >= COSINE) | (exact >= COSINE)
+
+
 def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
     found = cut(hits(docs, items), "hits")
     weight = weights(found, items)
@@ -323,7 +328,7 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
                 near = y @ latent.T
                 # what lies outside the space could lift nearly any pair, so the cosine itself is taken of all
                 exact = part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], terms)
-                i, j = np.nonzero(exact >= COSINE)
+                i, j = np.nonzero(admitted(near, exact))
                 passage.append(i + at)
                 item.append(j)
                 cosine.append(near[i, j])
