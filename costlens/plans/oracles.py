@@ -242,6 +242,8 @@ SELECT *, round(CASE WHEN num_groups + num_distinct > 0 THEN (num_members + num_
     "density": f"WITH {PHASE1_SQL} SELECT {_bin('OriginalLength', 20)} AS x_bin, {_bin('ResidualLength', 20)} AS y_bin, count(*) AS n FROM phase1 GROUP BY ALL",
     "csv_roundtrip": f"""WITH {ROLLUP_SQL} SELECT year, month, day, count(*) AS n, CAST(sum(EffectiveCost) AS DECIMAL(38,4)) AS cost, count(ResourceId) AS with_id, 'a, "b"' AS service
 FROM rollup_costs WHERE {MONTH} GROUP BY year, month, day""",
+    "csv_roundtrip_days": f"""WITH {ROLLUP_SQL} SELECT year, month, day, count(*) AS n, CAST(sum(EffectiveCost) AS DECIMAL(38,4)) AS cost, count(ResourceId) AS with_id, 'a, "b"' AS service
+FROM rollup_costs GROUP BY year, month, day""",
     "box": f"""WITH {PHASE1_SQL} SELECT SubAccountName, CAST(min(RemovedChars) AS DOUBLE) AS low, CAST(quantile_cont(RemovedChars, 0.25) AS DOUBLE) AS q1, CAST(quantile_cont(RemovedChars, 0.5) AS DOUBLE) AS median,
   CAST(quantile_cont(RemovedChars, 0.75) AS DOUBLE) AS q3, CAST(max(RemovedChars) AS DOUBLE) AS high FROM phase1 GROUP BY SubAccountName""",
 }
