@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,23 +26,59 @@ def shared_dir(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a Parquet table in the shared folder: executors lost later do not cost what it took to make it. Its
-    shuffle files go when it is written; nothing reads them again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        yield
     finally:
         if before is None:
             spark.conf.unset(CLEANUP)
         else:
             spark.conf.set(CLEANUP, before)
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: executors lost later do not cost what it took to make it. Its
+    shuffle files go when it is written; nothing reads them again."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    with cleaned(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Deletes the files of a table that ``cut`` wrote and that no later result reads."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def cut_by(df: DataFrame, key: str, parts: int, name: str) -> DataFrame:
+    """Like ``cut``, bucketed by a column: joins on it to small tables leave this one where it is."""
+    spark = df.sparkSession
+    path, table_name = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}", f"costlens_{uuid.uuid4().hex}"
+    with cleaned(spark):
+        df.repartition(parts, key).write.format("parquet").bucketBy(parts, key).option("path", path).saveAsTable(table_name)
+    out = spark.table(table_name)
+    out.schema
+    spark.sql(f"DROP TABLE {table_name}")  # only its entry: the files are where the path says
+    return out
+
+
+#: Bytes of text for each partition of blocks, at most.
+BLOCK_BYTES = 32_000_000
+
+
+def blocks(docs: DataFrame) -> int:
+    """Partitions for what is held in Python a partition at a time: by the bytes of column text, and the session's at least."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(partitions(docs.sparkSession), -(-size // BLOCK_BYTES))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -4,14 +4,16 @@ A line is the set of its words ``[^\x20\x09-\x0D]+``; a line matches another at
 if an earlier one (smaller doc_id, or the same and a smaller line number) matches it, judged on the input. Lines without
 words stay.
 
-Words (by 64-bit hashes) are ranked by rarity: blocks of documents ask how often each of their words occurs (see
-``blobs``). Equal sets become one. A set of n words posts its n - ceil(0.8 n) + 1 rarest, without those that occur once;
-sets that meet at a word are compared by length, by the position of the word and by the parities of their words in
-128 groups, each of which only drops pairs that cannot match. The pairs left are verified on the words of the lines themselves.
-
-Nulls: a null text has one empty line, a null doc_id is kept and comes first. Rows with equal doc_id are at the same
-place in the order: their lines compare by line number. Other columns are kept by ``apply``. An empty table gives no
-rows.
+Documents are read once into slabs: the words of a slab as a table of 64-bit hashes, its lines as distinct sets of places
+in that table. Slabs ask how often each of their words occurs (see ``blobs``), which gives the order by rarity. A set of n
+words posts its n - ceil(0.8 n) + 1 rarest, without those that occur once; ``set_join`` has the filters by length, place
+and parities and the verification on all words of both sets. A task returns, for each set, how many others match it and
+the earliest of their lines; pairs are never rows. Equal sets are one set, found by a hash of 64 bits and their size.
+
+Nulls: a null text has one empty line; a null doc_id is kept and comes first, and such rows are spread like others. Rows
+with equal doc_id, repeated rows too, are at one place in the order: their lines compare by line number. A very long text
+is a slab of its own. Columns other than doc_id and text have no effect, whatever their names; ``apply`` keeps them. An
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -24,241 +26,303 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blobs
-from .common import cut, partitions, table, text_or_empty
-from .word_hash import line_words
+from . import blobs, set_join
+from .common import blocks, cut, cut_by, drop, table, text_or_empty
+from .set_join import ROW, TOP, UNDER, Rows, pack, row_batch, taken, unpack, unzigzag, zigzag
+from .word_hash import line_words, mixed
 
-#: Jaccard similarity, as a fraction.
-TOP, UNDER = 4, 5
-ASK, ANSWER, DOCUMENT = range(1, 4)
-FOUND = "kind int, doc_id long, row long, n_lines int, line array<int>, high array<long>, low array<long>, size int, bits0 long, bits1 long, key array<long>, place array<int>, first_line int"
+#: Bytes of text in a slab; a longer text is one by itself.
+SLAB = 6_000_000
+SLABS = "block long, hash binary, sets binary, docs binary"
+SALT = np.uint64(0x9E3779B97F4A7C15)
+REMOVALS = "doc_id long, row long, n_lines int, removed array<int>, match_doc array<long>, match_line array<int>, class_id long, n_links long"
 
 
-class Lines:
-    """The lines of a block's documents and the hashes of their words."""
+def sums(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Names of sets: sums of their words' mixed hashes."""
+    return np.add.reduceat(mixed(hashes + SALT), starts) if len(starts) else np.zeros(0, np.uint64)
 
-    def __init__(self):
-        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, texts: list[str]) -> None:
-        if texts:
-            self.found.append(line_words([t.encode("utf-8", "surrogatepass") for t in texts]))
+def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts: list[bytes]) -> tuple:
+    word, sizes, counts = line_words(texts)
+    hashes, at = np.unique(word, return_inverse=True)
+    n = max(1, len(hashes))
+    line, at = np.divmod(np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + at), n)
+    starts = np.flatnonzero(np.diff(line, prepend=-1))
+    size, own = np.diff(np.append(starts, len(line))), line[starts]
+    _, chosen, of = np.unique(sums(hashes[at], starts) + size.astype(np.uint64), return_index=True, return_inverse=True)
+    n = size[chosen]
+    places = at[np.repeat(starts[chosen], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+    first = np.cumsum(counts) - counts
+    holder = np.repeat(np.arange(len(counts)), counts)[own]
+    docs = [np.array(none, np.uint64), zigzag(doc), row.view(np.uint64), counts, np.bincount(holder, minlength=len(counts)), own - first[holder], of]
+    return block, blobs.steps(hashes), pack([n, places]), pack(docs)
+
+
+def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    ids, rows, texts, size, block = [], [], [], 0, TaskContext.get().partitionId() << 32
 
-    def finish(self) -> None:
-        word, sizes, self.counts = (np.concatenate(c) for c in zip(*self.found))
-        self.found = []
-        self.line = np.repeat(np.arange(len(sizes)), sizes)
-        self.hash, self.word, self.times = np.unique(word, return_inverse=True, return_counts=True)
+    def made() -> pa.RecordBatch:
+        none = [i is None for i in ids]
+        found = _slab(block, none, np.array([i or 0 for i in ids], np.int64), np.array(rows, np.int64), texts)
+        return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(found, [pa.int64()] + [pa.binary()] * 3)], names=["block", "hash", "sets", "docs"])
 
-    def sets(self, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lines and ranks of the sets' words, by line and rank."""
-        n = max(1, len(self.hash))
-        return np.divmod(np.unique(self.line * n + rank[self.word]), n)
+    for b in batches:
+        for i, r, t in zip(*(b.column(k).to_pylist() for k in range(3))):
+            t = t.encode("utf-8", "surrogatepass")
+            if texts and size + len(t) > SLAB:
+                yield made()
+                ids, rows, texts, size, block = [], [], [], 0, block + 1
+            ids.append(i)
+            rows.append(r)
+            texts.append(t)
+            size += len(t) + 1
+    if texts:
+        yield made()
+
+
+class Slab:
+    """A slab as read back."""
+
+    def __init__(self, data: dict):
+        self.block = data["block"]
+        self.hash = blobs.unstepped(data["hash"])
+        size, place = unpack(data["sets"])
+        self.size, self.word = size.astype(np.int64), place.astype(np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        if "docs" in data:
+            none, doc, self.row, *rest = unpack(data["docs"])
+            self.none, self.doc, self.row = none.astype(bool), unzigzag(doc), self.row.view(np.int64)
+            self.n_lines, with_words, self.line, self.set = (x.astype(np.int64) for x in rest)
+            self.holder = np.repeat(np.arange(len(with_words)), with_words)
+
+    def names(self) -> np.ndarray:
+        return sums(self.hash[self.word], self.start)
+
+    def firsts(self) -> tuple[Rows, np.ndarray]:
+        """Place of each set's first line, and its lines."""
+        order = np.lexsort((self.line, self.doc[self.holder], ~self.none[self.holder], self.set))
+        order = order[np.diff(self.set[order], prepend=-1) != 0]
+        where = self.holder[order]
+        rows = {"none": self.none[where].astype(np.uint64), "doc": zigzag(self.doc[where]), "line": self.line[order].astype(np.uint64)}
+        return rows, np.bincount(self.set, minlength=len(self.size))
+
+    def order(self, totals: list[dict]) -> None:
+        """Takes the totals of all words, which come by bucket; then ``words`` knows the order by rarity."""
+        answers = [blobs.unpacked(t["data"]) for t in sorted(totals, key=lambda t: t["origin"])]
+        self.total = np.concatenate(answers) if answers else np.zeros(0, np.uint64)
+        self.by_rank = np.lexsort((self.hash, self.total))
+        self.rank = np.empty(len(self.by_rank), np.int64)
+        self.rank[self.by_rank] = np.arange(len(self.by_rank))
+
+    def words(self, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ranks of words of ``sets``, set by set and ascending, and the index in ``sets`` of each."""
+        n = self.size[sets]
+        own = np.repeat(np.arange(len(sets)), n)
+        wide = max(1, len(self.hash))
+        at = self.word[np.repeat(self.start[sets], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        own, rank = np.divmod(np.sort(own * wide + self.rank[at]), wide)
+        return rank, own
+
+
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slab, dict]]:
+    for b in batches:
+        for k in range(b.num_rows):
+            data = b.slice(k, 1).to_pylist()[0]
+            yield Slab(data), data
 
 
 def _ask(parts: int):
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Lines()
-        for b in batches:
-            block.add(b.column(0).to_pylist())
-        if not block.found:
-            return
-        block.finish()
-        for b, i, j in blobs.slices(blobs.bucket_of(block.hash, 64, parts)):
-            yield blobs.batch([(ASK, b, TaskContext.get().partitionId(), blobs.steps(block.hash[i:j]), blobs.packed(block.times[i:j]), None, None)])
+        for slab, _ in _each(batches):
+            times = np.bincount(slab.word, minlength=len(slab.hash))
+            yield row_batch([(0, b, slab.block, pack([np.diff(slab.hash[i:j], prepend=np.uint64(0)), times[i:j]])) for b, i, j in blobs.slices(blobs.bucket_of(slab.hash, 64, parts))])
 
     return ask
 
 
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    asked = [(row[2], blobs.unstepped(row[3]), blobs.unpacked(row[4])) for b in batches for row in zip(*(c.to_pylist() for c in b.columns))]
+    asked = [(bucket, block, *unpack(data.as_buffer())) for b in batches for bucket, block, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3))]
     if not asked:
         return
-    _, at = np.unique(np.concatenate([k for _, k, _ in asked]), return_inverse=True)
-    total = np.bincount(at, weights=np.concatenate([n for _, _, n in asked]).astype(np.float64)).astype(np.int64)
-    i = 0
-    for block, keys, _ in asked:
-        yield blobs.batch([(ANSWER, block, TaskContext.get().partitionId(), blobs.packed(total[at[i : i + len(keys)]]), None, None, None)])
+    _, at = np.unique(np.concatenate([np.cumsum(k, dtype=np.uint64) for _, _, k, _ in asked]), return_inverse=True)
+    total = np.bincount(at, weights=np.concatenate([n for *_, n in asked]).astype(np.float64)).astype(np.int64)
+    i, out = 0, []
+    for bucket, block, keys, _ in asked:
+        out.append((0, block, bucket, blobs.packed(total[at[i : i + len(keys)]])))
         i += len(keys)
+    yield row_batch(out)
+
+
+def _posts(parts: int):
+    def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slab, data in _each(batches):
+            slab.order(data["totals"])
+            first, _ = slab.firsts()
+            rank, own = slab.words(np.arange(len(slab.size)))
+            key = slab.hash[slab.by_rank][rank]
+            place = np.arange(len(rank)) - slab.start[own]
+            size = slab.size[own]
+            is_post = (size > UNDER - 2) & (place < size - -(-TOP * size // UNDER) + 1) & (slab.total[slab.by_rank][rank] > 1)
+            at = np.flatnonzero(is_post)
+            item = own[at]
+            bits = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(key) >> np.uint64(58)), slab.start) if len(slab.size) else key
+            rows = {"cell": key[at] >> np.uint64(16), "name": slab.names()[item], "prev": np.where(place[at] > 0, key[at - 1] >> np.uint64(24), np.uint64(0)), "bits": bits[item], "size": size[at].astype(np.uint64), "place": place[at].astype(np.uint64), "item": item.astype(np.uint64), "side": np.zeros(len(at), np.uint64)} | {k: v[item] for k, v in first.items()}
+            yield row_batch([(0, b, slab.block, set_join.sent_posts(taken(rows, x))) for b, x in set_join.by_bucket(rows["cell"], parts)])
+
+    return posts
 
 
-def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values).cast(kind))
+def _sets(parts: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slab, data in _each(batches):
+            slab.order(data["totals"])
+            rows = set_join.read_alive(data["told"])
+            items, at = np.unique(rows["item"].astype(np.int64), return_inverse=True)
+            rank, _ = slab.words(items)
+            words, n = slab.hash[slab.by_rank][rank], slab.size[items]
+            start = (np.cumsum(n) - n)[at]
+            n = n[at]
+            yield row_batch(set_join.sent_sets(rows, words[np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], n, parts))
 
+    return sets
 
-def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a block: a row for each document with its lines' sets, and a row for each distinct set with its prefix."""
-    block, answers, ids, rows = Lines(), [], [], []
+
+OWN, LINKS = 1, 2
+PLACE = ("none", "doc", "line")
+
+
+def _verify(parts: int):
+    """For each set of the bucket's posts: similar ones and the first of their lines."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = [unpack(data.as_buffer()) for b in batches for data in b.column(3)]
+        if not found:
+            return
+        v = set_join.Verifier(found)
+        rows = v.rows
+        by_place = np.lexsort((rows["line"], unzigzag(rows["doc"]), rows["none"] == 0))
+        rank = np.empty(len(by_place), np.int64)
+        rank[by_place] = np.arange(len(by_place))
+        least, links = np.full(len(rank), len(rank)), np.zeros(len(rank), np.int64)
+        for i, j in v.similar():
+            for x, y in ((i, j), (j, i)):
+                np.minimum.at(least, x, rank[y])
+                links += np.bincount(x, minlength=len(links))
+        at = np.flatnonzero(links)
+        first = by_place[least[at]]
+        out = {"name": rows["name"][at], "size": rows["size"][at], "links": links[at].astype(np.uint64)} | {k: rows[k][first] for k in PLACE}
+        yield row_batch([(LINKS, b, 0, pack([out[k][x] for k in ("name", "size", *PLACE, "links")])) for b, x in set_join.by_bucket(out["name"] >> np.uint64(16), parts)])
+
+    return verify
+
+
+def _register(parts: int):
+    def register(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for slab, _ in _each(batches):
+            first, copies = slab.firsts()
+            rows = {"name": slab.names(), "size": slab.size, "copies": copies, "item": np.arange(len(copies))} | first
+            yield row_batch([(OWN, b, slab.block, pack([rows[k][x] for k in ("name", "size", *PLACE, "copies", "item")])) for b, x in set_join.by_bucket(rows["name"] >> np.uint64(16), parts)])
+
+    return register
+
+
+def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each slab: its sets that have several lines or links, with the first line of all and the links."""
+    blocks_, found = [], []
     for b in batches:
-        docs = int(np.searchsorted(b.column(0).to_numpy(), DOCUMENT))
-        answers += [blobs.unpacked(a) for a in b.column(2).slice(0, docs).to_pylist()]
-        ids += b.column(3).slice(docs).to_pylist()
-        rows.append(b.column(4).slice(docs).to_numpy(zero_copy_only=False))
-        block.add(b.column(5).slice(docs).to_pylist())
-    if not block.found:
-        return
-    block.finish()
-    known = np.concatenate(answers).astype(np.int64) if answers else np.zeros(0, np.int64)
-    by_rank = np.lexsort((block.hash, known))
-    rank = np.empty(len(by_rank), np.int64)
-    rank[by_rank] = np.arange(len(by_rank))
-    line, word = block.sets(rank)
-    key, holders = block.hash[by_rank][word], known[by_rank][word]
-    starts = np.flatnonzero(np.diff(line, prepend=-1))
-    size = np.diff(np.append(starts, len(line)))
-    own = line[starts]
-    # a set's name: two sums of its words' mixed hashes
-    mixed = (key ^ key >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    zero = np.zeros(0, np.uint64)
-    high = np.add.reduceat(mixed, starts) if len(starts) else zero
-    low = np.add.reduceat(mixed * mixed ^ key, starts) if len(starts) else zero
-    counts = block.counts
-    first_of, doc_of = np.cumsum(counts) - counts, np.repeat(np.arange(len(counts)), counts)
-    row = np.concatenate(rows)
-    ids_of = pa.array(ids, pa.int64())
-    line_no = own - first_of[doc_of[own]]
-    per_doc = np.bincount(doc_of[own], minlength=len(counts))
-    n, m = len(counts), 0
-    nulls = lambda k, t: pa.nulls(k, t)
-    schema = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n_lines", pa.int32()), ("line", pa.list_(pa.int32())), ("high", pa.list_(pa.int64())), ("low", pa.list_(pa.int64())), ("size", pa.int32()), ("bits0", pa.int64()), ("bits1", pa.int64()), ("key", pa.list_(pa.int64())), ("place", pa.list_(pa.int32())), ("first_line", pa.int32())])
-    yield pa.RecordBatch.from_arrays([pa.array(np.full(n, 1), pa.int32()), ids_of, pa.array(row), pa.array(counts, pa.int32()), _lists(line_no, per_doc, pa.int32()), _lists(high.view(np.int64), per_doc, pa.int64()), _lists(low.view(np.int64), per_doc, pa.int64()), nulls(n, pa.int32()), nulls(n, pa.int64()), nulls(n, pa.int64()), nulls(n, pa.list_(pa.int64())), nulls(n, pa.list_(pa.int32())), nulls(n, pa.int32())], schema=schema)
-    if not len(own):
+        for kind, origin, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+            x = unpack(data.as_buffer())
+            n = len(x[0])
+            blocks_.append(np.full(n, origin if kind == OWN else -1))
+            found.append([*x[:5], *(x[5:] if kind == OWN else [np.zeros(n, np.uint64)] * 2), x[5] if kind == LINKS else np.zeros(n, np.uint64)])
+    if not found:
         return
-    # documents come by doc_id, so that a set's first line in the block is its least; equal ids are one place
-    id_rank = np.array([0 if i is None else 1 for i in ids]), np.array([i or 0 for i in ids])
-    of = doc_of[own]
-    order = np.lexsort((line_no, id_rank[1][of], id_rank[0][of], low, high))
-    new = np.ones(len(order), bool)
-    new[1:] = (np.diff(high[order]) != 0) | (np.diff(low[order]) != 0)
-    chosen = np.sort(order[new])
-    copies = np.zeros(len(own), np.int64)
-    copies[order[new]] = np.diff(np.append(np.flatnonzero(new), len(order)))
-    m = len(chosen)
-    bit = (mixed >> np.uint64(57)).astype(np.int64)
-    value = np.left_shift(np.uint64(1), (bit & 63).astype(np.uint64))
-    bits = [np.bitwise_xor.reduceat(np.where(bit >> 6 == k, value, np.uint64(0)), starts).view(np.int64)[chosen] for k in (0, 1)]
-    prefix = size - -(-TOP * size // UNDER) + 1
-    place = np.arange(len(line)) - np.repeat(starts, size)
-    posts = (place < np.repeat(prefix, size)) & (holders > 1) & np.repeat(size > UNDER - 2, size)
-    set_of = np.repeat(np.arange(len(own)), size)
-    picked = np.zeros(len(own), bool)
-    picked[chosen] = True
-    posts &= picked[set_of]
-    per_set = np.bincount(set_of[posts], minlength=len(own))[chosen]
-    one = lambda v: _lists(v.view(np.int64), np.ones(m, np.int64), pa.int64())
-    of = of[chosen]
-    yield pa.RecordBatch.from_arrays([pa.array(np.full(m, 2), pa.int32()), ids_of.take(pa.array(of)), pa.array(row[of]), pa.array(copies[chosen], pa.int32()), nulls(m, pa.list_(pa.int32())), one(high[chosen]), one(low[chosen]), pa.array(size[chosen], pa.int32()), pa.array(bits[0]), pa.array(bits[1]), _lists(key[posts].view(np.int64), per_set, pa.int64()), _lists(place[posts], per_set, pa.int32()), pa.array(line_no[chosen], pa.int32())], schema=schema)
-
-
-def _possible(x: dict[str, np.ndarray], i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether sets i and j, which share the word at their places, can reach the similarity; j is the longer."""
-    n, m = x["size"][i], x["size"][j]
-    need = -(-TOP * (n + m) // (TOP + UNDER))
-    out = UNDER * n >= TOP * m
-    out &= 1 + np.minimum(n - x["place"][i], m - x["place"][j]) - 1 + np.minimum(x["place"][i], x["place"][j]) >= need
-    apart = np.bitwise_count(x["bits0"][i] ^ x["bits0"][j]).astype(np.int64) + np.bitwise_count(x["bits1"][i] ^ x["bits1"][j])
-    out &= apart <= n + m - 2 * need
-    return out & ((x["high"][i] != x["high"][j]) | (x["low"][i] != x["low"][j]))
-
-
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Possible pairs among rows of equal key; rows come by key and size. Rows of one key that come in later batches are
-    met with those kept of it, of which too short ones are let go."""
-    names = ["key", "size", "place", "bits0", "bits1", "high", "low"]
-    kept: dict[str, np.ndarray] | None = None
-    for b in batches:
-        x = {c: b.column(k).to_numpy().astype(np.uint64 if c[:4] == "bits" else np.int64) for k, c in enumerate(names)}
-        if kept is not None:
-            x = {c: np.concatenate([kept[c], x[c]]) for c in names}
-        old = 0 if kept is None else len(kept["key"])
-        n = len(x["key"])
-        first = np.maximum.accumulate(np.where(np.diff(x["key"], prepend=x["key"][:1] ^ 1) != 0, np.arange(n), 0))
-        here = np.arange(n)
-        reach = np.where(here >= old, here - first, 0)  # each new row meets the rows of its key before it
-        found: list[tuple[np.ndarray, np.ndarray]] = []
-        rows = np.flatnonzero(reach)
-        ends = np.cumsum(reach[rows])
-        at = 0
-        while at < len(rows):
-            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + 2_000_000)))
-            j = np.repeat(rows[at:stop], reach[rows[at:stop]])
-            done = ends[at:stop] - reach[rows[at:stop]]
-            i = first[j] + np.arange(len(j)) - np.repeat(done - done[0], reach[rows[at:stop]])
-            ok = _possible(x, i, j)
-            found.append((i[ok], j[ok]))
-            at = stop
-        if found:
-            i, j = (np.concatenate(c) for c in zip(*found))
-            if len(i):
-                yield pa.RecordBatch.from_arrays([pa.array(x[c][k]) for k in (i, j) for c in ("high", "low")], names=["high", "low", "high_", "low_"])
-        last = (x["key"] == x["key"][-1]) & (UNDER * x["size"] >= TOP * x["size"][-1])
-        kept = {c: x[c][last] for c in names}
-
-
-def words_of(line):
-    return F.array_distinct(F.filter(F.split(line, r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    block = np.concatenate(blocks_)
+    name, size, none, doc, line, copies, item, links = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((line, unzigzag(doc), none == 0, size, name))
+    new = np.flatnonzero((np.diff(name[order], prepend=~name[order[:1]]) != 0) | (np.diff(size[order], prepend=~size[order[:1]]) != 0))
+    group = np.empty(len(order), np.int64)
+    group[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(order))))
+    copies, links = (np.bincount(group, weights=x.astype(np.float64)).astype(np.int64) for x in (copies, links))
+    first = order[new][group]
+    known = np.flatnonzero((block >= 0) & ((copies > 1) | (links > 0))[group])
+    known = known[np.argsort(block[known], kind="stable")]
+    out = [item, none[first], doc[first], line[first], links[group]]
+    yield row_batch([(0, b, 0, pack([x[known[i:j]] for x in out])) for b, i, j in blobs.slices(block[known])])
+
+
+def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for slab, data in _each(batches):
+        m = len(slab.size)
+        none, doc, line, links = np.ones(m, bool), np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(m, np.int64)
+        known = np.zeros(m, bool)
+        for t in data["known"] or []:
+            item, *x = unpack(t)
+            item = item.astype(np.int64)
+            none[item], doc[item], line[item], links[item], known[item] = x[0], unzigzag(x[1]), x[2], x[3], True
+        own, s, at = slab.line, slab.set, slab.holder
+        own_none, own_doc = slab.none[at], slab.doc[at]
+        same = (none[s] == own_none) & (own_none | (doc[s] == own_doc))
+        before = (none[s] & ~own_none) | ((none[s] == own_none) & ~own_none & (doc[s] < own_doc))
+        gone = known[s] & (before | (same & (line[s] < own)))
+        n = len(slab.n_lines)
+        _, pick = np.unique(at * max(1, m) + s, return_index=True)
+        n_links = np.bincount(at[pick], weights=links[s[pick]], minlength=n).astype(np.int64)
+        g = np.flatnonzero(gone)
+        per_doc = np.bincount(at[g], minlength=n)
+        ends = np.concatenate([[0], np.cumsum(per_doc)])
+        # the class: the first document that any of the lines matches
+        low, to_none = slab.doc.copy(), slab.none.copy()
+        np.minimum.at(low, at[g], np.where(none[s[g]], low[at[g]], doc[s[g]]))
+        np.logical_or.at(to_none, at[g], none[s[g]])
+        lists = lambda v, t, mask=None: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, t, mask=mask))
+        columns = [pa.array(slab.doc, pa.int64(), mask=slab.none), pa.array(slab.row), pa.array(slab.n_lines, pa.int32()), lists(own[g], pa.int32()), lists(doc[s[g]], pa.int64(), none[s[g]]), lists(line[s[g]], pa.int32()), pa.array(low, pa.int64(), mask=to_none), pa.array(n_links)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "row", "n_lines", "removed", "match_doc", "match_line", "class_id", "n_links"])
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """For each row of ``docs`` (doc_id, text): doc_id, row (a hash of its text), n_lines, removed (ascending line
-    numbers) and n_links (links of its distinct lines to other sets)."""
-    parts = partitions(docs.sparkSession)
+    numbers), match_doc and match_line (the earliest line that matches each of them), class_id (the doc_id of the earliest
+    document with a line that matches one of its lines, itself included) and n_links (other sets of words that match one
+    of its lines' sets, summed over its distinct ones)."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = rows.withColumn("row", F.xxhash64("text")).withColumn("target", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
-    dealt = rows.repartitionById(parts, F.col("target")).sortWithinPartitions("doc_id", "row")
-    asked = blobs.to_target(dealt.select("text").mapInArrow(_ask(parts), blobs.SCHEMA), parts)
-    answers = cut(asked.mapInArrow(_answer, blobs.SCHEMA), "rarity")
-    none = F.lit(None)
-    questions = answers.select("kind", "origin", "a", none.cast("long").alias("doc_id"), none.cast("long").alias("row"), none.cast("string").alias("text"), "target")
-    documents = rows.select(F.lit(DOCUMENT).alias("kind"), F.lit(0).alias("origin"), none.cast("binary").alias("a"), "doc_id", "row", "text", "target")
-    met = questions.unionByName(documents).repartitionById(parts, F.col("target")).sortWithinPartitions("kind", "origin", "doc_id", "row")
-    found = cut(met.drop("target").mapInArrow(_find, FOUND), "lines")
-
-    parts_of_set = F.struct("doc_id", F.col("first_line").alias("line"), "row")
-    local = found.where("kind = 2").withColumn("high", F.col("high")[0]).withColumn("low", F.col("low")[0])
-    sets = cut(local.groupBy("high", "low").agg(F.min(parts_of_set).alias("first"), F.sum("n_lines").alias("copies")), "sets")
-    posts = local.select("size", "bits0", "bits1", "high", "low", F.explode(F.arrays_zip("key", "place")).alias("p")).select("p.key", "size", "p.place", "bits0", "bits1", "high", "low")
-    pairs = posts.repartition("key").sortWithinPartitions("key", "size").mapInArrow(_compare, "high long, low long, high_ long, low_ long")
-    swapped = (F.col("high") > F.col("high_")) | ((F.col("high") == F.col("high_")) & (F.col("low") > F.col("low_")))
-    a, b = F.struct("high", "low"), F.struct(F.col("high_").alias("high"), F.col("low_").alias("low"))
-    pairs = cut(pairs.select(F.when(swapped, b).otherwise(a).alias("a"), F.when(swapped, a).otherwise(b).alias("b")).distinct(), "pairs")
-
-    # the lines of the sets in possible pairs, from the documents
-    met_sets = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().select("a.*").join(sets, ["high", "low"])
-    wanted = met_sets.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row")).agg(F.collect_list(F.struct("first.line", F.struct("high", "low").alias("set"))).alias("wanted"))
-    texts = rows.select("doc_id", "row", "text").alias("r")
-    on = F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("r.row") == F.col("w.row"))
-    lines = texts.join(wanted.alias("w"), on).select(F.split("r.text", "\n").alias("lines"), F.explode("w.wanted").alias("x"))
-    lines = lines.select(F.col("x.set").alias("set"), words_of(F.col("lines")[F.col("x.line")]).alias("words")).dropDuplicates(["set"])
-    lines = cut(lines, "words")
-    both = pairs.join(lines.select(F.col("set").alias("a"), F.col("words").alias("aw")), "a").join(lines.select(F.col("set").alias("b"), F.col("words").alias("bw")), "b")
-    shared = F.size(F.array_intersect("aw", "bw"))
-    links = cut(both.where(UNDER * shared >= TOP * (F.size("aw") + F.size("bw") - shared)).select("a", "b"), "links")
-
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    named = sets.select(F.struct("high", "low").alias("b"), F.struct("first.doc_id", "first.line").alias("first"))
-    linked = ends.join(named, "b").groupBy("a").agg(F.min("first").alias("other"), F.count("*").alias("links"))
-    known = sets.select(F.struct("high", "low").alias("a"), F.struct("first.doc_id", "first.line").alias("first"), "copies").join(linked, "a", "left").where("copies > 1 OR links > 0")
-    known = known.select("a.*", F.least("first", "other").alias("least"), F.coalesce("links", F.lit(0)).alias("links"))
-
-    docs_found = found.where("kind = 1").select("doc_id", "row", "n_lines", "line", "high", "low")
-    each = docs_found.select("doc_id", "row", F.explode(F.arrays_zip("line", "high", "low")).alias("l")).select("doc_id", "row", "l.line", "l.high", "l.low")
-    hit = each.distinct().join(known, ["high", "low"])
-    later = F.col("least") < F.struct("doc_id", "line")
-    per_doc = hit.groupBy("doc_id", "row").agg(F.array_sort(F.collect_list(F.when(later, F.col("line")))).alias("removed"), F.sum("links").alias("n_links"))
-    out = docs_found.alias("d").join(per_doc.alias("p"), F.col("d.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("d.row") == F.col("p.row")), "left")
-    return out.select("d.doc_id", "d.row", "d.n_lines", F.coalesce("p.removed", F.array().cast("array<int>")).alias("removed"), F.coalesce("p.n_links", F.lit(0)).cast("long").alias("n_links"))
+    parts = blocks(rows)
+    rows = rows.select("doc_id", F.xxhash64("text").alias("row"), "text")
+    slabs = cut_by(rows.mapInArrow(_slabs, SLABS), "block", parts, "slabs")
+    asked = slabs.select("block", "hash", "sets").mapInArrow(_ask(parts), ROW).repartitionById(parts, F.col("target").cast("int"))
+    rarity = cut(asked.mapInArrow(_answer, ROW), "rarity")
+    totals = rarity.groupBy(F.col("target").alias("block")).agg(F.collect_list(F.struct("origin", "data")).alias("totals"))
+    known = slabs.join(totals.hint("shuffle_hash"), "block")
+    tables: list[DataFrame] = [rarity]
+
+    def keep(frame: DataFrame, name: str) -> DataFrame:
+        tables.append(cut(frame, name))
+        return tables[-1]
+
+    told = set_join.alive(known.mapInArrow(_posts(parts), ROW), parts, keep)
+    sets = known.select("block", "hash", "sets", "totals").join(told.hint("shuffle_hash"), "block").mapInArrow(_sets(parts), ROW)
+    links = cut(sets.repartitionById(parts, F.col("target").cast("int")).mapInArrow(_verify(parts), ROW), "links")
+    for done in tables:
+        drop(done)
+    owned = slabs.mapInArrow(_register(parts), ROW).unionByName(links).repartitionById(parts, F.col("target").cast("int")).mapInArrow(_own, ROW)
+    answers = owned.groupBy(F.col("target").alias("block")).agg(F.collect_list("data").alias("known"))
+    return slabs.join(answers.hint("shuffle_hash"), "block", "left").mapInArrow(_removals, REMOVALS)
 
 
 def apply(docs: DataFrame) -> DataFrame:
     """``docs`` with column text less the removed lines; a text that loses nothing stays as it is, null too."""
-    gone = removals(docs).where(F.size("removed") > 0).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row"), F.col("removed").alias("_removed")).dropDuplicates(["_doc", "_row"])
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_or_empty()) == F.col("_row")), "left")
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("_removed", i)), "\n")
-    return joined.withColumn("text", F.when(F.col("_removed").isNotNull(), kept).otherwise(F.col("text"))).select(*docs.columns)
+    gone = removals(docs).where(F.size("removed") > 0).select(F.col("doc_id").alias("doc"), "row", "removed").dropDuplicates(["doc", "row"])
+    whole = docs.select(F.struct("*").alias("d")).alias("x")
+    text = F.coalesce(F.col("d.text").cast("string"), F.lit(""))
+    on = F.col("d.doc_id").cast("long").eqNullSafe(F.col("g.doc")) & (F.xxhash64(text) == F.col("g.row"))
+    joined = whole.join(gone.alias("g"), on, "left")
+    kept = F.array_join(F.filter(F.split("d.text", "\n"), lambda line, i: ~F.array_contains("g.removed", i)), "\n")
+    out = joined.select("d", F.when(F.col("g.removed").isNotNull(), kept).otherwise(F.col("d.text")).alias("text"))
+    return out.select(*(F.col("text") if c == "text" else F.col(f"d.`{c}`") for c in docs.columns))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``documents``: see ``removals``."""
     out = removals(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "n_links", "removed")
+    return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "class_id", "n_links", "removed", "match_doc", "match_line")
