@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import blobs, set_join
 from .common import blocks, cut, cut_by, drop, table, text_or_empty
 from .set_join import ROW, TOP, UNDER, Rows, pack, row_batch, taken, unpack, unzigzag, zigzag
-from .word_hash import line_words, mixed
+from .word_hash import ascending, line_words, mixed
 
 #: Bytes of text in a slab; a longer text is one by itself.
 SLAB = 6_000_000
@@ -47,7 +47,7 @@ def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts:
     word, sizes, counts = line_words(texts)
     hashes, at = np.unique(word, return_inverse=True)
     n = max(1, len(hashes))
-    line, at = np.divmod(np.unique(np.repeat(np.arange(len(sizes)), sizes) * n + at), n)
+    line, at = np.divmod(ascending(np.repeat(np.arange(len(sizes)), sizes) * n + at), n)
     starts = np.flatnonzero(np.diff(line, prepend=-1))
     size, own = np.diff(np.append(starts, len(line))), line[starts]
     _, chosen, of = np.unique(sums(hashes[at], starts) + size.astype(np.uint64), return_index=True, return_inverse=True)

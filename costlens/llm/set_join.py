@@ -27,7 +27,9 @@ TOP, UNDER = 4, 5
 #: Posts of a word that are compared in one cell, and posts that a task holds before it looks for such words.
 LIMIT, HELD = 16_000, 3_000_000
 #: Pairs that are looked at in one array operation.
-PAIRS = 2_000_000
+PAIRS = 500_000
+#: Rounds in which ``Verifier.labels`` takes one pair of each row before it takes all that are left.
+LEADS = 6
 #: cell: the word, 48 bits; name: the set; prev: 40 bits of the word before; bits: parities of the set's words in 64
 #: groups; item and block: where its words are; none, doc, line: where it is first; side: see ``spread``.
 POST = ("cell", "name", "prev", "bits", "size", "place", "item", "none", "doc", "line", "side", "block")
@@ -84,10 +86,11 @@ def sent_posts(rows: Rows) -> bytes:
     return pack([np.diff(rows["cell"], prepend=rows["cell"][:1] * 0), *(rows[k] for k in POST[1:-1])])
 
 
-def read_posts(data: bytes, block: int) -> Rows:
+def read_posts(data: bytes, block: int | None) -> Rows:
+    """Posts of a block; where a set's own name says where its words are, ``block`` is None."""
     found = unpack(data)
     rows = dict(zip(POST[:-1], [np.cumsum(found[0], dtype=np.uint64), *found[1:]]))
-    return rows | {"block": np.full(len(found[0]), block, np.int64).view(np.uint64)}
+    return rows | {"block": rows["name"] if block is None else np.full(len(found[0]), block, np.int64).view(np.uint64)}
 
 
 def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -96,7 +99,11 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def distinct(rows: Rows) -> Rows:
-    """Posts by cell and size; of the posts of one set in a cell and side only the first set's."""
+    """Posts of cells that have several, by cell and size; of one set's posts in a cell and side only the first."""
+    order = np.argsort(rows["cell"], kind="stable")
+    cell = rows["cell"][order]
+    same = cell[1:] == cell[:-1]
+    rows = taken(rows, order[np.append(same, False) | np.append(False, same)] if len(order) else order)
     order = np.lexsort((rows["line"], unzigzag(rows["doc"]), rows["none"] == 0, rows["side"], rows["name"], rows["size"], rows["cell"]))
     rows = taken(rows, order)
     new = np.ones(len(order), bool)
@@ -145,7 +152,7 @@ def alive_rows(rows: Rows) -> list[tuple]:
     return [(ALIVE, b, 0, pack([rows[k][i:j] for k in ("cell", "name", "place", "item", "none", "doc", "line", "side")])) for b, i, j in blobs.slices(rows["block"].view(np.int64))]
 
 
-def _meet(limit: int, held_most: int):
+def _meet(limit: int, held_most: int, by_name: bool):
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Rows] = []
         count, hot = 0, np.zeros(0, np.uint64)
@@ -165,7 +172,7 @@ def _meet(limit: int, held_most: int):
 
         for b in batches:
             for origin, data in zip(b.column(2).to_pylist(), b.column(3)):
-                held.append(read_posts(data.as_buffer(), origin))
+                held.append(read_posts(data.as_buffer(), None if by_name else origin))
                 count += len(held[-1]["cell"])
                 if count > held_most:
                     yield row_batch(leave())
@@ -212,10 +219,10 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row_batch(alive_rows(joined(held, POST)))
 
 
-def alive(posts: DataFrame, parts: int, keep) -> DataFrame:
-    """block, told (packed alive posts of the block): ``posts`` are rows of ``sent_posts`` by bucket; ``keep`` writes a
+def alive(posts: DataFrame, parts: int, keep, by_name: bool = False) -> DataFrame:
+    """block (or name), told (its packed alive posts): ``posts`` are rows of ``sent_posts`` by bucket; ``keep`` writes a
     table and gives it back."""
-    met = keep(posts.repartitionById(parts, F.col("target").cast("int")).mapInArrow(_meet(LIMIT, HELD), ROW), "met")
+    met = keep(posts.repartitionById(parts, F.col("target").cast("int")).mapInArrow(_meet(LIMIT, HELD, by_name), ROW), "met")
     hot = met.where(F.col("kind") == HOT)
     found = met.where(F.col("kind") == ALIVE)
     if not hot.isEmpty():
@@ -258,6 +265,7 @@ class Verifier:
             rows["prev"] = words[np.maximum(start + rows["place"].astype(np.int64) - 1, 0)]
             rows["bits"] = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(words) >> np.uint64(58)), start)
         self.rows = distinct(rows)
+        self.n = len(self.rows["cell"])
         self.start, self.size = self.rows["start"].astype(np.int64), self.rows["size"].astype(np.int64)
         kinds, self.word = np.unique(words, return_inverse=True)
         self.kinds, n = max(1, len(kinds)), self.size
@@ -288,3 +296,39 @@ class Verifier:
             ok = self.checked(i, j)
             if ok.any():
                 yield i[ok], j[ok]
+
+    def labels(self) -> np.ndarray:
+        """The least row of each row's component of similar pairs. Pairs that are in one component already are not
+        verified, so a large group of copies takes few rounds and not all its pairs."""
+        label = np.arange(self.n)
+        for i, j in possible(self.rows):
+            for turn in range(LEADS + 1):
+                apart = label[i] != label[j]
+                i, j = i[apart], j[apart]
+                if not len(i):
+                    break
+                if turn < LEADS:  # of each row one pair
+                    _, at = np.unique(j, return_index=True)
+                else:
+                    at = np.arange(len(i))
+                ok = self.checked(i[at], j[at])
+                label = merged(label, i[at][ok], j[at][ok])
+                left = np.ones(len(i), bool)
+                left[at] = False
+                i, j = i[left], j[left]
+        return label
+
+
+def merged(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Components after links between rows: labels are least rows."""
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        np.minimum.at(new, label[i], low)
+        np.minimum.at(new, label[j], low)
+        while (new[new] != new).any():
+            new = new[new]
+        new = new[label]
+        if (new == label).all():
+            return label
+        label = new
