@@ -22,21 +22,24 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
-#: Spark's setting by which a finished query deletes its own shuffle files.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Held while a table is written: a finished query deletes its own shuffle files, and batches for Python are small, since
+#: rows carry packed arrays of up to megabytes.
+HELD = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 @contextmanager
 def cleaned(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
+    before = {k: spark.conf.get(k, None) for k in HELD}
+    for k, v in HELD.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, table, text_or_empty
-from .word_hash import hash_words, pieces
+from .word_hash import ascending, hash_words, pieces
 
 WINDOW, STRIDE = 64, 32
 RANK, EXTRA = 128, 8
@@ -217,14 +217,14 @@ def weights(found: DataFrame, items: Items) -> np.ndarray:
         first = np.cumsum(windows) - windows
         for i, (found_, places) in enumerate(zip(b.column(1), b.column(2))):
             word, place = (np.frombuffer(x.as_buffer(), np.int32).astype(np.int64) for x in (found_, places))
-            total[:names, 0] += np.bincount(np.unique((first[i] + place // WINDOW) * names + word) % names, minlength=names) if len(word) else 0
+            total[:names, 0] += np.bincount(ascending((first[i] + place // WINDOW) * names + word) % names, minlength=names) if len(word) else 0
         total[names, 0] += windows.sum()
 
     got = summed(found, count, (names + 1, 1))[:, 0]
     frequency, n = got[:-1], max(1.0, got[-1])
     kept = frequency <= MOST_PASSAGES * n
     for k in range(len(items.part_of)):
-        own = np.unique(items.part(k))
+        own = ascending(items.part(k))
         if kept[own].sum() < LEAST:
             kept[own[np.argsort(frequency[own], kind="stable")][:LEAST]] = True
     return np.where(kept, np.log((n + 1) / (frequency + 1)) + 1e-3, 0.0)

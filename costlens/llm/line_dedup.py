@@ -32,7 +32,7 @@ from .set_join import ROW, TOP, UNDER, Rows, pack, row_batch, taken, unpack, unz
 from .word_hash import ascending, line_words, mixed
 
 #: Bytes of text in a slab; a longer text is one by itself.
-SLAB = 6_000_000
+SLAB = 3_000_000
 SLABS = "block long, hash binary, sets binary, docs binary"
 SALT = np.uint64(0x9E3779B97F4A7C15)
 REMOVALS = "doc_id long, row long, n_lines int, removed array<int>, match_doc array<long>, match_line array<int>, class_id long, n_links long"
