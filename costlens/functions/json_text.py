@@ -28,16 +28,21 @@ def tag_string(tags: Column) -> Column:
 def tag_pairs(tags: Column) -> Column:
     """Pairs of a tag text: of an object in its order; of a list, of its objects. Other texts have none.
 
-    An object of a list that has both ``key`` and ``value`` gives that pair once for each of its entries.
+    An object of a list that has both ``key`` and ``value`` gives that pair once for each of its entries. Items of a list
+    that are no objects are passed over. A null value is the text ``None``, but null in such a pair; other values are JSON.
     """
     pair = lambda k, v: F.struct(k.alias("key"), v.alias("value"))
-    of_object = F.transform(F.map_entries(F.from_json(tags, "map<string,string>")), lambda e: pair(e["key"], e["value"]))
+    entry = lambda e: pair(e["key"], F.coalesce(e["value"], F.lit("None")))
+    of_object = F.transform(F.map_entries(F.from_json(tags, "map<string,string>")), entry)
 
     def of_item(item: Column) -> Column:
         both = F.map_contains_key(item, F.lit("key")) & F.map_contains_key(item, F.lit("value"))
-        return F.transform(F.map_entries(item), lambda e: F.when(both, pair(item["key"], item["value"])).otherwise(pair(e["key"], e["value"])))
+        return F.transform(F.map_entries(item), lambda e: F.when(both, pair(item["key"], item["value"])).otherwise(entry(e)))
 
-    items = F.filter(F.from_json(tags, "array<map<string,string>>"), lambda m: m.isNotNull())
+    # a string item may look like an object, so the kind of an item is asked of the parsed list
+    parsed = F.try_variant_get(F.try_parse_json(tags), "$", "array<variant>")
+    objects = F.filter(F.from_json(tags, "array<string>"), lambda _, i: F.schema_of_variant(F.get(parsed, i)).startswith("OBJECT"))
+    items = F.transform(objects, lambda item: F.from_json(item, "map<string,string>"))
     of_list = F.flatten(F.transform(items, of_item))
     empty = F.array().cast(PAIRS)
     return F.when(F.trim(tags).startswith("["), F.coalesce(of_list, empty)).otherwise(F.coalesce(of_object, empty))

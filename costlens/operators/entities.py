@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import normalized
-from ..sources.store import scratch
+from ..sources.store import held, scratch
 
 DUPLICATE, RELATED, CONFIDENT, TOP_K = 0.92, 0.80, 0.95, 5
 GRAMS = (3, 5)
@@ -141,11 +141,19 @@ def entity_costs(entities: DataFrame, resources: DataFrame) -> DataFrame:
 
 
 def with_shares(costs: DataFrame, resources: DataFrame) -> DataFrame:
-    """Adds each entity's share of the total cost in percent, and the running sum from the most costly down."""
-    total = resources.agg(F.sum("Cost")).scalar()
-    share = F.col("cost").cast("double") / total.cast("double") * 100
-    order = Window.orderBy(F.desc("cost"), "entity_name").rowsBetween(Window.unboundedPreceding, 0)
-    return costs.withColumn("cost_pct_of_total", share).withColumn("cumulative_cost_pct", F.sum("cost_pct_of_total").over(order))
+    """Adds each entity's share of the total cost in percent, and the running sum from the most costly down.
+
+    The sum runs within ranges of the order and starts from what the ranges before add up to.
+    """
+    total = resources.agg(F.sum("Cost").cast("double").alias("total"))
+    order = [F.desc("cost"), F.asc("entity_name")]
+    ranged = costs.repartitionByRange(*order).withColumn("range", F.spark_partition_id())
+    shared = held(ranged, "entity-costs").crossJoin(F.broadcast(total)).withColumn("cost_pct_of_total", F.col("cost").cast("double") / F.col("total") * 100).drop("total")
+    sums = shared.groupBy("range").agg(F.sum("cost_pct_of_total").alias("own"))
+    before = F.coalesce(F.sum("own").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
+    within = F.sum("cost_pct_of_total").over(Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+    starts = sums.select("range", before.alias("before"))  # a row for each range
+    return shared.withColumn("within", within).join(F.broadcast(starts), "range").withColumn("cumulative_cost_pct", F.col("before") + F.col("within")).drop("range", "before", "within")
 
 
 def top_coverage(costs: DataFrame, n: int) -> DataFrame:
@@ -156,7 +164,7 @@ def top_coverage(costs: DataFrame, n: int) -> DataFrame:
 def scorecard(members: DataFrame, distinct: DataFrame, costs: DataFrame) -> DataFrame:
     """One row: groups, members, distinct entities, duplicate and related links, consolidation ratio, cost at risk."""
     m = members.agg(F.count_distinct("canonical").alias("num_groups"), F.count("*").alias("num_members"), F.count_if(F.col("link_type") == "duplicate").alias("duplicate_count"), F.count_if(F.col("link_type") == "related").alias("related_count"))
-    risk = costs.where("num_members > 0").agg(F.coalesce(F.sum("cost"), F.lit(0)).cast("decimal(38,4)")).scalar()
-    out = m.withColumns({"num_distinct": distinct.agg(F.count("*")).scalar(), "at_risk_cost": risk})
+    risk = costs.where("num_members > 0").agg(F.coalesce(F.sum("cost"), F.lit(0)).cast("decimal(38,4)").alias("at_risk_cost"))
+    out = m.crossJoin(distinct.agg(F.count("*").alias("num_distinct"))).crossJoin(risk)  # one row each
     total = F.col("num_groups") + F.col("num_distinct")
     return out.withColumn("consolidation_ratio", F.when(total > 0, (F.col("num_members") + F.col("num_groups")) / total).otherwise(0.0))

@@ -49,3 +49,8 @@ def extremes(rollup: DataFrame, scope: str, column: str, n: int = 15, largest: b
 def largest_groups(members: DataFrame, n: int = 15) -> DataFrame:
     """The ``n`` groups of most members."""
     return members.groupBy("canonical").agg(F.count("*").alias("members")).orderBy(F.desc("members"), "canonical").limit(n)
+
+
+def costliest_groups(costs: DataFrame, n: int = 15) -> DataFrame:
+    """The ``n`` groups of several members that cost most: entity_name, num_members, cost."""
+    return costs.where(F.col("num_members") > 0).orderBy(F.desc("cost"), "entity_name").limit(n).select("entity_name", "num_members", "cost")

@@ -31,7 +31,7 @@ def resources_per_day(costs: DataFrame) -> DataFrame:
     named = costs.withColumn("ResourceGroup", day_resource_group(F.col("ResourceId")))
     tuples = ["ResourceGroup", *METADATA]
     per_tuple = named.groupBy(*DAY, *tuples).agg(F.min("Tags").alias("Tags"), F.sum("EffectiveCost").alias("cost"))
-    by_day = per_tuple.groupBy(*DAY).agg(F.min("Tags").alias("Tags"), F.sum("cost").cast("decimal(38,4)").alias("TotalEffectiveCost"), F.collect_list(F.struct(*tuples)).alias("tuples"))
+    by_day = per_tuple.groupBy(*DAY).agg(F.min("Tags").alias("Tags"), F.sum("cost").cast("decimal(38,4)").alias("TotalEffectiveCost"), F.collect_list(F.when(F.col("ResourceId").isNotNull(), F.struct(*tuples))).alias("tuples"))
     # ids that are null meet no metadata: one row, all null
     none = F.array(F.lit(None).cast(by_day.schema["tuples"].dataType.elementType))
     out = by_day.withColumn("t", F.explode(F.when(F.col("ResourceId").isNull(), none).otherwise(F.col("tuples"))))

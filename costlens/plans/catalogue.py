@@ -120,19 +120,19 @@ def protect_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def protect_combined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report(spark, sf_dir).persist()
+    rows = store.held(report(spark, sf_dir), "report")
     both = reports.protect_categories(audit.protect_combined(audit.protect_by_frequency(rows, TERMS), _cost_set(rows)), 1)
     return _rounded(both.select("Chunk", "SupportNames", F.col("TotalCost").cast("decimal(38,4)").alias("TotalCost"), "InFrequencySet", "InCostSet", "category", "log_support", F.round("log_cost", 4).alias("log_cost"), F.col("scaled_spread").cast("long").alias("scaled_spread")))
 
 
 def suggested_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report(spark, sf_dir).persist()
+    rows = store.held(report(spark, sf_dir), "report")
     found = audit.suggested_entities(rows, audit.protect_by_frequency(rows, TERMS).select("Chunk"))
     return found.select("entity_name", F.size("found_in_chunks").cast("long").alias("n_names"), F.md5(F.array_join("found_in_chunks", "|")).alias("names_md5"))
 
 
 def _covered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = report(spark, sf_dir).persist()
+    rows = store.held(report(spark, sf_dir), "report")
     chunks = [r[0] for r in audit.protect_by_frequency(rows, TERMS).select("Chunk").collect()]  # capped at 500
     return rows, audit.glued_coverage(rows, chunks, TERMS)
 
@@ -155,15 +155,19 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.top_tokens(report(spark, sf_dir), TERMS)
 
 
+def _residues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Residues that contain no protected chunk. Every name of the tables has a chunk of three names, so that here a tenth
+    of the names makes a chunk protected."""
+    rows = store.held(report(spark, sf_dir), "report")
+    return extraction.clean_residues(rows, audit.protect_by_frequency(rows, TERMS, least=-(-rows.count() // 10)).select("Chunk"))
+
+
 def residue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report(spark, sf_dir).persist()
-    chunks = audit.protect_by_frequency(rows, TERMS).select("Chunk").where(F.length("Chunk") > 5)
-    return extraction.clean_residues(rows, chunks).groupBy("residue").agg(F.count("*").alias("n"))
+    return _residues(spark, sf_dir).groupBy("residue").agg(F.count("*").alias("n"))
 
 
 def extracted_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report(spark, sf_dir)
-    found = extraction.by_entity(extraction.extract(extraction.clean_residues(rows, spark.createDataFrame([], "Chunk string"))))
+    found = extraction.by_entity(extraction.extract(_residues(spark, sf_dir)))
     return found.select("entity_name", F.size("found_in_chunks").cast("long").alias("n_residues"))
 
 
@@ -172,8 +176,9 @@ def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    names = entity_names(spark, sf_dir).persist()
-    return names, entities.links(entities.similar_pairs(entities.gram_weights(names).persist())).persist()
+    names = store.held(entity_names(spark, sf_dir), "names")
+    weights = store.held(entities.gram_weights(names), "weights")
+    return names, store.held(entities.links(entities.similar_pairs(weights)), "links")
 
 
 def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -204,8 +209,9 @@ def entity_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _master(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    members = entities.groups(*_edges(spark, sf_dir)).persist()
-    return members, *entities.master(entities.merge(*_suggestions(spark, sf_dir)), members)
+    members = store.held(entities.groups(*_edges(spark, sf_dir)), "members")
+    merged = store.held(entities.merge(*_suggestions(spark, sf_dir)), "merged")
+    return members, *(store.held(f, "master") for f in entities.master(merged, members))
 
 
 def master_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -216,7 +222,7 @@ def master_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _costs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     members, grouped, distinct = _master(spark, sf_dir)
     every = grouped.select(F.col("canonical").alias("entity_name"), "found_in_chunks", F.size("members").alias("num_members")).unionByName(distinct.select("entity_name", "found_in_chunks", F.lit(0).alias("num_members")))
-    return members, distinct, entities.entity_costs(every.persist(), named_resources(spark, sf_dir).persist()).persist()
+    return members, distinct, store.held(entities.entity_costs(every, store.held(named_resources(spark, sf_dir), "resources")), "costs")
 
 
 def entity_cost_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,6 +230,15 @@ def entity_cost_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(costs.select("entity_name", F.col("num_members").cast("long").alias("num_members"), F.col("cost").cast("decimal(38,4)").alias("cost"), "cost_pct_of_total", "cumulative_cost_pct"), 4)
 
 
+def top_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(entities.top_coverage(_costs(spark, sf_dir)[2], 10), 4)
+
+
+def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reports.costliest_groups(_costs(spark, sf_dir)[2])
+    return found.select("entity_name", F.col("num_members").cast("long").alias("num_members"), F.col("cost").cast("decimal(38,4)").alias("cost"))
+
+
 def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(entities.scorecard(*_costs(spark, sf_dir)))
 
@@ -265,6 +280,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         resources_per_day, resources_per_day_json, state_hashes, monthly_resource_cost, tags_index, tag_json_parse, resource_group_extract, date_parse, decimal_parse,
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
         glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
-        master_groups, entity_cost_coverage, scorecard, histogram, density, box, csv_roundtrip, csv_roundtrip_days,
+        master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, csv_roundtrip, csv_roundtrip_days,
     )
 }

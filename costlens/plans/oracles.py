@@ -91,6 +91,13 @@ COVER_SQL = SPANS_SQL + f""", covered AS (
                kind IS NOT NULL AS whole FROM covered)
 )"""
 
+RESIDUE_SQL = SPANS_SQL + """, cleaned AS (
+  SELECT array_to_string(list_transform(tk, lambda x: CASE x.k WHEN '' THEN x.t ELSE '' END), '') AS residue FROM phase1
+), residues AS (
+  SELECT residue FROM cleaned WHERE length(residue) > 2
+  AND NOT EXISTS (SELECT 1 FROM freq WHERE SupportNames * 10 >= (SELECT count(*) FROM phase1) AND contains(residue, Chunk))
+)"""
+
 SCOPES_SQL = """(SELECT 'overall' AS ScopeType, 'overall' AS ScopeValue, * FROM {0}
   UNION ALL SELECT 'SubAccountName', SubAccountName, * FROM {0} WHERE SubAccountName IS NOT NULL
   UNION ALL SELECT 'ResourceGroup', ResourceGroup, * FROM {0} WHERE ResourceGroup IS NOT NULL
@@ -221,9 +228,10 @@ FROM freq JOIN (SELECT DISTINCT ResourceName FROM phase1 WHERE ResourceName IS N
   SELECT * FROM counted QUALIFY row_number() OVER (PARTITION BY ScopeType, ScopeValue, k ORDER BY n DESC, length(Token) DESC, Token) <= 5
 ) SELECT ScopeType, ScopeValue, {", ".join(f"coalesce(string_agg(Token || ':' || n, '|' ORDER BY n DESC, length(Token) DESC, Token) FILTER (WHERE k = '{k}'), '') AS Top{k.title()}Tokens" for k in ("TECH", "ENV", "REG"))}
 FROM best GROUP BY ScopeType, ScopeValue""",
-    "residue": f"""WITH {SPANS_SQL}, cleaned AS (
-  SELECT array_to_string(list_transform(tk, lambda x: CASE x.k WHEN '' THEN x.t ELSE '' END), '') AS residue FROM phase1)
-SELECT residue, count(*) AS n FROM cleaned WHERE length(residue) > 2 AND NOT EXISTS (SELECT 1 FROM freq WHERE Length > 5 AND contains(residue, Chunk)) GROUP BY residue""",
+    "residue": f"WITH {RESIDUE_SQL} SELECT residue, count(*) AS n FROM residues GROUP BY residue",
+    "extracted_entities": f"""WITH {RESIDUE_SQL}, best AS (
+  SELECT residue, list_sort(list_transform(regexp_extract_all(residue, '[A-Za-z]{{3,}}'), lambda w: {{'n': length(w), 'w': w}}), 'DESC')[1].w AS word FROM (SELECT DISTINCT residue FROM residues))
+SELECT lower(word) AS entity_name, count(*) AS n_residues FROM best WHERE word IS NOT NULL GROUP BY lower(word)""",
     "tfidf_pairs": f"WITH RECURSIVE {PAIRS_SQL} SELECT i, j, round(similarity, 6) AS similarity FROM pairs",
     "entity_links": f"WITH RECURSIVE {PAIRS_SQL} SELECT i, j, round(similarity, 6) AS similarity, link_type FROM links",
     "components": f"WITH RECURSIVE {PAIRS_SQL} SELECT node, component FROM comps",
@@ -233,6 +241,9 @@ SELECT residue, count(*) AS n FROM cleaned WHERE length(residue) > 2 AND NOT EXI
     "entity_cost_coverage": f"""WITH RECURSIVE {COSTS_SQL} SELECT entity_name, num_members, cost, round(pct, 4) AS cost_pct_of_total,
   round(sum(pct) OVER (ORDER BY cost DESC, entity_name ROWS UNBOUNDED PRECEDING), 4) AS cumulative_cost_pct
 FROM (SELECT *, CAST(cost AS DOUBLE) / (SELECT CAST(sum(Cost) AS DOUBLE) FROM named_resources) * 100 AS pct FROM entity_costs)""",
+    "top_coverage": f"""WITH RECURSIVE {COSTS_SQL} SELECT round(sum(pct), 4) AS coverage_pct FROM (
+  SELECT CAST(cost AS DOUBLE) / (SELECT CAST(sum(Cost) AS DOUBLE) FROM named_resources) * 100 AS pct FROM entity_costs ORDER BY cost DESC, entity_name LIMIT 10)""",
+    "top_groups": f"WITH RECURSIVE {COSTS_SQL} SELECT entity_name, num_members, cost FROM entity_costs WHERE num_members > 0 ORDER BY cost DESC, entity_name LIMIT 15",
     "scorecard": f"""WITH RECURSIVE {COSTS_SQL}, n AS (SELECT (SELECT count(DISTINCT canonical) FROM members) AS num_groups, (SELECT count(*) FROM members) AS num_members,
   (SELECT count(*) FROM members WHERE link_type = 'duplicate') AS duplicate_count, (SELECT count(*) FROM members WHERE link_type = 'related') AS related_count,
   (SELECT count(*) FROM merged WHERE entity_name NOT IN (SELECT entity_name FROM listed)) AS num_distinct,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 import json
 import tempfile
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,19 +14,33 @@ from pyspark.sql import types as T
 
 from ..functions.masks import Terms
 
+try:
+    import yaml
+except ImportError:  # an optional library
+    yaml = None
+
 # Small default term lists.
 DEFAULTS = {"exclusions": "vm sql aks db adf nsg vnet disk storage", "environments": "prod dev test uat qa stage staging preprod", "regions": "weu neu eus wus northeurope westeurope eastus westus"}
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share, or one of its own where the session names none."""
+    """The folder that driver and executors share. A local session that names none has one of its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costlens-"))
         folder = spark.sparkContext.getCheckpointDir()
     return folder
 
 
+def held(frame: DataFrame, name: str) -> DataFrame:
+    """``frame`` written in the shared folder and read back: later plans start from the table, not from what made it."""
+    path = f"{scratch(frame.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def month_path(base: str, tenant: str, stem: str, year: int, month: str, phase: str, suffix: str) -> str:
     return f"{base.rstrip('/')}/{tenant}/audit/{stem}.{year}_{month}.{phase}.{suffix}"
 
@@ -52,6 +69,89 @@ def read_document(spark: SparkSession, path: str) -> dict | list:
         return {}
 
 
+def _opened(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def write_text(spark: SparkSession, text: str, path: str) -> None:
+    """A small text as one file, in any store that Hadoop knows."""
+    store, place = _opened(spark, path)
+    out = store.create(place, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    store, place = _opened(spark, path)
+    if not store.exists(place):
+        return None
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    store, place = _opened(spark, path)
+    return store.exists(place)
+
+
+def make_dirs(spark: SparkSession, path: str) -> None:
+    store, place = _opened(spark, path)
+    store.mkdirs(place)
+
+
+def remove(spark: SparkSession, path: str) -> bool:
+    """Deletes a file or folder; False if there was none."""
+    store, place = _opened(spark, path)
+    return store.delete(place, True)
+
+
+def copy(spark: SparkSession, source: str, target: str) -> None:
+    """Copies a file or folder, between stores too."""
+    (a, x), (b, y) = _opened(spark, source), _opened(spark, target)
+    spark.sparkContext._jvm.org.apache.hadoop.fs.FileUtil.copy(a, x, b, y, False, True, spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_header(spark: SparkSession, columns: list[str], path: str) -> None:
+    """A CSV file of a header alone."""
+    out = io.StringIO()
+    csv.writer(out).writerow(columns)
+    write_text(spark, out.getvalue(), path)
+
+
+def read_yaml(spark: SparkSession, path: str) -> dict | list:
+    """A small YAML document; missing or invalid ones are empty. Without the yaml library only its JSON form is read."""
+    text = read_text(spark, path)
+    if text is None:
+        return {}
+    try:
+        return (yaml.safe_load(text) if yaml else json.loads(text)) or {}
+    except Exception:  # noqa: BLE001  the parsers raise errors of their own
+        return {}
+
+
+def write_yaml(spark: SparkSession, document: dict | list, path: str) -> None:
+    write_text(spark, yaml.dump(document, default_flow_style=False, sort_keys=False) if yaml else json.dumps(document, indent=1), path)
+
+
+#: Fixed value: the key of the list.
+KNOWN = "known_entities"
+
+
+def known_entities(spark: SparkSession, path: str) -> list[dict]:
+    """Entities that a tenant's YAML document lists; items that are no objects are passed over."""
+    document = read_yaml(spark, path)
+    listed = document.get(KNOWN, []) if isinstance(document, dict) else []
+    return [item for item in listed if isinstance(item, dict)] if isinstance(listed, list) else []
+
+
+def all_terms(chunks: list[str], terms: Terms) -> list[str]:
+    """Protected chunks and a tenant's terms in lower case, each once, the longest first and equally long ones by name."""
+    every = {str(t).lower() for t in [*chunks, *terms.tech, *terms.env, *terms.reg]}
+    return sorted(every, key=lambda t: (-len(t), t))
+
+
 def write_document(spark: SparkSession, document: dict | list, path: str) -> None:
     spark.createDataFrame([(json.dumps(document, indent=1, ensure_ascii=False),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 

@@ -7,15 +7,13 @@ import pytest
 
 from costlens.plans.catalogue import ORACLE_SQL, QUERIES
 
-SLOW = {"entity_cost_coverage", "master_groups"}
-
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return oracle.connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE_SQL and n not in SLOW])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLE_SQL])
 def test_query(spark, sf_dir, con, name):
     missing, extra, rows = oracle.compare(QUERIES[name](spark, sf_dir), con, ORACLE_SQL[name])
     spark.catalog.clearCache()
