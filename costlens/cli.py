@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import importlib
 import logging
+import os
 from logging.handlers import RotatingFileHandler
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.scalars import normalized
@@ -54,6 +56,40 @@ def run_audit(spark: SparkSession, base: str, tenant: str, year: int, month: str
     store.write_table(found, place("suggested_entities", "p2"))
 
 
+def model_named(name: str, temperature: float) -> extraction.Model:
+    """A model by ``module:function``; the function is called with the temperature and gives the model. ``offline`` is the
+    stand-in, which has no temperature."""
+    if name == "offline":
+        return extraction.offline_model
+    module, _, made = name.partition(":")
+    return getattr(importlib.import_module(module), made)(temperature)
+
+
+def run_report(spark: SparkSession, base: str, tenant: str, year: int, month: str) -> dict[str, DataFrame]:
+    """What a dashboard shows of a month, as tables in audit/report.<year>_<month>: distributions, scopes, protected chunks,
+    groups and what they cost. Parts whose inputs are not there yet are left out."""
+    place = lambda stem, phase, kind="parquet": store.month_path(base, tenant, stem, year, month, phase, kind)
+    rows = spark.read.parquet(place("audit_readiness", "p1"))
+    out = {
+        "residual_length": reports.histogram(rows, "ResidualLength", 50), "lengths": reports.density(rows, "OriginalLength", "ResidualLength"),
+        "removed_by_account": reports.box(rows, "SubAccountName", "RemovedChars"),
+        "scopes": reports.extremes(spark.read.parquet(place("corpus_readiness_summary", "p2")), "SubAccountName", "PctRemovedMean"),
+        "protected": spark.read.parquet(place("protect_set_combined", "p2")),
+    }
+    document = store.read_document(spark, place("master_suggested_entities", "p4", "json"))
+    if document:
+        member = "array<struct<entity_name:string,similarity:double,link_type:string>>"
+        grouped = spark.createDataFrame([(g["canonical"], g["found_in_chunks"], g["members"]) for g in document["groups"]], f"canonical string, found_in_chunks array<string>, members {member}")
+        distinct = spark.createDataFrame([(e["entity_name"], e["found_in_chunks"]) for e in document["distinct_entities"]], "entity_name string, found_in_chunks array<string>")
+        every = grouped.select(F.col("canonical").alias("entity_name"), "found_in_chunks", F.size("members").alias("num_members")).unionByName(distinct.withColumn("num_members", F.lit(0)))
+        costs = store.held(entities.entity_costs(every, rows), "costs")
+        members = grouped.select("canonical", F.explode("members").alias("m")).select("canonical", "m.*")
+        out |= {"entity_costs": costs, "groups": reports.costliest_groups(costs), "coverage": entities.top_coverage(costs, 10), "scorecard": entities.scorecard(members, distinct, costs)}
+    for name, frame in out.items():
+        store.write_table(frame, place(f"report/{name}", "p5"))
+    return out
+
+
 def run_agent(spark: SparkSession, base: str, tenant: str, year: int, month: str, model: extraction.Model = extraction.offline_model, size: str = "small") -> None:
     place = lambda stem, phase: store.month_path(base, tenant, stem, year, month, phase, "parquet")
     residues = extraction.clean_residues(spark.read.parquet(place("audit_readiness", "p1")), spark.read.parquet(place("protect_set", "p2")).select("Chunk"))
@@ -64,8 +100,6 @@ def run_agent(spark: SparkSession, base: str, tenant: str, year: int, month: str
 def run_merge(spark: SparkSession, base: str, tenant: str, year: int, month: str) -> dict:
     place = lambda stem, phase: store.month_path(base, tenant, stem, year, month, phase, "parquet")
     merged = entities.merge(*(store.read_table(spark, place("suggested_entities", p), ENTITY) for p in ("p2", "p3"))).persist()
-    from pyspark.sql import Window
-
     names = merged.select(F.col("entity_name").alias("name"), (F.row_number().over(Window.orderBy(F.col("validation_source")[0].desc(), "entity_name")) - 1).cast("long").alias("index")).persist()
     members = entities.groups(names, entities.links(entities.similar_pairs(entities.gram_weights(names))).persist())
     grouped, distinct = entities.master(merged, members.persist())
@@ -77,36 +111,46 @@ def run_merge(spark: SparkSession, base: str, tenant: str, year: int, month: str
 def parser() -> argparse.ArgumentParser:
     out = argparse.ArgumentParser(prog="costlens", description=__doc__)
     kinds = out.add_subparsers(dest="command", required=True)
-    for name in ("ingest", "audit", "agent", "merge"):
+    for name in ("ingest", "audit", "agent", "merge", "report"):
         p = kinds.add_parser(name)
         p.add_argument("--tenant", required=True)
         p.add_argument("--output-base", required=True)
         p.add_argument("--log-level", default="INFO")
         p.add_argument("--log-file")
+        p.add_argument("--log-dir", help="folder of a log file named after the command")
         if name == "ingest":
             p.add_argument("--input", required=True)
+            p.add_argument("--fs", default="", help="scheme and authority of paths without one, as in hdfs://host")
+            p.add_argument("--batch-size", type=int, default=100_000, help="KiB of a file that a task reads at a time")
+            p.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=True)
             p.add_argument("--compression", default="snappy")
             p.add_argument("--overwrite", action=argparse.BooleanOptionalAction, default=True)
         else:
             p.add_argument("--year", type=int, required=True)
             p.add_argument("--month", required=True)
         if name == "agent":
+            p.add_argument("--llm-model", default="offline", help="offline, or module:function that makes a model of a temperature")
+            p.add_argument("--temperature", type=float, default=0.0)
             p.add_argument("--model-size", choices=sorted(extraction.LIMITS), default="small")
     return out
 
 
 def main(args: list[str] | None = None) -> None:
     a = parser().parse_args(args)
-    set_up_logging(a.log_level, a.log_file)
+    set_up_logging(a.log_level, a.log_file or (os.path.join(a.log_dir, f"{a.command}.log") if a.log_dir else None))
     spark = SparkSession.builder.appName("costlens").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     if a.command == "ingest":
-        log.info("%s", ingest.IngestionService(spark, a.output_base, a.tenant, a.compression, a.overwrite).ingest(a.input))
+        at = lambda path: path if "://" in path or not a.fs else a.fs.rstrip("/") + "/" + path.lstrip("/")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", a.batch_size * 1024)
+        log.info("%s", ingest.IngestionService(spark, at(a.output_base), a.tenant, a.compression, a.overwrite, a.multi_line).ingest(at(a.input)))
         return
     month = f"{int(a.month):02d}"
     if a.command == "audit":
         run_audit(spark, a.output_base, a.tenant, a.year, month)
     elif a.command == "agent":
-        run_agent(spark, a.output_base, a.tenant, a.year, month, size=a.model_size)
+        run_agent(spark, a.output_base, a.tenant, a.year, month, model_named(a.llm_model, a.temperature), a.model_size)
+    elif a.command == "report":
+        run_report(spark, a.output_base, a.tenant, a.year, month)
     else:
         run_merge(spark, a.output_base, a.tenant, a.year, month)
 

@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,8 +71,10 @@ def validated(response) -> dict[str, list[dict]]:
     return out
 
 
-def extract(residues: DataFrame, model: Model = offline_model, size: int = 275) -> DataFrame:
-    """Adds entities to each distinct residue, asking the model for ``size`` at a time. A batch that fails has none."""
+def extract(residues: DataFrame, model: Model = offline_model, size: int = 275, progress: Accumulator | None = None) -> DataFrame:
+    """Adds entities to each distinct residue, asking the model for ``size`` at a time. A batch that fails has none.
+
+    ``progress`` counts the batches that were asked; the driver may read it while tasks run."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -81,7 +84,9 @@ def extract(residues: DataFrame, model: Model = offline_model, size: int = 275)
                 try:
                     found.update(validated(model(listed[at : at + size])))
                 except Exception:  # noqa: BLE001  the model is foreign code; its batch stays without entities
-                    continue
+                    pass
+                if progress is not None:
+                    progress.add(1)
             yield pd.DataFrame({"residue": listed, "entities": [found.get(r, []) for r in listed]})
 
     return residues.select("residue").distinct().mapInPandas(ask, f"residue string, entities {ENTITY}")

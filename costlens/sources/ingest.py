@@ -32,6 +32,7 @@ class IngestResult:
     rows_processed: int = 0
     rejected_cells: int = 0
     partitions_written: int = 0
+    rows_by_day: dict[str, int] = field(default_factory=dict)
 
 
 def dataset_path(base: str, tenant: str, dataset: str = DATASET) -> str:
@@ -43,9 +44,18 @@ def partition_path(base: str, tenant: str, year: int, month: int, day: int, data
 
 
 def header_of(spark: SparkSession, path: str) -> list[str]:
-    """Column names of a CSV file, from its first line."""
-    first = spark.read.text(path).limit(1).collect()
-    return next(csv.reader([first[0][0].lstrip("﻿")])) if first else []
+    """Column names of a CSV file, from its first line, which the driver reads without a job; by its suffix a file may be
+    compressed."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(conf).open(place)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(place)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+    try:
+        first = reader.readLine()
+    finally:
+        reader.close()
+    return next(csv.reader([first.lstrip("\ufeff")])) if first else []
 
 
 def check_columns(names: list[str], path: str = "") -> None:
@@ -54,10 +64,11 @@ def check_columns(names: list[str], path: str = "") -> None:
         raise MissingColumns(f"{path} lacks {', '.join(missing)}")
 
 
-def read_csv(spark: SparkSession, paths: list[str], names: list[str]) -> DataFrame:
-    """Files of one header, all columns as text; quotes are doubled inside quoted fields, which may span lines."""
+def read_csv(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = True) -> DataFrame:
+    """Files of one header, all columns as text; quotes are doubled inside quoted fields, which may span lines if
+    ``multi_line``. Without it, large files are split among tasks."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(paths, schema=schema, header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE", enforceSchema=False)
+    return spark.read.csv(paths, schema=schema, header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE", enforceSchema=False)
 
 
 def _typed(name: str, kind: str, present: bool) -> Column:
@@ -100,6 +111,15 @@ def read_days(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
+def day_counts(spark: SparkSession, path: str) -> dict[str, int]:
+    """Rows of each day of a dataset, from its files' footers; none if there is no dataset."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return {}
+    return {"-".join(map(str, r[:3])): r[3] for r in read_days(spark, path).groupBy(*PARTITIONS).count().collect()}
+
+
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files that a path or glob names, in any store that Hadoop knows."""
     jvm = spark.sparkContext._jvm
@@ -118,6 +138,7 @@ class IngestionService:
     tenant: str
     compression: str = "snappy"
     overwrite: bool = True
+    multi_line: bool = True
 
     def ingest(self, pattern: str) -> IngestResult:
         out = IngestResult()
@@ -130,7 +151,7 @@ class IngestionService:
                 out.files_failed[path] = str(error)
                 continue
             by_header.setdefault(tuple(names), []).append(path)
-        frames = [(read_csv(self.spark, paths, list(names)), len(paths)) for names, paths in by_header.items()]
+        frames = [(read_csv(self.spark, paths, list(names), self.multi_line), len(paths)) for names, paths in by_header.items()]
         if not frames:
             return out
         typed = None
@@ -138,10 +159,14 @@ class IngestionService:
             rows = with_rejects(frame)
             typed = rows if typed is None else typed.unionByName(rows)
             out.files_processed += count
-        seen = Observation("ingest")
-        counted = typed.observe(seen, F.count("*").alias("rows"), F.sum("_rejected").alias("rejected"))
-        write_days(counted.drop("_rejected"), dataset_path(self.output_base, self.tenant), self.overwrite, self.compression)
+        seen, path = Observation("ingest"), dataset_path(self.output_base, self.tenant)
+        before = {} if self.overwrite else day_counts(self.spark, path)
+        day = F.concat_ws("-", F.col("year").cast("string"), "month", "day")
+        counted = typed.observe(seen, F.count("*").alias("rows"), F.sum("_rejected").alias("rejected"), F.collect_set(day).alias("days"))
+        write_days(counted.drop("_rejected"), path, self.overwrite, self.compression)
         got = seen.get
         out.rows_processed, out.rejected_cells = got["rows"], got["rejected"] or 0
-        out.partitions_written = typed.select(*PARTITIONS).distinct().count()
+        after = day_counts(self.spark, path)
+        out.rows_by_day = {d: after[d] - before.get(d, 0) for d in sorted(got["days"])}
+        out.partitions_written = len(out.rows_by_day)
         return out

@@ -14,7 +14,7 @@ from costlens import cli
 from costlens.functions import json_text, scalars
 from costlens.functions.masks import Terms
 from costlens.operators import audit, entities, extraction, views
-from costlens.sources import ingest
+from costlens.sources import ingest, store
 from costlens.sources.spec import MANDATORY, SCHEMA, SPEC
 from costlens.streaming.files import stream_costs
 
@@ -102,7 +102,9 @@ def test_extraction(spark):
             raise RuntimeError("down")
         return extraction.offline_model(batch)
 
-    got = {r["residue"]: [e["entity_name"] for e in r["entities"]] for r in extraction.extract(residues.coalesce(1), model, 1).collect()}
+    asked = spark.sparkContext.accumulator(0)
+    got = {r["residue"]: [e["entity_name"] for e in r["entities"]] for r in extraction.extract(residues.coalesce(1), model, 1, asked).collect()}
+    assert asked.value >= 3 and cli.model_named("offline", 0.5) is extraction.offline_model
     assert got == {"payroll-x": ["payroll"], "boom": [], "a1": []}
     assert extraction.validated("nonsense") == {} and extraction.validated({"results": [{"chunk": "a", "entities": [{"entity_name": 3}]}]}) == {"a": []}
     assert [extraction.batch_size(*v) for v in extraction.LIMITS.values()] == [2475, 1475, 275]
@@ -133,6 +135,9 @@ def test_ingest_and_month(spark, tmp_path, cost_files):
     base = str(tmp_path / "out")
     result = ingest.IngestionService(spark, base, "t").ingest(f"{cost_files}/*.csv")
     assert (result.files_processed, len(result.files_failed), result.rows_processed, result.rejected_cells, result.partitions_written) == (1, 1, 17, 1, 3)
+    assert result.rows_by_day == {"2025-01-01": 8, "2025-01-02": 8, "2025-01-03": 1}
+    more = ingest.IngestionService(spark, str(tmp_path / "more"), "t", overwrite=False, multi_line=False)
+    assert more.ingest(f"{cost_files}/good.csv").rows_by_day == more.ingest(f"{cost_files}/good.csv").rows_by_day == result.rows_by_day
     days = ingest.read_days(spark, ingest.dataset_path(base, "t"))
     assert days.columns == SCHEMA.names and {r["month"] for r in days.select("month").distinct().collect()} == {"01"}
     ingest.IngestionService(spark, base, "t").ingest(f"{cost_files}/good.csv")
@@ -146,6 +151,9 @@ def test_ingest_and_month(spark, tmp_path, cost_files):
     cli.run_agent(spark, base, "t", 2025, "01")
     document = cli.run_merge(spark, base, "t", 2025, "01")
     assert {"payroll", "ledger"} <= {e["entity_name"] for e in document["distinct_entities"]} | {g["canonical"] for g in document["groups"]}
+    report = cli.run_report(spark, base, "t", 2025, "01")
+    assert report["scorecard"].first()["num_groups"] == len(document["groups"]) and report["entity_costs"].count() > 0
+    assert spark.read.parquet(store.month_path(base, "t", "report/scorecard", 2025, "01", "p5", "parquet")).count() == 1
     assert views.describe(spark, "resources_per_day")[0]["column_name"] == "ResourceId"
 
 
@@ -156,3 +164,19 @@ def test_stream_appends(spark, tmp_path, cost_files):
     for _ in range(2):
         stream_costs(spark, str(cost_files), names, out, str(tmp_path / "state")).awaitTermination()
     assert ingest.read_days(spark, out).count() == 17
+
+
+def test_store_documents(spark, tmp_path):
+    path = str(tmp_path / "t" / "known.yaml")
+    assert store.read_yaml(spark, path) == {} and not store.exists(spark, path)
+    store.write_yaml(spark, {"known_entities": [{"entity_name": "a"}, 3]}, path)
+    assert store.known_entities(spark, path) == [{"entity_name": "a"}] and store.known_entities(spark, path + "x") == []
+    store.copy(spark, path, str(tmp_path / "copy.yaml"))
+    assert store.remove(spark, path) and not store.remove(spark, path) and store.exists(spark, str(tmp_path / "copy.yaml"))
+    store.write_text(spark, "a: [", path)
+    assert store.read_yaml(spark, path) == {}
+    store.write_header(spark, ["a", "b,c"], str(tmp_path / "empty.csv"))
+    assert spark.read.csv(str(tmp_path / "empty.csv"), header=True).columns == ["a", "b,c"]
+    store.make_dirs(spark, str(tmp_path / "new" / "folder"))
+    assert store.exists(spark, str(tmp_path / "new" / "folder"))
+    assert store.all_terms(["Payroll", "sql"], Terms.of(["SQL"], ["dev"], ["weu"])) == ["payroll", "dev", "sql", "weu"]
