@@ -293,45 +293,62 @@ def test_simhash_thresholds_cover_the_radius():
         assert part and t in (0, 1)
 
 
-def test_language_model(spark, docs, texts, nothing):
+@pytest.mark.parametrize("order, slab, segment", [(3, 8_000_000, 256), (3, 700, 4), (2, 700, 3), (1, 700, 3), (4, 700, 5)])
+def test_language_model(spark, docs, texts, nothing, monkeypatch, order, slab, segment):
+    monkeypatch.setattr(language_model, "SLAB", slab)
+    monkeypatch.setattr(language_model, "SEGMENT", segment)
     tokens = {i: [*words(lowered(t)), " end"] for i, t in texts}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in tokens}
-    seen, pairs, after = Counter(), Counter(), defaultdict(set)
+    seen = {k: Counter() for k in range(1, order + 1)}
     for i, w in tokens.items():
         if not held[i]:
-            seen.update(w)
-            for a, b in zip([" begin", *w], w):
-                pairs[a, b] += 1
-                after[a].add(b)
-    n, v = sum(seen.values()), len(seen)
-    before = {**seen, " begin": seen[" end"]}
-    p = lambda w: (seen[w] + 1) / (n + v + 1)
-    got = by_id(language_model.scored(docs))
+            for k in seen:
+                padded = w if k == 1 else [" begin", *w]
+                seen[k].update(tuple(padded[at : at + k]) for at in range(len(padded) - k + 1))
+    n, v = sum(seen[1].values()), len(seen[1])
+    times = lambda h: seen[1][" end",] if h == (" begin",) else seen[len(h)][h]
+
+    def p(history, w):
+        if not history:
+            return (seen[1][w,] + 1) / (n + v + 1)
+        shorter = p(history[1:], w)
+        most = len(seen[len(history) + 1]) / len(seen[len(history)])
+        return (seen[len(history) + 1][(*history, w)] + most * shorter) / (times(history) + most) if times(history) else shorter
+
+    got = by_id(language_model.scored(docs, order))
     for i, w in tokens.items():
-        base = sum(math.log10(p(x)) for x in w)
-        score = sum(math.log10((pairs[a, b] + len(after[a]) * p(b)) / (before[a] + len(after[a])) if before.get(a) else p(b)) for a, b in zip([" begin", *w], w))
+        padded = [" begin", *w]
+        base = sum(math.log10(p((), x)) for x in w)
+        score = sum(math.log10(p(tuple(padded[max(0, k + 2 - order) : k + 1]), x)) for k, x in enumerate(w))
         r = got[i]
-        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(seen[x] > 0 for x in w), n)
-        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9)
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[i], len(w), sum(seen[1][x,] > 0 for x in w), n)
+        assert math.isclose(r["base_score"], base, rel_tol=1e-9) and math.isclose(r["score"], score, rel_tol=1e-9), i
     assert language_model.scored(nothing).count() == 0
 
 
+def test_language_model_takes_nulls_and_repeats(spark):
+    rows = [(None, "a b", "x", 1), (None, "a b", "y", 2), (1, "a b c", "z", 3), (1, "a b c", "z", 3), (3, None, None, 4)]
+    got = language_model.scored(spark.createDataFrame(rows, "doc_id long, text string, block string, score long")).collect()
+    assert len(got) == 5 and sum(r["doc_id"] is None and r["held_out"] for r in got) == 2
+    assert len({r["score"] for r in got if r["doc_id"] == 1}) == 1 and {r["n_tokens"] for r in got if r["doc_id"] == 3} == {1}
+
+
 def test_automaton_sums_to_one():
-    """Over all words and the unknown one, from every state."""
-    words_, pairs = 4, {(0, 1): 3, (0, 2): 1, (2, 3): 2}
-    single = np.log10(np.array([0.3, 0.3, 0.2, 0.1, 0.1]))  # the last is unknown
-    arcs, weights, failure = [], [], np.full(5, -np.inf)
-    for h in (0, 2):
-        c, t = sum(n for (a, _), n in pairs.items() if a == h), sum(a == h for a, _ in pairs)
-        failure[h] = math.log10(t / (c + t))
-        for w in range(words_ + 1):
-            if (h, w) in pairs:
-                arcs.append(h * 5 + w)
-                weights.append(math.log10((pairs[h, w] + t * 10 ** single[w]) / (c + t)))
-    a = language_model.Automaton(5, np.array(arcs), np.array(weights), failure, single, 0)
-    for state in (-1, 0, 2):
-        gain, _ = a.step(np.full(5, state), np.arange(5))
-        assert math.isclose((10**gain).sum(), 1, rel_tol=1e-9)
+    """Over all words, of which training has not seen one, from every state."""
+    lm, rng = language_model, np.random.default_rng(4)
+    known = np.sort(np.array([5, 9, 14, 1 << 40, lm.END, lm.BEGIN], np.uint64))
+    end, unseen = (int(np.searchsorted(known, np.uint64(h))) for h in (lm.END, 14))
+    others = [k for k in range(len(known)) if known[k] not in (lm.END, lm.BEGIN) and k != unseen]
+    texts = [[*rng.choice(others, rng.integers(0, 7)).tolist(), end] for _ in range(12)] + [[unseen, others[0], end]]
+    docs = [np.zeros(13, np.uint64), np.zeros(13, np.uint64), np.arange(13) == 12, np.array([len(t) for t in texts])]
+    slab = lm.Slab(dict(block=0, hash=lm.blobs.steps(known), words=lm.blobs.packed(np.array(sum(texts, []))), docs=lm.pack(docs)), 3)
+    count = {k: np.bincount(g[slab.train & (g >= 0)], minlength=len(slab.key[k])) for k, g in slab.gram.items()}
+    made, _ = lm.automaton(slab, count, {k: ((c > 0).sum(), c.sum()) for k, c in count.items()})
+    assert len(made.fail) > 10 and (count[1] == 0).sum() == 2  # the unseen word and the begin mark
+    words_ = np.array([k for k in range(len(known)) if k != slab.begin])
+    for state in range(len(made.fail)):
+        gain, _ = made.step(np.full(len(words_), state), words_)
+        assert math.isclose((10**gain).sum(), 1, rel_tol=1e-9), state
 
 
 def test_token_output(spark, docs, texts, nothing, tmp_path):
