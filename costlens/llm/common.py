@@ -102,3 +102,24 @@ def words(text: str) -> list[bytes]:
 def lower_words(text: str) -> list[bytes]:
     """Words with A-Z in lower case; bytes.lower() changes no other character."""
     return text.encode("utf-8", "surrogatepass").lower().split()
+
+
+def unused(name: str, names: list[str]) -> str:
+    """``name``, with lines under it until no column has it."""
+    while name in names:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs`` in one column d, so that no name clashes, with what tells them apart: none (doc_id is null), doc,
+    row (a hash of the text)."""
+    text = F.coalesce(F.col("d.text").cast("string"), F.lit(""))
+    doc = F.coalesce(F.col("d.doc_id").cast("long"), F.lit(0))
+    return docs.select(F.struct("*").alias("d")).select("d", F.col("d.doc_id").isNull().alias("none"), doc.alias("doc"), F.xxhash64(text).alias("row"))
+
+
+def chosen_rows(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each of ``chosen`` (none, doc_id, row)."""
+    ids = chosen.select("none", F.coalesce("doc_id", F.lit(0)).alias("doc"), "row")
+    return keyed(docs).join(ids, ["none", "doc", "row"], "left_semi").dropDuplicates(["none", "doc", "row"]).select("d.*")

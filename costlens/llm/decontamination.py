@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_or_empty
+from .common import cut, keyed, table, text_or_empty
 from .word_hash import ascending, hash_words, pieces
 
 WINDOW, STRIDE = 64, 32
@@ -364,9 +364,8 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without those that match an item."""
-    bad = matches(docs, benchmark).select(F.col("doc_id").alias("_doc"), F.col("row").alias("_row")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_doc")) & (F.xxhash64(text_or_empty()) == F.col("_row"))
-    return docs.join(bad, same, "left_anti")
+    bad = matches(docs, benchmark).select(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "row").distinct()
+    return keyed(docs).join(bad, ["none", "doc", "row"], "left_anti").select("d.*")
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

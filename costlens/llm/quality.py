@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_or_empty, words
+from .common import cut, table, text_or_empty, unused, words
 
 #: Labelled documents that teach at most.
 LABELLED = 20_000
@@ -95,7 +95,7 @@ def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
             columns = [pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64()) for _ in BASE + MORE]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *BASE, *MORE])
 
-    return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(measure, schema)
+    return docs.select(*keep, text_or_empty().alias(unused("text", keep))).mapInArrow(measure, schema)
 
 
 def base_failed() -> Column:
@@ -222,7 +222,8 @@ def apply_to(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataF
 
 
 def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, the statistics, base_failed and kept of each row of ``docs``, with what else its columns hold but text."""
+    """doc_id, the statistics, base_failed and kept of each row of ``docs``, with its other columns but text; of these,
+    such as have the name of a result are left out."""
     keep = [c for c in docs.columns if c not in {"text", *BASE, *MORE, "base_failed", "kept"}]
     stats = cut(with_statistics(docs, keep), "statistics")
     rules = teach(stats, labels)

@@ -2,8 +2,9 @@ r"""Operator 7: SimHash near duplicates by the generalised pigeonhole principle.
 
 Fingerprints are grouped first, so that copies cost one row. The 64 bits are cut into parts of correlated bits; part i
 gets a threshold t_i (-1: not probed) with sum(t_i) = radius - parts + 1, so that fingerprints within ``radius`` bits
-agree within t_i bits on some part i. Parts and thresholds come from dynamic programming over the candidate counts
-that the corpus's own part values and bit frequencies predict. Buckets of one probe are small for random fingerprints;
+agree within t_i bits on some part i. Parts and thresholds come from dynamic programming over estimated candidate counts:
+how many pairs agree on a part is counted over all fingerprints, so that what correlation does to a part is in its cost;
+how many more differ there in one bit follows from the frequencies of its bits. Buckets of one probe are small for random fingerprints;
 those above ``BUCKET`` are resolved without pairs: two fingerprints are within 2 bits just if their sets {itself and its
 64 one-bit neighbours} meet, so they are linked through those neighbours, 65 rows for each fingerprint.
 
@@ -11,8 +12,9 @@ Words are ``[^\x20\x09-\x0D]+`` after lower-casing A-Z; a document of fewer word
 whole sequence, and one without words the fingerprint zero, linked like any other.
 
 Nulls: a null text has no words, a null doc_id is kept, links like any other row and is never the least of a component
-that has another id. Repeated rows are rows of their own. Other columns are kept by ``one_of_each`` and ignored by the
-query. An empty table gives no rows.
+that has another id. Repeated rows are rows of their own, of which ``one_of_each`` keeps one; ties go to the least text
+hash. A very long text is one fingerprint, made in pieces. Other columns are kept by ``one_of_each``, whatever their names,
+and ignored by the query. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, lower_words, table, text_or_empty
+from .common import chosen_rows, cut, lower_words, table, text_or_empty, unused
 from .components import components
 
 BITS = 64
@@ -67,7 +69,7 @@ def with_fingerprint(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -
             found = [fingerprint(lower_words(t), shingle) for t in batch.column(batch.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(found, pa.int64())], names=[*keep, "fp"])
 
-    return docs.select(*keep, text_or_empty().alias("_text")).mapInArrow(measure, docs.select(*keep).schema.add("fp", "long"))
+    return docs.select(*keep, text_or_empty().alias(unused("text", keep))).mapInArrow(measure, docs.select(*keep).schema.add("fp", "long"))
 
 
 def bit_statistics(prints: DataFrame) -> tuple[int, np.ndarray]:
@@ -112,15 +114,25 @@ def parts_of(n: int, both: np.ndarray, number: int) -> list[list[int]]:
     return out
 
 
-def predicted(n: int, p: np.ndarray, part: list[int], most: int) -> list[float]:
-    """Cost of probing ``part`` with thresholds -1, 0, .., most: rows, and pairs that agree within the threshold if bits
-    are set with their own frequencies."""
+def agreeing(prints: DataFrame, parts: list[list[int]]) -> list[float]:
+    """Pairs of fingerprints that have the same value of each part, counted over all."""
+    values = F.array(*(F.struct(F.lit(k).alias("part"), F.col("fp").bitwiseAND(F.lit(_masked(part))).alias("key")) for k, part in enumerate(parts)))
+    times = prints.select(F.explode(values).alias("v")).groupBy("v.part", "v.key").agg(F.count("*").cast("double").alias("n"))
+    found = {r["part"]: r["pairs"] for r in times.groupBy("part").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs")).collect()}
+    return [found.get(k, 0.0) for k in range(len(parts))]
+
+
+def predicted(n: int, p: np.ndarray, part: list[int], most: int, same: float | None = None) -> list[float]:
+    """Cost of probing ``part`` with thresholds -1, 0, .., most: rows, and pairs that agree within the threshold. ``same``
+    pairs agree on it; the others are as many more as if bits were set with their own frequencies."""
     differ = 2 * p[part] * (1 - p[part])
     chance = np.zeros(most + 1)
     chance[0] = 1.0
     for q in differ:  # chance of differing in k bits of the part
         chance[1:] = chance[1:] * (1 - q) + chance[:-1] * q
         chance[0] *= 1 - q
+    if same is not None:
+        chance *= same / max(1e-300, n * n / 2 * chance[0])
     out, rows = [0.0], 1.0
     for t in range(most + 1):
         if t:
@@ -143,14 +155,15 @@ def allocate(costs: list[list[float]], total: int) -> tuple[float, list[int]]:
     return best[total]
 
 
-def scheme(n: int, both: np.ndarray, radius: int = RADIUS) -> list[tuple[list[int], int]]:
-    """Parts to probe and their thresholds."""
+def scheme(n: int, both: np.ndarray, radius: int = RADIUS, count=None) -> list[tuple[list[int], int]]:
+    """Parts to probe and their thresholds; ``count`` gives the agreeing pairs of a list of parts."""
     p = np.diag(both) / max(n, 1)
+    choices = [parts_of(n, both, number) for number in range(radius, radius + 4)]
+    same = iter(count([part for parts in choices for part in parts]) if count else [])
     options = []
-    for number in range(1, radius + 4):
-        parts = parts_of(n, both, number)
-        cost, ts = allocate([predicted(n, p, part, min(1, radius)) for part in parts], radius - number + 1) if number >= radius else (np.inf, [])
-        options.append((cost, number, [(part, t) for part, t in zip(parts, ts) if t >= 0]))
+    for parts in choices:
+        cost, ts = allocate([predicted(n, p, part, min(1, radius), next(same, None)) for part in parts], radius - len(parts) + 1)
+        options.append((cost, len(parts), [(part, t) for part, t in zip(parts, ts) if t >= 0]))
     return min(options, key=lambda o: o[:2])[2]
 
 
@@ -182,7 +195,7 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
     n, both = bit_statistics(prints)
     if n < 2:
         return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    rows = cut(probes(prints, scheme(n, both, radius)), "probes")
+    rows = cut(probes(prints, scheme(n, both, radius, lambda parts: agreeing(prints, parts))), "probes")
     counts = rows.groupBy("part", "key").agg(F.count("*").alias("n"))
     cold = rows.join(counts.where((F.col("n") > 1) & (F.col("n") <= bucket)), ["part", "key"])
     hot = rows.join(counts.where(F.col("n") > bucket), ["part", "key"]).select("fp").distinct()
@@ -233,10 +246,8 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row"), "text")
     rows, known = grouped(named, ["doc_id", "row"], shingle)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
-    chosen = rows.join(known, "fp").groupBy("component").agg(best).select(F.col("best.doc_id").alias("_doc"), F.col("best.row").alias("_row"))
-    keyed = docs.withColumns({"_key": F.col("doc_id").cast("long"), "_text": F.xxhash64(text_or_empty())})
-    kept = keyed.join(chosen, F.col("_key").eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_row")), "left_semi")
-    return kept.dropDuplicates(["_key", "_text"]).select(*docs.columns)
+    chosen = rows.join(known, "fp").groupBy("component").agg(best).select("best.*")
+    return chosen_rows(docs, chosen)
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
