@@ -167,7 +167,7 @@ def _posts(parts: int):
             at = np.flatnonzero(is_post)
             item = own[at]
             bits = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(key) >> np.uint64(58)), slab.start) if len(slab.size) else key
-            rows = {"cell": key[at] >> np.uint64(16), "name": slab.names()[item], "prev": np.where(place[at] > 0, key[at - 1] >> np.uint64(24), np.uint64(0)), "bits": bits[item], "size": size[at].astype(np.uint64), "place": place[at].astype(np.uint64), "item": item.astype(np.uint64), "side": np.zeros(len(at), np.uint64)} | {k: v[item] for k, v in first.items()}
+            rows = {"cell": key[at] >> np.uint64(16), "name": slab.names()[item], "prev": np.where(place[at] > 0, key[at - 1] >> np.uint64(24), np.uint64(0)), "bits": bits[item], "size": size[at].astype(np.uint64), "place": place[at].astype(np.uint64), "item": item.astype(np.uint64)} | dict.fromkeys(("lead", "second", "side"), np.zeros(len(at), np.uint64)) | {k: v[item] for k, v in first.items()}
             yield row_batch([(0, b, slab.block, set_join.sent_posts(taken(rows, x))) for b, x in set_join.by_bucket(rows["cell"], parts)])
 
     return posts
@@ -181,9 +181,7 @@ def _sets(parts: int):
             items, at = np.unique(rows["item"].astype(np.int64), return_inverse=True)
             rank, _ = slab.words(items)
             words, n = slab.hash[slab.by_rank][rank], slab.size[items]
-            start = (np.cumsum(n) - n)[at]
-            n = n[at]
-            yield row_batch(set_join.sent_sets(rows, words[np.repeat(start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)], n, parts))
+            yield row_batch(set_join.sent_sets(rows, at, words, n, parts))
 
     return sets
 

@@ -30,9 +30,10 @@ LIMIT, HELD = 16_000, 3_000_000
 PAIRS = 500_000
 #: Rounds in which ``Verifier.labels`` takes one pair of each row before it takes all that are left.
 LEADS = 6
-#: cell: the word, 48 bits; name: the set; prev: 40 bits of the word before; bits: parities of the set's words in 64
-#: groups; item and block: where its words are; none, doc, line: where it is first; side: see ``spread``.
-POST = ("cell", "name", "prev", "bits", "size", "place", "item", "none", "doc", "line", "side", "block")
+#: cell: the word, 48 bits; name: the set; prev: 40 bits of the word before; lead, second: of the set's first two words,
+#: or zero; bits: parities of the set's words in 64 groups; item and block: where its words are; none, doc, line: where it
+#: is first; side: see ``_spread``.
+POST = ("cell", "name", "prev", "lead", "second", "bits", "size", "place", "item", "none", "doc", "line", "side", "block")
 ALIVE, HOT = 1, 2
 Rows = dict[str, np.ndarray]
 
@@ -133,7 +134,12 @@ def possible(rows: Rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         ok = np.minimum(size[i] - place[i], size[j] - place[j]) >= need
         i, j, need = i[ok], j[ok], need[ok]
         ok = np.bitwise_count(rows["bits"][i] ^ rows["bits"][j]) <= size[i] + size[j] - 2 * need
-        ok &= (place[i] == 0) | (place[j] == 0) | (rows["prev"][i] != rows["prev"][j])
+        i, j = i[ok], j[ok]
+        # a pair that shares an earlier word has met there
+        ok = (place[i] == 0) | (place[j] == 0) | (rows["prev"][i] != rows["prev"][j])
+        for a, x in enumerate(("lead", "second")):
+            for b, y in enumerate(("lead", "second")):
+                ok &= (rows[x][i] != rows[y][j]) | (rows[x][i] == 0) | (place[i] <= a) | (place[j] <= b)
         ok &= ((side[i] == 0) | (side[i] != side[j])) & ((rows["name"][i] != rows["name"][j]) | (size[i] != size[j]))
         if ok.any():
             yield i[ok], j[ok]
@@ -240,14 +246,16 @@ def read_alive(told: list[bytes]) -> Rows:
     return joined([dict(zip(TOLD, unpack(t))) for t in told], TOLD)
 
 
-def sent_sets(rows: Rows, words: np.ndarray, size: np.ndarray, parts: int) -> list[tuple]:
-    """Rows by bucket that carry the sets of alive posts: ``words`` in order one set after another."""
+def sent_sets(rows: Rows, of: np.ndarray, words: np.ndarray, size: np.ndarray, parts: int) -> list[tuple]:
+    """Rows by bucket that carry alive posts and, once each, their sets; ``of`` is each post's set, ``words`` come in order
+    one set after another."""
     out, start = [], np.cumsum(size) - size
     for b, at in by_bucket(rows["cell"], parts):
         part = taken(rows, at)
-        n = size[at]
-        own = words[np.repeat(start[at], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-        out.append((0, b, 0, pack([*(part[k] for k in TOLD), n, own >> np.uint64(16)])))
+        used, own = np.unique(of[at], return_inverse=True)
+        n = size[used]
+        sent = words[np.repeat(start[used], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        out.append((0, b, 0, pack([*(part[k] for k in TOLD), own, n, sent >> np.uint64(16)])))
     return out
 
 
@@ -255,22 +263,24 @@ class Verifier:
     """Sets of a bucket's alive posts, by cell and size; ``similar`` yields their similar pairs."""
 
     def __init__(self, found: list[list[np.ndarray]]):
-        names = (*TOLD, "size")
+        names = (*TOLD, "set")
         rows = joined([dict(zip(names, f)) for f in found], names)
-        words = np.concatenate([f[len(names)] for f in found])
-        size = rows["size"].astype(np.int64)
+        size, words = (np.concatenate([f[k] for f in found]) for k in (len(names), len(names) + 1))
+        size = size.astype(np.int64)
+        before = np.cumsum([0] + [len(f[len(names)]) for f in found])[:-1]
+        of = rows["set"].astype(np.int64) + np.repeat(before, [len(f[0]) for f in found])
         start = np.cumsum(size) - size
-        rows |= {"prev": np.zeros(len(size), np.uint64), "bits": np.zeros(len(size), np.uint64), "start": start.astype(np.uint64)}
-        if len(size):
-            rows["prev"] = words[np.maximum(start + rows["place"].astype(np.int64) - 1, 0)]
-            rows["bits"] = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(words) >> np.uint64(58)), start)
+        bits = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(words) >> np.uint64(58)), start) if len(size) else words
+        place = rows["place"].astype(np.int64)
+        none = np.zeros(len(of), np.uint64)
+        first, second = (words[start[of] + np.minimum(k, size[of] - 1)] for k in (0, 1))
+        rows |= {"set": of.astype(np.uint64), "size": size[of].astype(np.uint64), "bits": bits[of], "prev": words[np.maximum(start[of] + place - 1, 0)], "lead": first, "second": np.where(size[of] > 1, second, none)}
         self.rows = distinct(rows)
-        self.n = len(self.rows["cell"])
-        self.start, self.size = self.rows["start"].astype(np.int64), self.rows["size"].astype(np.int64)
+        self.n, self.set = len(self.rows["cell"]), self.rows["set"].astype(np.int64)
+        self.start, self.size = start[self.set], size[self.set]
         kinds, self.word = np.unique(words, return_inverse=True)
-        self.kinds, n = max(1, len(kinds)), self.size
-        owner = np.repeat(np.arange(len(n)), n)
-        self.table = np.sort(owner * self.kinds + self.word[np.repeat(self.start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)])
+        self.kinds = max(1, len(kinds))
+        self.table = np.sort(np.repeat(np.arange(len(size)), size) * self.kinds + self.word)
 
     def checked(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """Which pairs are similar and have their post's word as the first that they share."""
@@ -281,7 +291,7 @@ class Verifier:
             x, y = i[at:stop], j[at:stop]
             n = self.size[x]
             first = np.cumsum(n) - n
-            ask = np.repeat(y, n) * self.kinds + self.word[np.repeat(self.start[x], n) + np.arange(n.sum()) - np.repeat(first, n)]
+            ask = np.repeat(self.set[y], n) * self.kinds + self.word[np.repeat(self.start[x], n) + np.arange(n.sum()) - np.repeat(first, n)]
             hit = self.table[np.minimum(np.searchsorted(self.table, ask), len(self.table) - 1)] == ask
             both = np.add.reduceat(hit, first, dtype=np.int64)
             place = self.rows["place"].astype(np.int64)[x]
