@@ -8,6 +8,10 @@ four binary columns); ``repartitionById`` takes a row to the partition that ``ta
 
 from __future__ import annotations
 
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,6 +22,33 @@ NAMES = ["kind", "target", "origin", "a", "b", "c", "d"]
 KINDS = [pa.int32()] * 3 + [pa.binary()] * 4
 
 
+#: Rows of a batch of texts that are worked on at once.
+ROWS = 500
+
+
+def lean(function: Callable) -> Callable:
+    """A function of batches that gives a worker's free memory back to the machine when its task ends; workers are reused,
+    and what one task's arrays took would else add to the next one's."""
+
+    @functools.wraps(function)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from function(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            libc = ctypes.CDLL(None)
+            if hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned numbers at the least whole number of bytes."""
     data = np.ascontiguousarray(values, "<u8")

@@ -48,6 +48,7 @@ SLABS = "block long, hash binary, words binary, docs binary"
 TOTAL = -1
 
 
+@blobs.lean
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, held, texts, size, block = [], [], [], 0, TaskContext.get().partitionId() << 32
 
@@ -188,6 +189,7 @@ def _each(batches: Iterator[pa.RecordBatch], order: int) -> Iterator[tuple[Slab,
 
 
 def _ask(orders: list[int], parts: int):
+    @blobs.lean
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, _ in _each(batches, max(orders)):
             for k in orders:
@@ -196,6 +198,7 @@ def _ask(orders: list[int], parts: int):
     return ask
 
 
+@blobs.lean
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Totals in the order of the questions; and for each order this bucket's distinct n-grams and their count."""
     asked: dict[int, list] = {}
@@ -256,6 +259,7 @@ def automaton(slab: Slab, count: dict[int, np.ndarray], known: dict[int, tuple[i
 def _score(known: dict[int, tuple[int, int]], order: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
+    @blobs.lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, data in _each(batches, order):
             count = {k: slab.totals(k, data["answers"]) for k in range(1, order + 1)}

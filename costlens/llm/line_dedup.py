@@ -59,6 +59,7 @@ def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts:
     return block, blobs.steps(hashes), pack([n, places]), pack(docs)
 
 
+@blobs.lean
 def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     ids, rows, texts, size, block = [], [], [], 0, TaskContext.get().partitionId() << 32
 
@@ -133,6 +134,7 @@ def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slab, dict]]:
 
 
 def _ask(parts: int):
+    @blobs.lean
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, _ in _each(batches):
             times = np.bincount(slab.word, minlength=len(slab.hash))
@@ -141,6 +143,7 @@ def _ask(parts: int):
     return ask
 
 
+@blobs.lean
 def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked = [(bucket, block, *unpack(data.as_buffer())) for b in batches for bucket, block, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3))]
     if not asked:
@@ -155,6 +158,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _posts(parts: int):
+    @blobs.lean
     def posts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, data in _each(batches):
             slab.order(data["totals"])
@@ -174,6 +178,7 @@ def _posts(parts: int):
 
 
 def _sets(parts: int):
+    @blobs.lean
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, data in _each(batches):
             slab.order(data["totals"])
@@ -193,6 +198,7 @@ PLACE = ("none", "doc", "line")
 def _verify(parts: int):
     """For each set of the bucket's posts: similar ones and the first of their lines."""
 
+    @blobs.lean
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = [unpack(data.as_buffer()) for b in batches for data in b.column(3)]
         if not found:
@@ -216,6 +222,7 @@ def _verify(parts: int):
 
 
 def _register(parts: int):
+    @blobs.lean
     def register(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for slab, _ in _each(batches):
             first, copies = slab.firsts()
@@ -225,6 +232,7 @@ def _register(parts: int):
     return register
 
 
+@blobs.lean
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each slab: its sets that have several lines or links, with the first line of all and the links."""
     blocks_, found = [], []
@@ -250,6 +258,7 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield row_batch([(0, b, 0, pack([x[known[i:j]] for x in out])) for b, i, j in blobs.slices(block[known])])
 
 
+@blobs.lean
 def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for slab, data in _each(batches):
         m = len(slab.size)

@@ -159,6 +159,7 @@ def alive_rows(rows: Rows) -> list[tuple]:
 
 
 def _meet(limit: int, held_most: int, by_name: bool):
+    @blobs.lean
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[Rows] = []
         count, hot = 0, np.zeros(0, np.uint64)
@@ -192,6 +193,7 @@ def _meet(limit: int, held_most: int, by_name: bool):
 def _spread(limit: int):
     """Pieces of a frequent word's posts go to the cells of every pair of pieces. Copies of a set are in one piece."""
 
+    @blobs.lean
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for cell, data, total in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
@@ -210,6 +212,7 @@ def _spread(limit: int):
     return spread
 
 
+@blobs.lean
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by cell."""
     held: list[Rows] = []
