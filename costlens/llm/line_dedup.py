@@ -330,6 +330,9 @@ def apply(docs: DataFrame) -> DataFrame:
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of ``documents``: see ``removals``."""
+    """Every row of ``documents``: see ``removals``; the lists are joined by commas, and a match is ``doc_id:line``."""
     out = removals(table(spark, sf_dir, "documents"))
-    return out.select("doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"), "class_id", "n_links", "removed", "match_doc", "match_line")
+    matched = F.transform(F.arrays_zip("match_doc", "match_line"), lambda m: F.concat(m["match_doc"].cast("string"), F.lit(":"), m["match_line"].cast("string")))
+    joined = lambda c: F.array_join(c, ",", "")
+    counts = (F.col("n_lines").cast("long").alias("n_lines"), F.size("removed").cast("long").alias("n_removed"))
+    return out.select("doc_id", *counts, "class_id", "n_links", joined(F.col("removed").cast("array<string>")).alias("removed"), joined(matched).alias("matches"))

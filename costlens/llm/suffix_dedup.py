@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import blobs
-from .common import cut, partitions, table, text_or_empty
+from .common import blocks, cut, table, text_or_empty
 
 LENGTH, GRAM = 100, 32
 #: Offsets of a string's anchor; strings around one anchor; bytes of a stretch.
@@ -440,9 +440,10 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes left) of each row of ``docs``."""
-    spark, parts, none = docs.sparkSession, partitions(docs.sparkSession), F.lit(None)
+    none = F.lit(None)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    target = F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("target")
+    parts = blocks(rows)
+    target = F.pmod(F.xxhash64("doc_id", "row"), F.lit(parts)).cast("int").alias("target")
     rows = rows.withColumn("row", F.xxhash64("text"))
     names = cut(rows.where(F.octet_length("text") >= LENGTH).select("doc_id", "row", F.sha2("text", 256).alias("sha")), "names")
     first = names.groupBy("sha").agg(F.min(F.struct(F.coalesce("doc_id", F.lit(LEAST)).alias("k"))).alias("first"), F.count_distinct(F.coalesce("doc_id", F.lit(LEAST))).alias("n")).where("n > 1")

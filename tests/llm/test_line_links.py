@@ -66,6 +66,7 @@ def test_apply_keeps_clashing_columns(spark):
 def test_registered_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
     got = queries.QUERIES["op1_line_dedup"](spark, sf_dir)
-    assert got.columns == ["doc_id", "n_lines", "n_removed", "class_id", "n_links", "removed", "match_doc", "match_line"]
-    want = {i: (n, len(gone), c, links, gone) for i, n, gone, _, c, links in brute([tuple(d) for d in docs])}
-    assert {r["doc_id"]: (r["n_lines"], r["n_removed"], r["class_id"], r["n_links"], list(r["removed"])) for r in got.collect()} == want
+    assert got.columns == ["doc_id", "n_lines", "n_removed", "class_id", "n_links", "removed", "matches"]
+    say = lambda x: ",".join(map(str, x))
+    want = {i: (n, len(gone), c, links, say(gone), say(f"{d}:{k}" for d, k in to)) for i, n, gone, to, c, links in brute([tuple(d) for d in docs])}
+    assert {r["doc_id"]: tuple(r)[1:] for r in got.collect()} == want
