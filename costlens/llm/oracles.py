@@ -39,11 +39,11 @@ FROM hit LEFT JOIN links USING (doc_id) GROUP BY doc_id"""
 
 #: Bytes as pairs of hexadecimal digits; a start is covered if its 100 bytes were met before, runs are starts at most 100 apart.
 SUFFIX_SQL = """WITH texts AS (
-  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, encode(coalesce(text, '')) AS raw FROM documents
 ), starts AS (
-  SELECT doc_id, unnest(range(len(h) // 2 - 99)) AS s, h FROM texts WHERE len(h) >= 200
+  SELECT doc_id, unnest(range(len(h) // 2 - 99)) AS s, raw FROM texts WHERE len(h) >= 200
 ), seen AS (
-  SELECT doc_id, s, row_number() OVER (PARTITION BY md5(substring(h, 2 * s + 1, 200)) ORDER BY doc_id, s) AS k FROM starts
+  SELECT doc_id, s, row_number() OVER (PARTITION BY md5(raw[s + 1 : s + 100]) ORDER BY doc_id, s) AS k FROM starts
 ), covered AS (
   SELECT doc_id, s, s - lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS gap FROM seen WHERE k > 1
 ), runs AS (

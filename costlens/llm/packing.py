@@ -101,9 +101,10 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY, end_id: i
 
 
 def plan(items: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES_PER_PARTITION, rounds: int = ROUNDS) -> DataFrame:
-    """Adds sequence_id and offset to ``items`` (item, length, others)."""
+    """Adds to ``items`` (item, length, others): sequence_id, offset, and the certificate of the partition that packed it
+    last: bins, the sequences that it took, and bound, those that no packing of its pieces can do without."""
     names = items.columns
-    whole = items.where(F.col("length") >= capacity).select(*names, (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    whole = items.where(F.col("length") >= capacity).select(*names, (-F.col("item") - 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(1).cast("long").alias("bins"), F.lit(1).cast("long").alias("bound"))
     loose, done = items.where(F.col("length") < capacity), [whole]
     count, bins = loose.count(), None
 
@@ -116,13 +117,14 @@ def plan(items: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES
             rows = rows.sort_by("item")
             sizes = rows.column("length").to_numpy()
             at, offset, fill = best_fit_decreasing(sizes, capacity)
-            certified = len(fill) == lower_bound(sizes, capacity)
+            bound = lower_bound(sizes, capacity)
+            certified = len(fill) == bound
             kept = fill == capacity
             if certified:
                 kept[:] = True
                 kept[np.argmin(fill)] = fill.min() == capacity
             name = (number << 56) + (TaskContext.get().partitionId() << 32) + at
-            yield from rows.append_column("sequence_id", pa.array(name)).append_column("offset", pa.array(offset)).append_column("kept", pa.array(kept[at])).to_batches()
+            yield from rows.append_column("sequence_id", pa.array(name)).append_column("offset", pa.array(offset)).append_column("bins", pa.array(np.full(len(at), len(fill)))).append_column("bound", pa.array(np.full(len(at), bound))).append_column("kept", pa.array(kept[at])).to_batches()
 
         return pack
 
@@ -130,7 +132,7 @@ def plan(items: DataFrame, capacity: int = CAPACITY, per_partition: int = PIECES
         if not count:
             break
         parts = max(1, -(-count // per_partition)) if number == 1 else max(1, min(parts // 2, -(-count // per_partition)))
-        schema = loose.select(*names).schema.add("sequence_id", "long").add("offset", "long").add("kept", "boolean")
+        schema = loose.select(*names).schema.add("sequence_id", "long").add("offset", "long").add("bins", "long").add("bound", "long").add("kept", "boolean")
         dealt = loose.select(*names).repartition(parts, F.xxhash64("item", F.lit(number)))
         packed = cut(dealt.mapInArrow(packer(number), schema), "packed")
         open_ = packed.where(~F.col("kept"))
@@ -165,7 +167,7 @@ def sequences(planned: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def digest(planned: DataFrame) -> DataFrame:
-    return planned.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return planned.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "bins", "bound")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,13 +1,16 @@
 """Operator 3: edit-aware token counts.
 
 Each document keeps a segment tree over its pre-tokens: a leaf knows its characters and its ids, an inner node the sums
-below it. An edit re-encodes the leaves it touches, two leaves before them and as many after them as it takes to meet
+below it. ``kept_trees`` encodes the texts once and gives the trees as a table, leaves as packed columns beside the text;
+``edited`` applies edits to that table, whenever they come, and gives counts and the new trees, without encoding any text
+as a whole. An edit re-encodes the leaves it touches, two leaves before them and as many after them as it takes to meet
 an old border again; then the paths above the changed leaves get new sums. Pre-tokens are found left to right without
 looking back, so that from a border that old and new text share, the old leaves hold.
 
 Nulls: a null text is empty, a null doc_id is kept. Edits are (start, stop, replacement), in characters of the text,
-and must not overlap. Texts with characters outside the encoder's sure ones are one leaf and are encoded anew as a
-whole. Repeated rows are documents of their own; other columns are ignored. An empty table gives no rows.
+and must not overlap; edits of a doc_id hold for all its rows, and those of no document are ignored. Texts with characters outside the encoder's sure ones are one leaf and are encoded anew as a
+whole. Repeated rows are documents of their own; other columns are ignored, whatever their names. A very long text is one
+row of the table. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blobs import packed, small, unpacked
 from .bpe import BatchEncoder, default_vocabulary
-from .common import table, text_or_empty
+from .common import cut, table, text_or_empty
 
 Edit = tuple[int, int, str]
 #: Personal data that the query's edits redact: e-mail addresses and long numbers.
@@ -131,6 +135,11 @@ class TokenTree:
             node //= 2
         return done
 
+    def leaves(self) -> tuple[np.ndarray, np.ndarray]:
+        """Characters and tokens of the present leaves; one that edits joined has several pre-tokens."""
+        chars, tokens = (np.array(x[self.width : self.width + self.n], np.int64) for x in (self.chars, self.tokens))
+        return chars[chars > 0], tokens[chars > 0]
+
     def present(self) -> str:
         return "".join(self.leaf_text(i) for i in range(self.n)) if self.chars[1] else ""
 
@@ -141,44 +150,79 @@ def applied(text: str, edits: list[Edit]) -> str:
     return text
 
 
-def recount(text: str, leaves: tuple[np.ndarray, np.ndarray] | None, edits: list[Edit], encoder: BatchEncoder) -> tuple[int, int, int, int]:
-    """Tokens before, tokens after, leaves, characters encoded again."""
-    if leaves is None:
-        before = len(encoder.encode([text])[0])
-        new = applied(text, edits)
-        return before, len(encoder.encode([new])[0]) if edits else before, 1, len(new) * bool(edits)
+Leaves = tuple[np.ndarray, np.ndarray]
+
+
+def recount(text: str, leaves: Leaves | None, before: int, edits: list[Edit], encoder: BatchEncoder) -> tuple[str, Leaves | None, int, int]:
+    """The text and the leaves after the edits, its tokens, and characters encoded again. ``before`` are its tokens before."""
     if not edits:
-        total = int(leaves[1].sum())
-        return total, total, len(leaves[0]), 0
-    tree = TokenTree(text, *leaves)
-    before = tree.total
-    for start, stop, new in sorted(edits, reverse=True):  # from the end, so that offsets hold
-        if not tree.edit(start, stop, new, encoder):
-            whole = applied(text, edits)
-            return before, len(encoder.encode([whole])[0]), len(leaves[0]), len(whole)
-    return before, tree.total, len(leaves[0]), tree.reencoded
+        return text, leaves, before, 0
+    if leaves is not None:
+        tree = TokenTree(text, *leaves)
+        if all(tree.edit(start, stop, new, encoder) for start, stop, new in sorted(edits, reverse=True)):  # from the end, so that offsets hold
+            return tree.present(), tree.leaves(), tree.total, tree.reencoded
+    whole = applied(text, edits)
+    return whole, encoder.leaves([whole])[0], len(encoder.encode([whole])[0]), len(whole)
 
 
-def edited_counts(docs: DataFrame, vocabulary: str, edits_of: Callable[[str], list[Edit]] = redactions) -> DataFrame:
-    """doc_id, n_tokens, n_edits, n_tokens_after, n_leaves, reencoded_chars of each row of ``docs`` (doc_id, text)."""
-    names = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_leaves", "reencoded_chars"]
+TREES = "doc_id long, text string, n_tokens long, chars binary, tokens binary"
+COUNTS = ["doc_id", "n_tokens", "n_edits", "n_tokens_after", "n_leaves", "reencoded_chars"]
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _columns(trees: list[Leaves | None]) -> list[pa.Array]:
+    return [pa.array([None if t is None else packed(t[k]) for t in trees], pa.binary()) for k in (0, 1)]
+
+
+def kept_trees(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """doc_id, text, n_tokens and the leaves (chars, tokens: packed, null for a text that is one leaf) of each row."""
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = BatchEncoder.of(vocabulary)
-        for batch in batches:
-            ids, column, rows = batch.column(0), batch.column(1), []
-            for at in range(0, len(ids), 500):
-                texts = column.slice(at, 500).to_pylist()
-                for text, leaves in zip(texts, encoder.leaves(texts)):
-                    edits = edits_of(text)
-                    before, after, n, again = recount(text, leaves, edits, encoder)
-                    rows.append((before, len(edits), after, n, again))
-            columns = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 5
-            yield pa.RecordBatch.from_arrays([ids, *columns], names=names)
+        for b in small(batches):
+            texts = b.column(1).to_pylist()
+            trees = encoder.leaves(texts)
+            counts = [len(encoder.encode([t])[0]) if tree is None else int(tree[1].sum()) for t, tree in zip(texts, trees)]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(counts, pa.int64()), *_columns(trees)], names=["doc_id", "text", "n_tokens", "chars", "tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(count, ", ".join(f"{c} long" for c in names))
+    return rows.mapInArrow(build, TREES)
+
+
+def _edited(trees: DataFrame, vocabulary: str, edits_of: Callable[[str], list[Edit]] | None, whole: bool) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = BatchEncoder.of(vocabulary)
+        for b in small(batches):
+            rows, texts, after = [], [], []
+            listed = b.column(5).to_pylist() if edits_of is None else [None] * b.num_rows
+            for text, before, chars, tokens, given in zip(*(b.column(k).to_pylist() for k in range(1, 5)), listed):
+                leaves = None if chars is None else (unpacked(chars).astype(np.int64), unpacked(tokens).astype(np.int64))
+                edits = edits_of(text) if edits_of else [(e["start"], e["stop"], e["replacement"] or "") for e in given or []]
+                n = 1 if leaves is None else len(leaves[0])
+                text, leaves, total, again = recount(text, leaves, before, edits, encoder)
+                rows.append((before, len(edits), total, n, again))
+                texts.append(text)
+                after.append(leaves)
+            counts = [pa.array(c, pa.int64()) for c in zip(*rows)] or [pa.array([], pa.int64())] * 5
+            more = [pa.array(texts, pa.string()), *_columns(after)] if whole else []
+            yield pa.RecordBatch.from_arrays([b.column(0), *counts, *more], names=[*COUNTS, *["text", "chars", "tokens"][: len(more)]])
+
+    schema = ", ".join(f"{c} long" for c in COUNTS) + ", text string, chars binary, tokens binary" * whole
+    return trees.mapInArrow(count, schema)
+
+
+def edited(trees: DataFrame, edits: DataFrame, vocabulary: str) -> DataFrame:
+    """Counts of each row of ``trees`` after ``edits`` (doc_id, start, stop, replacement), with its new text and leaves."""
+    listed = edits.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.collect_list(F.struct("start", "stop", "replacement")).alias("edits"))
+    met = trees.join(listed, "doc_id", "left").select("doc_id", "text", "n_tokens", "chars", "tokens", "edits")
+    return _edited(met, vocabulary, None, True)
+
+
+def edited_counts(docs: DataFrame, vocabulary: str, edits_of: Callable[[str], list[Edit]] = redactions) -> DataFrame:
+    """doc_id, n_tokens, n_edits, n_tokens_after, n_leaves, reencoded_chars of each row of ``docs`` (doc_id, text): its tree
+    is kept in a table, from which edits that follow from the text are counted."""
+    return _edited(cut(kept_trees(docs, vocabulary), "trees"), vocabulary, edits_of, False)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of ``documents``, with redactions as edits."""
     return edited_counts(table(spark, sf_dir, "documents"), default_vocabulary())

@@ -135,6 +135,26 @@ def test_token_counts(docs, texts, nothing):
     assert token_counts.edited_counts(nothing, default_vocabulary()).count() == 0
 
 
+def test_kept_trees_take_edits_that_come_later(spark, docs, texts):
+    vocabulary = default_vocabulary()
+    encoder = BatchEncoder.of(vocabulary)
+    size = lambda t: len(encoder.tokenizer.encode(t, add_special_tokens=False).ids)
+    trees = token_counts.kept_trees(docs, vocabulary)
+    now = {i: t or "" for i, t in texts}
+    random.seed(4)
+    for turn in range(3):
+        edits = []
+        for i, t in now.items():
+            if i % (turn + 2) == 0 and len(t) > 20:
+                a = random.randint(0, len(t) - 10)
+                edits.append((i, a, a + random.randint(0, 9), random.choice(["", " new", "日本", "1234 5"])))
+        got = by_id(token_counts.edited(trees, spark.createDataFrame([*edits, (None, 0, 1, "x"), (-5, 0, 1, "y")], "doc_id long, start long, stop long, replacement string"), vocabulary).cache())
+        for i, a, b, new in edits:
+            now[i] = now[i][:a] + new + now[i][b:]
+        assert {i: (r["text"], r["n_tokens_after"]) for i, r in got.items()} == {i: (t, size(t)) for i, t in now.items()}
+        trees = spark.createDataFrame([(i, r["text"], r["n_tokens_after"], r["chars"], r["tokens"]) for i, r in got.items()], token_counts.TREES)
+
+
 def test_token_tree_takes_edits_in_any_order():
     encoder = BatchEncoder.of(default_vocabulary())
     random.seed(3)

@@ -95,6 +95,7 @@ def test_op6(spark, sf_dir, texts, encoder):
             end += r["length"]
         assert end <= 1024
     assert len(by_seq) <= 1.02 * -(-total // 1024) + 1
+    assert all(1 <= r["bound"] <= r["bins"] for r in rows)
 
 
 def test_op7(spark, sf_dir, texts):
