@@ -101,15 +101,32 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def distinct(rows: Rows) -> Rows:
     """Posts of cells that have several, by cell and size; of one set's posts in a cell and side only the first."""
-    order = np.argsort(rows["cell"], kind="stable")
-    cell = rows["cell"][order]
+    at = np.argsort(rows["cell"], kind="stable")
+    cell = rows["cell"][at]
     same = cell[1:] == cell[:-1]
-    rows = taken(rows, order[np.append(same, False) | np.append(False, same)] if len(order) else order)
-    order = np.lexsort((rows["line"], unzigzag(rows["doc"]), rows["none"] == 0, rows["side"], rows["name"], rows["size"], rows["cell"]))
-    rows = taken(rows, order)
+    at = at[np.append(same, False) | np.append(False, same)] if len(at) else at
+    if not len(at):
+        return taken(rows, at)
+    cell, size, name = (rows[k][at] for k in ("cell", "size", "name"))
+    group = np.cumsum(np.diff(cell, prepend=cell[:1]) != 0).astype(np.uint64)
+    rank = (group * (size.max() + np.uint64(1)) + size) * np.uint64(3) + rows["side"][at]
+    # by rank and name: one sort by what of both fits in a number, unless names that differ agree there
+    order = np.argsort(rank << np.uint64(24) | name >> np.uint64(40)) if rank.max() < 1 << 40 else None
+    if order is not None:
+        r, x = rank[order], name[order]
+        if ((r[1:] == r[:-1]) & (x[1:] != x[:-1]) & (x[1:] >> np.uint64(40) == x[:-1] >> np.uint64(40))).any():
+            order = None
+    if order is None:
+        order = np.lexsort((name, rank))
+    rank, name = rank[order], name[order]
+    order = at[order]
     new = np.ones(len(order), bool)
-    new[1:] = (rows["cell"][1:] != rows["cell"][:-1]) | (rows["name"][1:] != rows["name"][:-1]) | (rows["size"][1:] != rows["size"][:-1]) | (rows["side"][1:] != rows["side"][:-1])
-    return taken(rows, new)
+    new[1:] = (rank[1:] != rank[:-1]) | (name[1:] != name[:-1])
+    if not new.all():  # of copies, the first by place
+        again = np.flatnonzero(~new | np.append(~new[1:], False))
+        at, run = order[again], np.cumsum(new)[again]
+        order[again] = at[np.lexsort((rows["line"][at], unzigzag(rows["doc"][at]), rows["none"][at] == 0, run))]
+    return taken(rows, order[new])
 
 
 def possible(rows: Rows) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -168,9 +185,13 @@ def _meet(limit: int, held_most: int, by_name: bool):
             """Takes the posts of frequent words out of what is held."""
             nonlocal held, count, hot
             rows = joined(held, POST)
-            cells, at, times = np.unique(rows["cell"], return_inverse=True, return_counts=True)
-            hot = np.union1d(hot, cells[times > limit])
-            out = np.isin(cells, hot)[at]
+            cells = np.sort(rows["cell"])
+            often = cells[limit:] == cells[:-limit] if len(cells) > limit else np.zeros(0, bool)
+            hot = np.union1d(hot, cells[limit:][often])
+            if not len(hot):
+                held, count = [rows], len(cells)
+                return []
+            out = np.isin(rows["cell"], hot)
             held = [taken(rows, ~out)]
             count, rows = len(held[0]["cell"]), taken(rows, out)
             rows = taken(rows, np.argsort(rows["cell"], kind="stable"))
