@@ -12,7 +12,9 @@ The benchmark is the stated query set: it is taken in blocks of about ``ITEMS``
 bound. What comes to the driver is a matrix of its words by the rank.
 
 Nulls: null texts and items are empty and match nothing; a null doc_id is kept. Rows are told apart by doc_id and text.
-Repeated rows give one match. Other columns are kept by ``clean`` and ignored by the query. Empty tables give no rows.
+Repeated rows give one match; of equal matches of an item the longest subsequence is told. A very long text has as many
+passages as it takes. Other columns are kept by ``clean``, whatever their names, and ignored by the query. Empty tables
+give no rows.
 """
 
 from __future__ import annotations

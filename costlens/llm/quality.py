@@ -7,7 +7,8 @@ both. The list is emitted as one ordered conditional Spark expression.
 
 Nulls: a null text has no words. Labels without a document, or with a null, teach nothing. Repeated rows are documents of
 their own and get equal verdicts. Without labels of both kinds every document is kept that the base rules keep.
-Other columns are kept by ``apply`` and ignored by the query. An empty table gives no rows.
+A very long text is measured whole. Other columns are kept by ``apply``, but for those with the name of a result, and all
+by ``apply_to``; the query ignores them. An empty table gives no rows.
 """
 
 from __future__ import annotations
