@@ -5,9 +5,13 @@ their id, teach an ordered list of rules by sequential covering. A rule is a con
 it is grown on two thirds of the rows by information gain, pruned on the rest, and kept while it is precise enough on
 both. The list is emitted as one ordered conditional Spark expression.
 
-Nulls: a null text has no words. Labels without a document, or with a null, teach nothing. Repeated rows are documents of
-their own and get equal verdicts. Without labels of both kinds every document is kept that the base rules keep.
-A very long text is measured whole. Other columns are kept by ``apply``, but for those with the name of a result, and all
+Labels are ``quality`` (0 is bad) and, where the table has it, ``toxic`` (1 is bad). Rules for the first come first; they
+compare statistics of form. Rules for the second compare the words of a lexicon too (``lexicon.py``), which is learned from
+the same documents.
+
+Nulls: a null text has no words. Labels without a document, or with two nulls, teach nothing; a null in one of the two
+teaches the other. Repeated rows are documents of their own and get equal verdicts; one text of an id teaches, the greatest.
+Without labels of both kinds every document is kept that the base rules keep. A very long text is measured whole. Other columns are kept by ``apply``, but for those with the name of a result, and all
 by ``apply_to``; the query ignores them. An empty table gives no rows.
 """
 
@@ -22,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, text_or_empty, unused, words
+from . import lexicon
+from .common import cut, drop, table, text_or_empty, unused
 
 #: Labelled documents that teach at most.
 LABELLED = 20_000
@@ -31,7 +36,7 @@ SYMBOLS = b"#*$%&|<>"
 SPACES = b" \t\n\r\x0b\x0c"
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 MORE = ["n_upper", "n_marks", "n_digits", "n_distinct", "n_adjacent"]
-STATISTICS = ", ".join(f"{c} long" for c in BASE + MORE)
+MARKED = ["n_marked", "n_tinged"]
 
 
 def repeated_words(listed: list[bytes], window: int = WINDOW) -> int:
@@ -84,17 +89,21 @@ DIGITS = bytes(range(48, 58))
 MARKS = b"!?"
 
 
-def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and the statistics of column ``text``."""
+def with_statistics(docs: DataFrame, keep: list[str], marking: lexicon.Lexicon, own: str | None = None) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and the statistics of column ``text``. ``own`` is one of ``keep``: the label with
+    which a row was counted in the lexicon."""
+    names = BASE + MORE + MARKED
     schema = docs.select(*keep).schema
-    for c in BASE + MORE:
+    for c in names:
         schema = schema.add(c, "long")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = lexicon.counter(marking)
         for batch in batches:
-            found = [text_statistics(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-            columns = [pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64()) for _ in BASE + MORE]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *BASE, *MORE])
+            labels = [None] * batch.num_rows if own is None else batch.column(keep.index(own)).to_pylist()
+            found = [text_statistics(t) + marked(t, label) for t, label in zip(batch.column(batch.num_columns - 1).to_pylist(), labels)]
+            columns = [pa.array(c, pa.int64()) for c in zip(*found)] or [pa.array([], pa.int64()) for _ in names]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*keep, *names])
 
     return docs.select(*keep, text_or_empty().alias(unused("text", keep))).mapInArrow(measure, schema)
 
@@ -105,6 +114,8 @@ def base_failed() -> Column:
 
 #: What rules compare: each a ratio of two statistics, or one itself.
 FEATURES: list[tuple[str, str | None]] = [("n_words", None), ("word_chars", "n_words"), ("n_symbols", "n_words"), ("n_dup_lines", "n_words"), ("n_repeat_words", "n_words"), ("n_upper", "word_chars"), ("n_marks", "n_words"), ("n_digits", "word_chars"), ("n_distinct", "n_words"), ("n_adjacent", "n_words")]
+#: What rules for toxic documents compare beside these.
+LEXICAL: list[tuple[str, str | None]] = [(c, under) for c in MARKED for under in (None, "n_words")]
 
 
 @dataclass(frozen=True)
@@ -119,7 +130,7 @@ class Test:
         return x[:, self.feature] >= self.threshold if self.above else x[:, self.feature] < self.threshold
 
     def column(self) -> Column:
-        value = feature_column(*FEATURES[self.feature])
+        value = feature_column(*(FEATURES + LEXICAL)[self.feature])
         return value >= F.lit(self.threshold) if self.above else value < F.lit(self.threshold)
 
 
@@ -199,35 +210,45 @@ def verdict(rules: list[list[Test]]) -> Column:
 
 
 def labelled(labels: DataFrame, limit: int = LABELLED) -> DataFrame:
-    """Labels (doc_id, quality) that teach: ``limit`` at most, chosen by a hash, the same ones in every run."""
-    known = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "quality").distinct()
-    return known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(limit)
-
-
-def teach(stats: DataFrame, labels: DataFrame, limit: int = LABELLED) -> list[list[Test]]:
-    """Learns from labels (quality 0 is bad) of documents that the base rules keep; ``limit`` bounds how many."""
-    columns = [feature_column(*f).alias(f"f{i}") for i, f in enumerate(FEATURES)]
-    rows = stats.where(~base_failed()).join(F.broadcast(labelled(labels, limit)), "doc_id").select("quality", *columns)
-    rows = rows.orderBy(*rows.columns).limit(2 * limit).toPandas()
-    if rows.empty:
-        return []
-    return learn(rows.iloc[:, 1:].to_numpy(np.float64), rows["quality"].to_numpy() == 0)
+    """Labels (doc_id, quality, toxic) that teach: ``limit`` at most, chosen by a hash, the same ones in every run."""
+    toxic = F.col("toxic") if "toxic" in labels.columns else F.lit(None)
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("long").alias("quality"), toxic.cast("long").alias("toxic"))
+    known = known.where("doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL)").distinct()
+    return known.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "toxic").limit(limit)
+
+
+def teach(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> tuple[list[list[Test]], lexicon.Lexicon]:
+    """The rules learned from labels of documents that the base rules keep, and the lexicon they need; ``limit`` bounds
+    the labels."""
+    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).join(F.broadcast(labelled(labels, limit)), "doc_id")
+    taught = taught.groupBy("doc_id", "quality", "toxic").agg(F.max("text").alias("text"))
+    taught = cut(taught.select("quality", (F.col("toxic") == 1).alias("bad"), "text"), "taught")
+    marking = lexicon.learn(taught)
+    columns = [feature_column(*f).alias(f"f{i}") for i, f in enumerate(FEATURES + LEXICAL)]
+    rows = with_statistics(taught, ["quality", "bad"], marking, "bad").where(~base_failed()).select("quality", *columns, "bad")
+    rows = rows.orderBy(*rows.columns).toPandas()
+    drop(taught)
+    x = rows.iloc[:, 1:-1].to_numpy(np.float64)
+    rules: list[list[Test]] = []
+    for known, bad, features in ((rows["quality"].notna(), rows["quality"] == 0, len(FEATURES)), (rows["bad"].notna(), rows["bad"] == True, x.shape[1])):  # noqa: E712
+        if known.any():
+            rules += learn(x[known.to_numpy(), :features], bad[known].to_numpy(bool))
+    return rules, marking
 
 
 def apply_to(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """The rows of ``docs`` that the base rules and the learned list keep."""
-    taught = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(labelled(labels, limit)), "doc_id", "left_semi")
-    rules = teach(with_statistics(taught, ["doc_id"]), labels, limit)
+    rules, marking = teach(docs, labels, limit)
     whole = docs.select(F.struct(*(F.col(c) for c in docs.columns)).alias("_document"), "text")
-    return with_statistics(whole, ["_document"]).where(~base_failed() & verdict(rules)).select("_document.*")
+    return with_statistics(whole, ["_document"], marking).where(~base_failed() & verdict(rules)).select("_document.*")
 
 
-def apply(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def apply(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> DataFrame:
     """doc_id, the statistics, base_failed and kept of each row of ``docs``, with its other columns but text; of these,
     such as have the name of a result are left out."""
-    keep = [c for c in docs.columns if c not in {"text", *BASE, *MORE, "base_failed", "kept"}]
-    stats = cut(with_statistics(docs, keep), "statistics")
-    rules = teach(stats, labels)
+    keep = [c for c in docs.columns if c not in {"text", *BASE, *MORE, *MARKED, "base_failed", "kept"}]
+    rules, marking = teach(docs, labels, limit)
+    stats = with_statistics(docs, keep, marking)
     return stats.withColumn("base_failed", base_failed()).withColumn("kept", ~F.col("base_failed") & verdict(rules))
 
 
