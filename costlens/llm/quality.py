@@ -226,7 +226,7 @@ def teach(docs: DataFrame, labels: DataFrame, limit: int = LABELLED) -> tuple[li
     marking = lexicon.learn(taught)
     columns = [feature_column(*f).alias(f"f{i}") for i, f in enumerate(FEATURES + LEXICAL)]
     rows = with_statistics(taught, ["quality", "bad"], marking, "bad").where(~base_failed()).select("quality", *columns, "bad")
-    rows = rows.orderBy(*rows.columns).toPandas()
+    rows = rows.toPandas().sort_values(rows.columns, ignore_index=True)  # at most ``limit`` rows of numbers
     drop(taught)
     x = rows.iloc[:, 1:-1].to_numpy(np.float64)
     rules: list[list[Test]] = []
