@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import blobs
+
 WORD = re.compile(r"[^\W\d_]+")
 #: Lengths of beginnings; longer words than LONGEST count by their beginnings alone.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
@@ -26,7 +28,7 @@ STRICT, LOOSE = 0.95, 0.6
 #: Terms at most: those of most bad documents.
 TERMS = 20_000
 #: Terms or words that a task remembers at a time.
-REMEMBERED = 200_000
+REMEMBERED = 100_000
 
 #: Term: bad documents and others that hold it.
 Lexicon = dict[str, tuple[int, int]]
@@ -50,16 +52,18 @@ def counter(lexicon: Lexicon) -> Callable[[str, bool | None], tuple[int, int]]:
     """Counts a text's words with a strict term and with a loose or strict one. ``own`` is the label under which the text
     is itself counted in the lexicon, None if it is not to be taken off."""
     judged: dict[bool | None, dict[str, int]] = {}
+    heads: dict[bool | None, set[str]] = {}
     for own in (None, False, True):
         found = {t: grade(b - (own is True), o - (own is False)) for t, (b, o) in lexicon.items()}
         judged[own] = {t: g for t, g in found.items() if g}
+        heads[own] = {t.rstrip()[: BEGINNINGS[0]] for t in judged[own]}  # other words hold no term
     known: dict[bool | None, dict[str, int]] = {None: {}, False: {}, True: {}}
 
     def count(text: str, own: bool | None = None) -> tuple[int, int]:
-        grades, memory = judged[own], known[own]
+        grades, begun, memory = judged[own], heads[own], known[own]
         if not grades:
             return 0, 0
-        listed = WORD.findall(text.lower())
+        listed = [w for w in WORD.findall(text.lower()) if w[: BEGINNINGS[0]] in begun]
         if len(memory) > REMEMBERED:
             memory.clear()
         for word in set(listed).difference(memory):
@@ -73,6 +77,7 @@ def counter(lexicon: Lexicon) -> Callable[[str, bool | None], tuple[int, int]]:
 def learn(taught: DataFrame) -> Lexicon:
     """The lexicon of rows (bad boolean, text). Each row counts once for a term; a row without a label for none."""
 
+    @blobs.lean
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sides: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
 

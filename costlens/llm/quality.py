@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lexicon
+from . import blobs, lexicon
 from .common import cut, drop, table, text_or_empty, unused
 
 #: Labelled documents that teach at most.
@@ -97,6 +97,7 @@ def with_statistics(docs: DataFrame, keep: list[str], marking: lexicon.Lexicon,
     for c in names:
         schema = schema.add(c, "long")
 
+    @blobs.lean
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = lexicon.counter(marking)
         for batch in batches:

@@ -60,3 +60,16 @@ def test_terms_are_judged_without_the_text_itself(spark):
     assert count("vile thing", True) == (0, 1)  # its own count off, one is too rare and one no more than loose
     assert count("thing", False) == (1, 1)
     assert lexicon.counter({})("vile", None) == (0, 0) and count("", None) == (0, 0)
+
+
+def test_counts_are_those_of_every_term_of_every_word():
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abç") for _ in range(rng.randint(1, 9))) for _ in range(400)]
+    listed = sorted({t for w in words for t in lexicon.terms(w)})
+    found = {t: (rng.randint(5, 60), rng.randint(0, 30)) for t in rng.sample(listed, 60)}
+    count = lexicon.counter(found)
+    for own in (None, False, True):
+        for _ in range(40):
+            said = rng.sample(words, rng.randint(0, 50))
+            grades = [max((lexicon.grade(found[t][0] - (own is True), found[t][1] - (own is False)) for t in lexicon.terms(w) if t in found), default=0) for w in said]
+            assert count(", ".join(said).upper().replace("Ç", "ç"), own) == (sum(g == 2 for g in grades), sum(g > 0 for g in grades))
