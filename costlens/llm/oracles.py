@@ -69,4 +69,46 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
     + length(replace(replace(replace(text, '\', '\\'), '#', '\h'), '</turn>', '\l/turn>'))) AS BIGINT) AS formatted_chars
 FROM turns GROUP BY conv_id"""
 
-ORACLE_SQL = {"op1_line_dedup": LINES_SQL, "op2_suffix_dedup": SUFFIX_SQL, "op10_chat_formatting": CHAT_SQL}
+#: CRC-32 of a decimal number's ASCII digits, bit by bit.
+CRC32 = (
+    "xor(list_reduce(list_concat([4294967295], list_transform(string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), "
+    "lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda y, i: xor(y >> 1, 3988292384 * (y & 1)))), 4294967295)"
+)
+FIELD = "coalesce(strlen({0}::VARCHAR)::VARCHAR || ':' || {0}::VARCHAR, '-')"
+
+
+def leaf_sql(text: str) -> str:
+    return "sha256(" + " || ".join(FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+#: Nodes level by level, each with its neighbours in its run; ways climb one level a step, first to the subroot, then to the root.
+MERKLE_SQL = f"""WITH RECURSIVE rows_ AS (
+  SELECT doc_id, source, {leaf_sql('text')} AS leaf, CASE WHEN {CRC32.format('doc_id')} % 2 = 0 THEN {leaf_sql("replace(text, chr(10), '')")} END AS changed FROM documents
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s FROM rows_
+), nodes AS (
+  SELECT s, 0 AS level, i, n, leaf AS h FROM placed
+  UNION ALL SELECT s, level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY s, level, i // 3, n
+), tops AS (
+  SELECT 0 AS level, s AS i, (SELECT max(s) + 1 FROM placed) AS n, h FROM nodes WHERE n = 1
+  UNION ALL SELECT level + 1, i // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, i // 3, n
+), run AS (
+  SELECT s, level, i, n, string_agg(h, '' ORDER BY i) OVER (PARTITION BY s, level, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS l,
+    string_agg(h, '' ORDER BY i) OVER (PARTITION BY s, level, i // 3 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS r FROM nodes
+  UNION ALL SELECT -1, level, i, n, string_agg(h, '' ORDER BY i) OVER (PARTITION BY level, i // 3 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+    string_agg(h, '' ORDER BY i) OVER (PARTITION BY level, i // 3 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) FROM tops
+), ways AS (
+  SELECT doc_id, s AS own, s, leaf AS first, 0 AS level, i, n, coalesce(changed, leaf) AS h, '' AS proof FROM placed
+  UNION ALL
+  SELECT w.doc_id, w.own, CASE WHEN w.n > 1 THEN w.s ELSE -1 END, w.first, CASE WHEN w.n > 1 THEN w.level + 1 ELSE 0 END, CASE WHEN w.n > 1 THEN w.i // 3 ELSE w.own END,
+    CASE WHEN w.n > 1 THEN (w.n + 2) // 3 ELSE (SELECT max(s) + 1 FROM placed) END,
+    CASE WHEN w.n > 1 THEN sha256(coalesce(r.l, '') || w.h || coalesce(r.r, '')) ELSE w.h END, CASE WHEN w.n > 1 THEN w.proof || coalesce(r.l, '') || coalesce(r.r, '') ELSE w.proof END
+  FROM ways w JOIN run r ON r.s = w.s AND r.level = w.level AND r.i = w.i WHERE w.n > 1 OR w.s >= 0
+), root AS (
+  SELECT h FROM tops WHERE n = 1
+)
+SELECT w.doc_id, w.first AS leaf, b.h AS subroot, root.h AS root, sha256(w.proof) AS proof_sha256, w.h AS folded_root, w.h = root.h AS verified, CAST(length(w.proof) // 64 AS BIGINT) AS n_siblings
+FROM ways w JOIN nodes b ON b.s = w.own AND b.n = 1, root WHERE w.s = -1 AND w.n = 1"""
+
+
+ORACLE_SQL = {"op1_line_dedup": LINES_SQL, "op2_suffix_dedup": SUFFIX_SQL, "op10_chat_formatting": CHAT_SQL, "op11_merkle_manifest": MERKLE_SQL}

@@ -6,6 +6,7 @@ from .chat import op10_chat_formatting
 from .decontamination import op5_decontamination
 from .language_model import op8_lm_scoring
 from .line_dedup import op1_line_dedup
+from .merkle import op11_merkle_manifest
 from .oracles import ORACLE_SQL as ORACLE_SQL
 from .packing import op6_packing
 from .quality import op4_quality_rules
@@ -25,4 +26,5 @@ QUERIES = {
     "op8_lm_scoring": op8_lm_scoring,
     "op9_token_output": op9_token_output,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
