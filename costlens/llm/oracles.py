@@ -111,4 +111,31 @@ SELECT w.doc_id, w.first AS leaf, b.h AS subroot, root.h AS root, sha256(w.proof
 FROM ways w JOIN nodes b ON b.s = w.own AND b.n = 1, root WHERE w.s = -1 AND w.n = 1"""
 
 
-ORACLE_SQL = {"op1_line_dedup": LINES_SQL, "op2_suffix_dedup": SUFFIX_SQL, "op10_chat_formatting": CHAT_SQL, "op11_merkle_manifest": MERKLE_SQL}
+#: A prefix is known by its turns' digests one after another; subtrees are summed over each node's ancestors.
+TRIE_SQL = f"""WITH turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) - 1 AS i,
+    md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t, length(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 100 AS base, {CRC32.format('c')} % 6 AS h FROM (SELECT DISTINCT c FROM turns)
+), built AS (
+  SELECT v.c, 0 AS own, t.i, t.t, t.size FROM convs v JOIN turns t ON t.c = v.base AND t.i < v.h
+  UNION ALL SELECT v.c, 1, t.i, t.t, t.size FROM convs v JOIN turns t ON t.c = v.c AND t.i >= v.h
+), seq AS (
+  SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, i) AS d, string_agg(t, '') OVER (PARTITION BY c ORDER BY own, i ROWS UNBOUNDED PRECEDING) AS key, size FROM built
+  UNION ALL SELECT c, 0, '', 0 FROM convs
+), nodes AS (
+  SELECT key, d, min(c) AS conv, count(*) AS n, any_value(size) AS size FROM seq GROUP BY key, d
+), linked AS (
+  SELECT n.*, q.key AS up, q.conv AS up_conv FROM nodes n LEFT JOIN seq p ON p.c = n.conv AND p.d = n.d - 1 LEFT JOIN nodes q ON q.key = p.key
+), families AS (
+  SELECT up, count(*) AS k FROM linked WHERE up IS NOT NULL GROUP BY up
+), sums AS (
+  SELECT s.key, count(*) FILTER (WHERE f.k IS NULL) AS leaves, sum((n.n - 1) * n.size) AS saved FROM nodes n JOIN seq s ON s.c = n.conv AND s.d <= n.d LEFT JOIN families f ON f.up = n.key GROUP BY s.key
+), ends AS (
+  SELECT key, string_agg(c::VARCHAR, ',' ORDER BY c) AS listed FROM (SELECT c, arg_max(key, d) AS key FROM seq GROUP BY c) GROUP BY key
+)
+SELECT l.conv AS conv_id, l.d AS depth, l.up_conv AS parent_conv_id, l.n AS n_convs, coalesce(f.k, 0) AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.listed, '')) AS ends_sha256
+FROM linked l JOIN sums s ON s.key = l.key LEFT JOIN families f ON f.up = l.key LEFT JOIN ends e ON e.key = l.key"""
+
+
+ORACLE_SQL = {"op1_line_dedup": LINES_SQL, "op2_suffix_dedup": SUFFIX_SQL, "op10_chat_formatting": CHAT_SQL, "op11_merkle_manifest": MERKLE_SQL, "op13_prefix_trie": TRIE_SQL}

@@ -9,6 +9,7 @@ from .line_dedup import op1_line_dedup
 from .merkle import op11_merkle_manifest
 from .oracles import ORACLE_SQL as ORACLE_SQL
 from .packing import op6_packing
+from .prefix_trie import op13_prefix_trie
 from .quality import op4_quality_rules
 from .simhash import op7_simhash
 from .suffix_dedup import op2_suffix_dedup
@@ -27,4 +28,5 @@ QUERIES = {
     "op9_token_output": op9_token_output,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op13_prefix_trie": op13_prefix_trie,
 }
