@@ -25,8 +25,6 @@ LONGEST = 40
 #: Bad documents that hold a term at least, and their share among all that hold it (one more counted on the other side).
 LEAST = 5
 STRICT, LOOSE = 0.95, 0.6
-#: Terms at most: those of most bad documents.
-TERMS = 20_000
 #: Terms or words that a task remembers at a time.
 REMEMBERED = 100_000
 
@@ -74,8 +72,8 @@ def counter(lexicon: Lexicon) -> Callable[[str, bool | None], tuple[int, int]]:
     return count
 
 
-def learn(taught: DataFrame) -> Lexicon:
-    """The lexicon of rows (bad boolean, text). Each row counts once for a term; a row without a label for none."""
+def counted(taught: DataFrame) -> DataFrame:
+    """Terms of rows (bad boolean, text), with the bad rows and others that hold them. A row without a label counts for none."""
 
     @blobs.lean
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +94,11 @@ def learn(taught: DataFrame) -> Lexicon:
         yield sums()
 
     rows = taught.where(F.col("bad").isNotNull()).select("bad", "text").mapInArrow(held, "term string, bad long, others long")
-    rows = rows.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("others").alias("others"))
+    return rows.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("others").alias("others"))
+
+
+def learn(taught: DataFrame) -> Lexicon:
+    """The lexicon of rows (bad boolean, text): its terms number at most what so many labelled texts hold."""
+    rows = counted(taught)
     rows = rows.where((F.col("bad") >= LEAST) & (F.col("bad") >= LOOSE * (F.col("bad") + F.col("others"))))
-    rows = rows.orderBy(F.desc("bad"), "others", "term").limit(TERMS)
     return {r["term"]: (r["bad"], r["others"]) for r in rows.collect()}

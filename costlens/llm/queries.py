@@ -15,6 +15,7 @@ from .simhash import op7_simhash
 from .suffix_dedup import op2_suffix_dedup
 from .token_counts import op3_token_counts
 from .token_output import op9_token_output
+from .toxicity import op12_toxicity
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
@@ -28,5 +29,6 @@ QUERIES = {
     "op9_token_output": op9_token_output,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_toxicity": op12_toxicity,
     "op13_prefix_trie": op13_prefix_trie,
 }
