@@ -4,9 +4,9 @@ Texts are lower-cased and split into words at blanks and ASCII punctuation. One
 text, the places of words that the benchmark has. Windows of ``WINDOW`` words, ``STRIDE`` apart, are passages; items
 are cut into parts likewise, since no passage is like the whole of a longer item, and a part stands for its item. A
 distributed randomised SVD of the passages' TF-IDF matrix (the benchmark's items are rows of it too) gives a latent
-space; passage and part are candidates if their cosine there or their TF-IDF cosine reaches ``COSINE``. A candidate is a match if the longest common
-subsequence of words, in a stretch around the passage, covers ``SURE`` of the item, or ``PARAPHRASE`` of it and half
-of its answer (column ``answer``, else its last sentence).
+space; passage and part are candidates if the cosine of their projections reaches ``COSINE``. A candidate is a match if
+the longest common subsequence of words, in a stretch around the passage, covers ``SURE`` of the item, or ``PARAPHRASE``
+of it and half of its answer (column ``answer``, else its last sentence).
 
 The benchmark is the stated query set: it is taken in blocks of about ``ITEMS`` parts, so that what tasks are sent has a
 bound. What comes to the driver is a matrix of its words by the rank.
@@ -36,8 +36,6 @@ RANK, EXTRA = 128, 8
 COSINE = 0.4
 SURE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.5
 ITEMS = 500
-#: Words in more passages than this share are left out of the matrix, where all their items keep ``LEAST`` others.
-MOST_PASSAGES, LEAST = 0.02, 8
 CHUNK = 64
 #: Documents of a batch, and entries of the sparse matrix, that are worked on at once.
 SLICE, ENTRIES = 400, 40_000
@@ -129,15 +127,12 @@ class Passages:
     times: np.ndarray
 
     @classmethod
-    def of(cls, b: pa.RecordBatch, names: int, wanted: np.ndarray | None = None) -> "Passages":
+    def of(cls, b: pa.RecordBatch, names: int) -> "Passages":
         sizes = b.column(0).to_numpy()
         found = [np.frombuffer(x.as_buffer(), np.int32) for x in b.column(1)]
         places = [np.frombuffer(x.as_buffer(), np.int32) for x in b.column(2)]
         doc = np.repeat(np.arange(len(found)), [len(f) for f in found])
         word, place = np.concatenate(found).astype(np.int64), np.concatenate(places).astype(np.int64)
-        if wanted is not None:
-            ok = wanted[word]
-            doc, word, place = doc[ok], word[ok], place[ok]
         last = np.maximum(0, -(-(sizes - WINDOW) // STRIDE))  # number of a document's last passage
         first = np.cumsum(last + 1) - last - 1
         k = place // STRIDE  # a word is in the passage that begins last at or before it, and in the one before
@@ -210,7 +205,7 @@ def summed(found: DataFrame, add, shape: tuple[int, int]) -> np.ndarray:
 
 
 def weights(found: DataFrame, items: Items) -> np.ndarray:
-    """Inverse document frequency of each word over all passages; 0 for words left out of the matrix."""
+    """Inverse document frequency of each word over all passages."""
     names = len(items.number)
 
     def count(b: pa.RecordBatch, total: np.ndarray) -> None:
@@ -224,12 +219,7 @@ def weights(found: DataFrame, items: Items) -> np.ndarray:
 
     got = summed(found, count, (names + 1, 1))[:, 0]
     frequency, n = got[:-1], max(1.0, got[-1])
-    kept = frequency <= MOST_PASSAGES * n
-    for k in range(len(items.part_of)):
-        own = ascending(items.part(k))
-        if kept[own].sum() < LEAST:
-            kept[own[np.argsort(frequency[own], kind="stable")][:LEAST]] = True
-    return np.where(kept, np.log((n + 1) / (frequency + 1)) + 1e-3, 0.0)
+    return np.log((n + 1) / (frequency + 1)) + 1e-3
 
 
 def item_rows(items: Items, weight: np.ndarray) -> np.ndarray:
@@ -244,12 +234,11 @@ def item_rows(items: Items, weight: np.ndarray) -> np.ndarray:
 def latent_space(found: DataFrame, items: Items, weight: np.ndarray, rows: np.ndarray, rank: int = RANK, seed: int = 11) -> np.ndarray:
     """Right singular vectors (words by rank) by a randomised SVD, in one pass over the passages."""
     names = len(weight)
-    wanted = weight > 0
     size = min(rank + EXTRA, names)
     omega = np.random.default_rng(seed).standard_normal((names, size)).astype(np.float32)
 
     def power(b: pa.RecordBatch, total: np.ndarray) -> None:
-        p = Passages.of(b, names, wanted)
+        p = Passages.of(b, names)
         value, starts, _ = p.rows(weight)
         if len(starts):
             p.transposed_times(value, p.times_matrix(value, starts, omega), total)
@@ -300,9 +289,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return out.groupBy("doc_id", "row", "item_id").agg(F.max(best).alias("m")).select("doc_id", "row", "item_id", "m.cosine", "m.lcs", "m.item_words", "m.answer_lcs", "m.answer_words")
 
 
-def admitted(latent: np.ndarray, exact: np.ndarray) -> np.ndarray:
-    """Which pairs are candidates, by latent and by TF-IDF cosine: either is enough."""
-    return (latent >= COSINE) | (exact >= COSINE)
+def unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length 1; a row of zeros stays."""
+    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-12)
+
+
+def candidates(cosine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Passages and parts whose latent cosine is enough."""
+    return np.nonzero(cosine >= COSINE)
 
 
 def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
@@ -310,30 +304,26 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
     weight = weights(found, items)
     rows = item_rows(items, weight)
     space = latent_space(found, items, weight, rows)
-    latent = (rows @ space).astype(np.float32)
-    space, terms = space.astype(np.float32), np.ascontiguousarray(rows.T, np.float32)
-    names, wanted = len(weight), weight > 0
+    latent = unit(rows @ space).astype(np.float32)
+    space, names = space.astype(np.float32), len(weight)
     member = np.zeros((len(items.ids), names), bool)
     for k, listed in enumerate(items.lists):
         member[k, listed] = True
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (x.slice(at, SLICE) for x in batches for at in range(0, x.num_rows, SLICE)):
-            p = Passages.of(b.select(["n_words", "words", "places"]), names, wanted)
+            p = Passages.of(b.select(["n_words", "words", "places"]), names)
             value, starts, _ = p.rows(weight)
             passage, item, cosine = [], [], []
             for at in range(0, len(starts), 20_000):
                 stop = min(at + 20_000, len(starts))
                 edge = [starts[at], starts[stop] if stop < len(starts) else len(value)]
                 part = Passages(p.doc, p.start, p.entry[edge[0] : edge[1]], p.word[edge[0] : edge[1]], p.times[edge[0] : edge[1]])
-                y = part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], space)
-                near = y @ latent.T
-                # what lies outside the space could lift nearly any pair, so the cosine itself is taken of all
-                exact = part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], terms)
-                i, j = np.nonzero(admitted(near, exact))
+                near = unit(part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], space)) @ latent.T
+                i, j = candidates(near)
                 passage.append(i + at)
                 item.append(j)
-                cosine.append(near[i, j])
+                cosine.append(np.clip(near[i, j], -1, 1))
             out = []
             texts: dict[int, tuple[np.ndarray, np.ndarray]] = {}
             for i, j, c in zip(*(np.concatenate(x).tolist() for x in (passage, item, cosine))) if passage else ():
