@@ -13,7 +13,8 @@ from ..functions.masks import Terms
 from ..operators import audit, entities, extraction, reports, views
 from ..sources import ingest, store
 from ..sources.spec import SPEC
-from ..sources.tables import ENV_TERMS, REG_TERMS, TECH_TERMS, entity_names, named_resources, rollup_costs, table
+from ..sources.tables import ENV_TERMS, REG_TERMS, TECH_TERMS, entity_names, named_resources, order_files, rollup_costs, table
+from ..streaming import files
 from .oracles import ORACLE_SQL as ORACLE_SQL
 
 TERMS = Terms.of(TECH_TERMS, ENV_TERMS, REG_TERMS)
@@ -255,23 +256,59 @@ def box(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(reports.box(report(spark, sf_dir).withColumn("RemovedChars", F.col("RemovedChars").cast("double")), "SubAccountName", "RemovedChars"))
 
 
-def csv_roundtrip_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All costs as CSV, ingested, and read back by day."""
+def _roundtrip(spark: SparkSession, sf_dir: str, multi_line: bool) -> DataFrame:
     base = f"{store.scratch(spark)}/roundtrip-{uuid.uuid4().hex}"
     rows = rollup_costs(spark, sf_dir)
     start = F.concat_ws("-", F.col("year").cast("string"), "month", "day")
     made = {"time": F.concat(start, F.lit("T00:00:00Z")), "decimal": F.lit("0.5"), "string": F.lit("a, \"b\""), "json": F.lit("{}")}
     columns = [F.col(n).cast("string").alias(n) if n in rows.columns else made[k].alias(n) for n, k, _ in SPEC]
     rows.select(*columns).write.csv(f"{base}/in", header=True, escape='"')
-    ingest.IngestionService(spark, base, "t").ingest(f"{base}/in/*.csv")
+    ingest.IngestionService(spark, base, "t", multi_line=multi_line).ingest(f"{base}/in/*.csv")
     days = ingest.read_days(spark, ingest.dataset_path(base, "t"))
     cost = F.sum(F.col("EffectiveCost").cast("decimal(18,4)")).cast("decimal(38,4)")
     return days.groupBy("year", "month", "day").agg(F.count("*").alias("n"), cost.alias("cost"), F.count("ResourceId").alias("with_id"), F.max("ServiceName").alias("service"))
 
 
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The audited month of ``csv_roundtrip_days``, which its SQL asks for; all rows are ingested."""
-    return csv_roundtrip_days(spark, sf_dir).where((F.col("year") == YEAR) & (F.col("month") == MONTH))
+    """All costs as CSV, ingested, and read back by day; files are split among tasks."""
+    return _roundtrip(spark, sf_dir, multi_line=False)
+
+
+def csv_roundtrip_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, with quoted fields that may span lines: a file is a task's."""
+    return _roundtrip(spark, sf_dir, multi_line=True)
+
+
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    base = f"{store.scratch(spark)}/orders-{uuid.uuid4().hex}"
+    order_files(spark, sf_dir, f"{base}/in")
+    ingest.IngestionService(spark, base, "t", multi_line=False).ingest(f"{base}/in/*/*.csv")
+    return base
+
+
+_folder = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("long")
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What became of each folder's files."""
+    ledger = ingest.read_ledger(spark, _landed(spark, sf_dir), "t")
+    return ledger.groupBy(_folder.alias("folder")).agg(F.sum("rows").alias("n_rows"), F.sum("refused").alias("refused"), F.sum("rejected_cells").alias("rejected_cells"))
+
+
+def refused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with more or fewer fields than the header, with file and reason."""
+    lines = ingest.read_refused(spark, _landed(spark, sf_dir), "t")
+    return lines.select(_folder.alias("folder"), F.substring_index("line", ",", 1).cast("long").alias("key"), "reason")
+
+
+def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days after a stream's batches, each a folder of files, of which one is replayed."""
+    base = f"{store.scratch(spark)}/stream-{uuid.uuid4().hex}"
+    folders, names = order_files(spark, sf_dir, f"{base}/in"), [n for n, _, _ in SPEC]
+    for batch in (0, 1, 1, *range(2, len(folders))):
+        files.land_batch(ingest.read_csv(spark, [folders[batch]], names, multi_line=False), batch, base, "t", f"{base}/state")
+    days = ingest.read_days(spark, ingest.dataset_path(base, "t"))
+    return days.groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.sum(F.col("EffectiveCost").cast("decimal(18,2)")).cast("decimal(38,2)").alias("cost"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -281,5 +318,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
         glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
         master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, csv_roundtrip, csv_roundtrip_days,
+        ingest_ledger, refused_lines, replayed_batches,
     )
 }

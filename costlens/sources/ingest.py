@@ -2,21 +2,34 @@
 
 Files are read as text and cast once, so that costs keep their digits. Columns outside the specification are dropped,
 absent optional ones are typed nulls, absent mandatory ones fail the file.
+
+A run lands in one pass over its files: what they hold is staged as typed rows, each with its file and, if the line has
+more or fewer fields than the header, with the line as it stands. From the stage come the days, a table of refused lines
+and a ledger by file. All files of a run bear its name, and a run that is repeated first removes those that it left, so
+that a crash between writing and committing costs nothing and doubles nothing.
 """
 
 from __future__ import annotations
 
 import csv
+import re
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import to_cost, to_time
+from . import store
 from .spec import KINDS, MANDATORY, PARTITIONS, SCHEMA, SPEC
 
-DATASET = "costs_raw"
+DATASET, REFUSED, LEDGER = "costs_raw", "costs_refused", "ingest_ledger"
+#: Columns that a read frame has beside the file's own: the line if it was refused, why, and the file.
+LINE, REASON, FILE = "_corrupt_record", "_reason", "_file"
+#: Files whose headers are read at a time.
+OPENED = 16
 
 
 class MissingColumns(ValueError):
@@ -25,11 +38,13 @@ class MissingColumns(ValueError):
 
 @dataclass
 class IngestResult:
-    """Files taken and refused, rows written, cells that could not be read, rows by day."""
+    """Files taken and refused, rows written, lines refused, cells that could not be read, rows by day."""
 
+    run: str = ""
     files_processed: int = 0
     files_failed: dict[str, str] = field(default_factory=dict)
     rows_processed: int = 0
+    refused_lines: int = 0
     rejected_cells: int = 0
     partitions_written: int = 0
     rows_by_day: dict[str, int] = field(default_factory=dict)
@@ -64,11 +79,25 @@ def check_columns(names: list[str], path: str = "") -> None:
         raise MissingColumns(f"{path} lacks {', '.join(missing)}")
 
 
+def text_schema(names: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, LINE]])
+
+
+#: Quotes are doubled inside quoted fields; without column pruning every line's fields are counted.
+CSV = {"header": True, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "enforceSchema": False, "columnNameOfCorruptRecord": LINE, "columnPruning": False}
+
+
+def marked(rows: DataFrame, names: list[str]) -> DataFrame:
+    """Adds to rows that were read with ``text_schema`` their file, and why a line was refused."""
+    fields = F.size(F.split(F.regexp_replace(LINE, '"(?:[^"]|"")*"', ""), ","))
+    why = F.concat(fields.cast("string"), F.lit(f" fields for {len(names)} columns"))
+    return rows.withColumns({REASON: F.when(F.col(LINE).isNotNull(), F.when(fields == len(names), "unreadable").otherwise(why)), FILE: F.col("_metadata.file_path")})
+
+
 def read_csv(spark: SparkSession, paths: list[str], names: list[str], multi_line: bool = True) -> DataFrame:
-    """Files of one header, all columns as text; quotes are doubled inside quoted fields, which may span lines if
-    ``multi_line``. Without it, large files are split among tasks."""
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.csv(paths, schema=schema, header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE", enforceSchema=False)
+    """Files of one header, all columns as text, ``marked``; quoted fields may span lines if ``multi_line``. Without it,
+    large files are split among tasks."""
+    return marked(spark.read.schema(text_schema(names)).options(**CSV, multiLine=multi_line).csv(paths), names)
 
 
 def _typed(name: str, kind: str, present: bool) -> Column:
@@ -79,10 +108,11 @@ def _typed(name: str, kind: str, present: bool) -> Column:
 
 
 def with_rejects(rows: DataFrame) -> DataFrame:
-    """Rows of text columns in the specification's schema, with the partition columns of the charge's start, and in
-    _rejected how many cells of a row were no decimals."""
+    """Rows of text columns in the specification's schema, with the partition columns of the charge's start, in _rejected
+    how many cells of a row were no decimals, and what ``marked`` added, if it did."""
     start = F.coalesce("ChargePeriodStart", F.lit("1970-01-01").cast("timestamp"))
-    typed = rows.select(*(_typed(n, k, n in rows.columns) for n, k, _ in SPEC), rejected(rows).alias("_rejected"))
+    more = [F.col(c) for c in (LINE, REASON, FILE) if c in rows.columns]
+    typed = rows.select(*(_typed(n, k, n in rows.columns) for n, k, _ in SPEC), rejected(rows).alias("_rejected"), *more)
     return typed.withColumns({"year": F.year(start).cast("long"), "month": F.date_format(start, "MM"), "day": F.date_format(start, "dd")})
 
 
@@ -98,12 +128,17 @@ def rejected(rows: DataFrame) -> Column:
     return sum((F.coalesce(b, F.lit(False)).cast("int") for b in bad), F.lit(0))
 
 
-def write_days(rows: DataFrame, path: str, overwrite: bool = True, compression: str = "snappy") -> None:
+def write_days(rows: DataFrame, path: str, overwrite: bool = True, compression: str = "snappy", run: str = "part") -> None:
     """Writes rows by day: with ``overwrite`` the days that occur are replaced, else added to. A day's rows meet in a
-    few tasks, so that it has few files; a large day is split."""
+    few tasks, so that it has few files; a large day is split. Names of files begin with ``run``."""
     mode = "overwrite" if overwrite else "append"
     dealt = rows.hint("rebalance", *[F.col(c) for c in PARTITIONS])
-    dealt.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*PARTITIONS).parquet(path)
+    named(dealt, run).mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression).partitionBy(*PARTITIONS).parquet(path)
+
+
+def named(rows: DataFrame, run: str):
+    """A writer whose files' names begin with ``run``."""
+    return rows.write.option("mapreduce.output.basename", run)
 
 
 def read_days(spark: SparkSession, path: str) -> DataFrame:
@@ -111,15 +146,6 @@ def read_days(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(path)
 
 
-def day_counts(spark: SparkSession, path: str) -> dict[str, int]:
-    """Rows of each day of a dataset, from its files' footers; none if there is no dataset."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
-        return {}
-    return {"-".join(map(str, r[:3])): r[3] for r in read_days(spark, path).groupBy(*PARTITIONS).count().collect()}
-
-
 def list_files(spark: SparkSession, pattern: str) -> list[str]:
     """Files that a path or glob names, in any store that Hadoop knows."""
     jvm = spark.sparkContext._jvm
@@ -129,6 +155,53 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(f.getPath().toString() for s in found for f in (store.listStatus(s.getPath()) if s.isDirectory() else [s]) if f.isFile())
 
 
+def forget(spark: SparkSession, folders: list[str], run: str) -> None:
+    """Removes what a run of that name left in some folders."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+
+    def one(folder: str) -> None:
+        place = jvm.org.apache.hadoop.fs.Path(f"{folder}/{run}-*")
+        files = place.getFileSystem(conf)
+        for found in files.globStatus(place) or []:
+            files.delete(found.getPath(), False)
+
+    with ThreadPoolExecutor(OPENED) as pool:
+        list(pool.map(one, folders))
+
+
+def land(rows: DataFrame, base: str, tenant: str, run: str, overwrite: bool = True, compression: str = "snappy") -> IngestResult:
+    """Lands ``marked`` text rows as one run: days, refused lines and ledger. The same run may land again: it replaces what
+    it left. Driver and ledger hold a row for each day and file of the run."""
+    spark, out = rows.sparkSession, IngestResult(run=re.sub(r"[^A-Za-z0-9_.]", "_", run))
+    path, refused, ledger = (dataset_path(base, tenant, d) for d in (DATASET, REFUSED, LEDGER))
+    stage = store.held(with_rejects(rows), "staged")
+    good, day = F.col(LINE).isNull(), F.struct(*PARTITIONS)
+    by_file = stage.groupBy(F.col(FILE).alias("file")).agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("refused"), F.sum(F.when(good, F.col("_rejected")).otherwise(0)).alias("rejected_cells"))
+    days = {"-".join(map(str, r["d"])): r["n"] for r in stage.where(good).groupBy(day.alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()}
+    forget(spark, [refused, ledger], out.run)
+    if not overwrite:
+        forget(spark, [f"{path}/year={y}/month={m}/day={d}" for y, m, d in (k.split("-") for k in days)], out.run)
+    write_days(stage.where(good).select(*SCHEMA.names), path, overwrite, compression, out.run)
+    lines = stage.where(~good).select(F.lit(out.run).alias("run"), F.col(FILE).alias("file"), F.col(REASON).alias("reason"), F.col(LINE).alias("line"))
+    named(lines, out.run).mode("append").parquet(refused)
+    named(by_file.select(F.lit(out.run).alias("run"), "*"), out.run).mode("append").parquet(ledger)
+    total = spark.read.parquet(ledger).where(F.col("run") == out.run).agg(F.count("*"), F.sum("rows"), F.sum("refused"), F.sum("rejected_cells")).first()
+    out.files_processed, out.rows_processed, out.refused_lines, out.rejected_cells = (v or 0 for v in total)
+    out.rows_by_day, out.partitions_written = days, len(days)
+    store.discard(stage)
+    return out
+
+
+def read_refused(spark: SparkSession, base: str, tenant: str) -> DataFrame:
+    """Lines that no run could read: run, file, reason, line."""
+    return store.read_table(spark, dataset_path(base, tenant, REFUSED), "run string, file string, reason string, line string")
+
+
+def read_ledger(spark: SparkSession, base: str, tenant: str) -> DataFrame:
+    """What became of each file: run, file, rows, refused, rejected_cells."""
+    return store.read_table(spark, dataset_path(base, tenant, LEDGER), "run string, file string, rows long, refused long, rejected_cells long")
+
+
 @dataclass
 class IngestionService:
     """Reads cost files that a pattern names into a tenant's dataset."""
@@ -140,33 +213,33 @@ class IngestionService:
     overwrite: bool = True
     multi_line: bool = True
 
-    def ingest(self, pattern: str) -> IngestResult:
-        out = IngestResult()
-        by_header: dict[tuple[str, ...], list[str]] = {}
-        for path in list_files(self.spark, pattern):
+    def headers(self, paths: list[str]) -> list[tuple[str, list[str] | str]]:
+        """Of each file its column names, or why it is refused."""
+
+        def one(path: str) -> tuple[str, list[str] | str]:
             try:
                 names = header_of(self.spark, path)
                 check_columns(names, path)
             except Exception as error:  # noqa: BLE001  one bad file must not stop the others
-                out.files_failed[path] = str(error)
-                continue
-            by_header.setdefault(tuple(names), []).append(path)
-        frames = [(read_csv(self.spark, paths, list(names), self.multi_line), len(paths)) for names, paths in by_header.items()]
-        if not frames:
-            return out
-        typed = None
-        for frame, count in frames:
-            rows = with_rejects(frame)
-            typed = rows if typed is None else typed.unionByName(rows)
-            out.files_processed += count
-        seen, path = Observation("ingest"), dataset_path(self.output_base, self.tenant)
-        before = {} if self.overwrite else day_counts(self.spark, path)
-        day = F.concat_ws("-", F.col("year").cast("string"), "month", "day")
-        counted = typed.observe(seen, F.count("*").alias("rows"), F.sum("_rejected").alias("rejected"), F.collect_set(day).alias("days"))
-        write_days(counted.drop("_rejected"), path, self.overwrite, self.compression)
-        got = seen.get
-        out.rows_processed, out.rejected_cells = got["rows"], got["rejected"] or 0
-        after = day_counts(self.spark, path)
-        out.rows_by_day = {d: after[d] - before.get(d, 0) for d in sorted(got["days"])}
-        out.partitions_written = len(out.rows_by_day)
+                return path, str(error)
+            return path, names
+
+        with ThreadPoolExecutor(OPENED) as pool:
+            return list(pool.map(one, paths))
+
+    def ingest(self, pattern: str, run: str | None = None) -> IngestResult:
+        """Lands the files as a run; name it to be able to repeat it after a crash without doubling what it appended."""
+        failed: dict[str, str] = {}
+        by_header: dict[tuple[str, ...], list[str]] = {}
+        for path, names in self.headers(list_files(self.spark, pattern)):
+            if isinstance(names, str):
+                failed[path] = names
+            else:
+                by_header.setdefault(tuple(names), []).append(path)
+        rows = None
+        for names, paths in by_header.items():
+            typed = read_csv(self.spark, paths, list(names), self.multi_line)
+            rows = typed if rows is None else rows.unionByName(typed, allowMissingColumns=True)
+        out = IngestResult() if rows is None else land(rows, self.output_base, self.tenant, run or uuid.uuid4().hex, self.overwrite, self.compression)
+        out.files_failed, out.files_processed = failed, sum(map(len, by_header.values()))
         return out

@@ -41,6 +41,12 @@ def held(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def discard(frame: DataFrame) -> None:
+    """Deletes the files of a table that ``held`` wrote and that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in frame.inputFiles()}:
+        remove(frame.sparkSession, path)
+
+
 def month_path(base: str, tenant: str, stem: str, year: int, month: str, phase: str, suffix: str) -> str:
     return f"{base.rstrip('/')}/{tenant}/audit/{stem}.{year}_{month}.{phase}.{suffix}"
 

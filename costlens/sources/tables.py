@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .spec import SPEC
+
 #: Terms of the queries: alphanumeric, so that the oracle can classify whole tokens.
 TECH_TERMS = ["vm", "sql", "aks", "steel", "copper"]
 ENV_TERMS = ["prod", "dev", "uat", "qa"]
@@ -136,6 +138,33 @@ NAMED_SQL = """named_resources AS (
 )"""
 
 
+#: Folders of the files of ``order_files``.
+FOLDERS = 4
+
+
+def order_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
+    """Writes orders as CSV files of costs, in FOLDERS folders by order; gives the folders. Costs are charged on the first
+    of the order's month. Of some lines the end is missing, some have a field more, some costs are no numbers. The first
+    field is the order's key."""
+    key = F.col("o_orderkey")
+    cost = F.when(key % 50 == 2, "no cost").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    made = {"time": F.date_format("o_orderdate", "yyyy-MM-01"), "decimal": F.lit("0.5"), "string": F.lit('a, "b"'), "json": F.lit("{}")}
+    fields = [F.coalesce({"AvailabilityZone": key.cast("string"), "EffectiveCost": cost}.get(n, made[k]), F.lit("")).alias(n) for n, k, _ in SPEC]
+    whole = F.to_csv(F.struct(*fields), {"escape": '"'})
+    line = F.when(key % 41 == 0, F.substring_index(whole, ",", 3)).when(key % 41 == 1, F.concat(whole, F.lit(",more"))).otherwise(whole)
+    lines = table(spark, sf_dir, "orders").select((key % FOLDERS).alias("folder"), line.alias(",".join(n for n, _, _ in SPEC)))
+    # one column under the header's text: the lines are written as they are
+    options = {"header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.write.partitionBy("folder").options(**options).csv(base)
+    return [f"{base}/folder={k}" for k in range(FOLDERS)]
+
+
+ORDERS_SQL = """order_costs AS (
+  SELECT o_orderkey AS key, o_orderkey % 4 AS folder, o_orderkey % 41 < 2 AS bad, o_orderkey % 50 = 2 AS odd, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+    CASE WHEN o_orderkey % 50 <> 2 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS cost FROM orders
+)"""
+
+
 def entity_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct names for the similarity operators, with an index in name order: index, name."""
     from pyspark.sql import Window

@@ -16,7 +16,7 @@ from costlens.functions.masks import Terms
 from costlens.operators import audit, entities, extraction, views
 from costlens.sources import ingest, store
 from costlens.sources.spec import MANDATORY, SCHEMA, SPEC
-from costlens.streaming.files import stream_costs
+from costlens.streaming import files
 
 
 def values(spark, kind, column, rows):
@@ -157,13 +157,56 @@ def test_ingest_and_month(spark, tmp_path, cost_files):
     assert views.describe(spark, "resources_per_day")[0]["column_name"] == "ResourceId"
 
 
-def test_stream_appends(spark, tmp_path, cost_files):
-    out = str(tmp_path / "days")
-    names = next(csv.reader(open(cost_files / "good.csv")))
+def test_bad_lines_are_kept_apart(spark, tmp_path, cost_files):
+    base, good = str(tmp_path / "out"), (cost_files / "good.csv").read_text()
+    extra = good.splitlines()[1] + ",more"
+    quoted = '"a, ""b""\nc",short'
+    (cost_files / "good.csv").write_text(good + f"broken,line\n{extra}\n{quoted}\n")
+    result = ingest.IngestionService(spark, base, "t").ingest(f"{cost_files}/good.csv", "first run")
+    assert (result.run, result.rows_processed, result.refused_lines, result.rejected_cells) == ("first_run", 17, 3, 1)
+    days = ingest.read_days(spark, ingest.dataset_path(base, "t"))
+    assert days.count() == 17 and not days.where("year = 1970").count()  # no row of nulls
+    width = len(next(csv.reader(good.splitlines())))
+    refused = {(r["line"], r["reason"], r["file"].rsplit("/", 1)[1]) for r in ingest.read_refused(spark, base, "t").collect()}
+    assert refused == {("broken,line", f"2 fields for {width} columns", "good.csv"), (extra, f"{width + 1} fields for {width} columns", "good.csv"), (quoted, f"2 fields for {width} columns", "good.csv")}
+    ledger = [tuple(r) for r in ingest.read_ledger(spark, base, "t").select("run", "rows", "refused", "rejected_cells").collect()]
+    assert ledger == [("first_run", 17, 3, 1)]
+    assert ingest.read_ledger(spark, base, "nobody").count() == ingest.read_refused(spark, base, "nobody").count() == 0
+
+
+def test_a_repeated_run_replaces_what_it_left(spark, tmp_path, cost_files):
+    base = str(tmp_path / "out")
+    service = ingest.IngestionService(spark, base, "t", overwrite=False)
+    for run in ("a", "a", "b", "a"):
+        service.ingest(f"{cost_files}/*.csv", run)
+    assert ingest.read_days(spark, ingest.dataset_path(base, "t")).count() == 2 * 17
+    assert sorted(r["run"] for r in ingest.read_ledger(spark, base, "t").collect()) == ["a", "b"]
+
+
+def test_stream_lands_each_batch_once(spark, tmp_path, cost_files, monkeypatch):
+    """A stream that stops after a batch is written and before Spark knows of it writes no row twice."""
+    base, state = str(tmp_path / "out"), str(tmp_path / "state")
+    good = (cost_files / "good.csv").read_text().splitlines()
     (cost_files / "bad.csv").unlink()
+    for k in range(3):
+        (cost_files / f"more{k}.csv").write_text("\n".join([good[0], *good[1 + k :], "broken,line"]) + "\n")
+    (cost_files / "good.csv").unlink()
+    names, written, whole = next(csv.reader(good)), [], files.land_batch
+
+    def stops(rows, batch, *rest):
+        whole(rows, batch, *rest)
+        written.append(batch)
+        if len(written) == 2:
+            raise RuntimeError("lost before the commit")
+
+    monkeypatch.setattr(files, "land_batch", stops)
+    with pytest.raises(Exception, match="lost before the commit"):
+        files.stream_costs(spark, str(cost_files), names, base, "t", state, files=1).awaitTermination()
     for _ in range(2):
-        stream_costs(spark, str(cost_files), names, out, str(tmp_path / "state")).awaitTermination()
-    assert ingest.read_days(spark, out).count() == 17
+        files.stream_costs(spark, str(cost_files), names, base, "t", state, files=1).awaitTermination()
+    assert written == [0, 1, 1, 2]  # the second batch ran twice
+    assert ingest.read_days(spark, ingest.dataset_path(base, "t")).count() == 17 + 16 + 15
+    assert ingest.read_refused(spark, base, "t").count() == 3 and ingest.read_ledger(spark, base, "t").count() == 3
 
 
 def test_store_documents(spark, tmp_path):
