@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.masks import CLASSES, DELIMITERS, LETTERS, Terms, alternation, placeholder
 from ..functions.scalars import entropy
+from .quantiles import quantiles, wide
 
 OVERSTRIP, LEAST_RESIDUAL = 0.8, 3
 ACRONYM = (3, 4)
@@ -191,20 +192,26 @@ def _by_scope(frame: DataFrame, keys: list[str], aggregates: list[Column]) -> Da
     return grouped.select(kind.alias("ScopeType"), value.alias("ScopeValue"), *keys, *(c for c in grouped.columns if c not in (*SCOPES, *keys, "gid", "full"))).where(F.col("ScopeValue").isNotNull())
 
 
+#: Quantiles of the roll-up: column, measure and share.
+QUANTILES = [("PctRemovedMedian", "PercentRemoved", 0.5), ("PctRemovedP90", "PercentRemoved", 0.9), ("ResidualLenMedian", "ResidualLength", 0.5), ("ResidualLenP10", "ResidualLength", 0.1), ("EntropyOrigMedian", "EntropyOriginal", 0.5), ("EntropyResidMedian", "EntropyResidual", 0.5)]
+
+
 def corpus_rollup(rows: DataFrame) -> DataFrame:
     """Means, medians, quantiles and flag rates of ``flagged`` rows (with GluedExplained) by scope."""
     rate = lambda c: F.avg(F.col(c).cast("double")).alias(f"{c}Rate")
     glued = lambda c, n: F.avg(F.when(F.col("IsGlued"), c.cast("double"))).alias(n)
-    q = lambda c, p, n: F.percentile(c, F.lit(p)).alias(n)
-    return _by_scope(rows, [], [
-        F.count("*").alias("ResourceCount"),
-        F.avg("PercentRemoved").alias("PctRemovedMean"), q("PercentRemoved", 0.5, "PctRemovedMedian"), q("PercentRemoved", 0.9, "PctRemovedP90"),
-        F.avg("ResidualLength").alias("ResidualLenMean"), q("ResidualLength", 0.5, "ResidualLenMedian"), q("ResidualLength", 0.1, "ResidualLenP10"),
-        F.avg("EntropyOriginal").alias("EntropyOrigMean"), q("EntropyOriginal", 0.5, "EntropyOrigMedian"),
-        F.avg("EntropyResidual").alias("EntropyResidMean"), q("EntropyResidual", 0.5, "EntropyResidMedian"),
+    scope = ["ScopeType", "ScopeValue"]
+    means = _by_scope(rows, [], [
+        F.count("*").alias("ResourceCount"), F.avg("PercentRemoved").alias("PctRemovedMean"), F.avg("ResidualLength").alias("ResidualLenMean"),
+        F.avg("EntropyOriginal").alias("EntropyOrigMean"), F.avg("EntropyResidual").alias("EntropyResidMean"),
         rate("OverstripFlag"), rate("IsGlued"), rate("AcronymOnlyResidual"), rate("HeavyScaffold"), rate("EnvConflict"),
         glued(F.col("GluedExplained"), "GluedExplainedRate"), glued(F.size("EmbeddedEnvList") > 0, "EmbeddedEnvRate"),
     ])
+    measures = sorted({m for _, m, _ in QUANTILES})
+    each = rows.select(*SCOPES, F.explode(F.array(*(F.struct(F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")) for m in measures))).alias("m")).select(*SCOPES, "m.measure", "m.value")
+    counts = _by_scope(each, ["measure", "value"], [F.count("*").alias("n")])
+    found = quantiles(counts, [*scope, "measure"], sorted({q for _, _, q in QUANTILES}))
+    return means.join(wide(found, scope, {n: (F.col("measure") == m) & (F.col("share") == q) for n, m, q in QUANTILES}), scope, "left")
 
 
 def top_tokens(rows: DataFrame, terms: Terms, most: int = TOP_TOKENS) -> DataFrame:

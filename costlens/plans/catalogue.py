@@ -244,6 +244,11 @@ def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(entities.scorecard(*_costs(spark, sf_dir)))
 
 
+def violin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Density of removed characters by a flag, as the fitness page draws it."""
+    return _rounded(reports.violin(report(spark, sf_dir), "HeavyScaffold", "RemovedChars"), 7)
+
+
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.histogram(report(spark, sf_dir), "ResidualLength", 50)
 
@@ -317,7 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         resources_per_day, resources_per_day_json, state_hashes, monthly_resource_cost, tags_index, tag_json_parse, resource_group_extract, date_parse, decimal_parse,
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
         glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
-        master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, csv_roundtrip, csv_roundtrip_days,
+        master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, violin, csv_roundtrip, csv_roundtrip_days,
         ingest_ledger, refused_lines, replayed_batches,
     )
 }

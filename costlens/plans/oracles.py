@@ -259,6 +259,17 @@ FROM rollup_costs GROUP BY year, month, day""",
 FROM order_costs WHERE NOT bad GROUP BY date""",
     "csv_roundtrip_days": f"""WITH {ROLLUP_SQL} SELECT year, month, day, count(*) AS n, CAST(sum(EffectiveCost) AS DECIMAL(38,4)) AS cost, count(ResourceId) AS with_id, 'a, "b"' AS service
 FROM rollup_costs GROUP BY year, month, day""",
+    "violin": f"""WITH {PHASE1_SQL}, sized AS (
+  SELECT HeavyScaffold, count(*) AS size, min(RemovedChars) AS low, max(RemovedChars) AS high, coalesce(stddev_samp(RemovedChars), 0) AS sd,
+    quantile_cont(CAST(RemovedChars AS DOUBLE), 0.75) - quantile_cont(CAST(RemovedChars AS DOUBLE), 0.25) AS iqr FROM phase1 GROUP BY HeavyScaffold
+), wide AS (
+  SELECT *, 1.059 * CASE WHEN iqr > 0 THEN least(sd, iqr / 1.349) ELSE sd END * pow(size, -0.2) AS h FROM sized
+), places AS (
+  SELECT *, k, low - 2 * h + k * (high - low + 4 * h) / 63 AS x FROM wide, (SELECT unnest(range(64)) AS k) WHERE h > 0
+)
+SELECT l.HeavyScaffold, k AS point, round(x, 7) AS x, round(sum(exp(-0.5 * pow((x - RemovedChars) / h, 2))) / (sqrt(2 * pi()) * any_value(h) * any_value(size)), 7) AS density
+FROM places l JOIN phase1 p ON l.HeavyScaffold = p.HeavyScaffold GROUP BY l.HeavyScaffold, k, x
+UNION ALL SELECT HeavyScaffold, 0, CAST(low AS DOUBLE), 1.0::DOUBLE FROM wide WHERE h = 0""",
     "box": f"""WITH {PHASE1_SQL} SELECT SubAccountName, CAST(min(RemovedChars) AS DOUBLE) AS low, CAST(quantile_cont(RemovedChars, 0.25) AS DOUBLE) AS q1, CAST(quantile_cont(RemovedChars, 0.5) AS DOUBLE) AS median,
   CAST(quantile_cont(RemovedChars, 0.75) AS DOUBLE) AS q3, CAST(max(RemovedChars) AS DOUBLE) AS high FROM phase1 GROUP BY SubAccountName""",
 }
