@@ -12,8 +12,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.automaton import Automaton, apart, folded
 from ..functions.masks import CLASSES, DELIMITERS, LETTERS, Terms, alternation, placeholder
 from ..functions.scalars import entropy
+from ..sources.store import held
 from .quantiles import quantiles, wide
 
 OVERSTRIP, LEAST_RESIDUAL = 0.8, 3
@@ -90,30 +92,58 @@ def display_forms(occurrences: DataFrame) -> DataFrame:
     return counted.groupBy("Chunk").agg(F.min_by("Variant", F.struct(-F.col("n"), kind, "Variant")).alias("DisplayForm"))
 
 
-def distinct_with_null(column: str) -> Column:
-    """Distinct values, null being one."""
-    return F.count_distinct(column) + F.max(F.col(column).isNull().cast("int"))
+def numbered(values: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column, null being one, numbered from 0 without gaps: value, number."""
+    made = held(values.select(F.col(column).alias("value")).distinct().withColumn("id", F.monotonically_increasing_id()), "numbers")
+    part = F.shiftright("id", 33)
+    sizes = made.groupBy(part.alias("part")).agg(F.count("*").alias("size"))  # a row for each partition
+    before = F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = F.broadcast(sizes.select("part", before.alias("before")))
+    return made.withColumn("part", part).join(starts, "part").select("value", (F.col("before") + F.col("id") - F.shiftleft("part", 33)).alias("number"))
 
 
-def _support(occurrences: DataFrame, *more: Column) -> DataFrame:
-    return occurrences.groupBy("Chunk").agg(
-        F.length(F.first("Chunk")).alias("Length"), distinct_with_null("ResourceId").alias("SupportNames"),
-        distinct_with_null("SubAccountName").alias("SpreadSubAccounts"), distinct_with_null("ResourceGroup").alias("SpreadResourceGroups"), *more,
-    ).join(display_forms(occurrences), "Chunk")
+def spreads(occurrences: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """How many distinct values each chunk has in some columns, null being one: Chunk and the names that ``columns`` gives.
+
+    Values are bits of their numbers: a task adds a chunk's occurrences up to a few bitmaps, and these meet, not the values.
+    """
+    rows, buckets = occurrences.select("Chunk", *columns), []
+    for c in columns:
+        known = numbered(occurrences, c)
+        rows = rows.join(known, rows[c].eqNullSafe(known["value"])).drop("value")
+        rows = rows.withColumns({f"{c}_bucket": F.bitmap_bucket_number("number"), f"{c}_bit": F.bitmap_bit_position("number")}).drop("number", c)
+        buckets.append(f"{c}_bucket")
+    bits = rows.groupBy("Chunk", *buckets).agg(*(F.bitmap_construct_agg(f"{c}_bit").alias(f"{c}_bits") for c in columns))
+    out = None
+    for c, name in columns.items():
+        met = bits.groupBy("Chunk", f"{c}_bucket").agg(F.bitmap_or_agg(f"{c}_bits").alias("bits"))
+        counted = met.groupBy("Chunk").agg(F.sum(F.bitmap_count("bits")).alias(name))
+        out = counted if out is None else out.join(counted, "Chunk")
+    return out
+
+
+def _support(occurrences: DataFrame) -> DataFrame:
+    """Per chunk its length, support (distinct resources, null being one), spreads, cost, two sample names and form."""
+    ends = lambda f, c, by, n: f(c, by).alias(n)
+    by_name = occurrences.groupBy("Chunk", "ResourceId").agg(F.sum("Cost").alias("cost"), F.min("ResourceName").alias("low"), F.max("ResourceName").alias("high"))
+    support = by_name.groupBy("Chunk").agg(
+        F.length("Chunk").alias("Length"), F.count("*").alias("SupportNames"), F.sum("cost").alias("TotalCost"),
+        ends(F.min_by, "low", "ResourceId", "SampleName1"), ends(F.max_by, "high", "ResourceId", "SampleName2"),
+    )
+    spread = spreads(occurrences, {"SubAccountName": "SpreadSubAccounts", "ResourceGroup": "SpreadResourceGroups"})
+    return support.join(spread, "Chunk").join(display_forms(occurrences), "Chunk")
 
 
 def protect_by_frequency(resources: DataFrame, terms: Terms, least: int = LEAST_SUPPORT, most: int = MOST_CHUNKS) -> DataFrame:
     """Chunks of ``least`` resources or more, the longest and most supported ``most`` of them, with two sample names."""
-    found = spans(resources, terms)
-    samples = (F.min_by("ResourceName", "ResourceId").alias("SampleName1"), F.max_by("ResourceName", "ResourceId").alias("SampleName2"))
-    sets = _support(found, *samples).where(F.col("SupportNames") >= least)
+    sets = _support(spans(resources, terms)).drop("TotalCost").where(F.col("SupportNames") >= least)
     return sets.orderBy(F.desc("Length"), F.desc("SupportNames"), "Chunk").limit(most)
 
 
 def protect_by_cost(resources: DataFrame, terms: Terms, least: float = LEAST_SHARE) -> DataFrame:
     """Chunks whose occurrences carry ``least`` of the total cost or more; none if the total is zero."""
     total = F.nullif(resources.agg(F.sum("Cost")).scalar().cast("double"), F.lit(0.0))
-    sets = _support(spans(resources, terms), F.sum("Cost").alias("TotalCost"))
+    sets = _support(spans(resources, terms)).drop("SampleName1", "SampleName2")
     share = F.col("TotalCost").cast("double") / total
     return sets.withColumn("CostPercentOfTotal", share).where(F.col("CostPercentOfTotal") >= least)
 
@@ -127,35 +157,58 @@ def protect_combined(by_frequency: DataFrame, by_cost: DataFrame) -> DataFrame:
     return both.select("Chunk", *(F.coalesce(f"f.{k}", f"c.{k}").alias(k) for k in shared), F.coalesce("TotalCost", F.lit(0)).alias("TotalCost"), F.coalesce("CostPercentOfTotal", F.lit(0.0)).alias("CostPercentOfTotal"), F.coalesce("f.in", F.lit(False)).alias("InFrequencySet"), F.coalesce("c.in", F.lit(False)).alias("InCostSet"))
 
 
-def cover_glued(name: str, chunks: list[re.Pattern], classes: list[tuple[str, re.Pattern]], without_hits: bool = True) -> tuple:
-    """Whether protected chunks and known classes explain a name: explained, hits, sequence, first offset that fails,
-    masked name. Chunks come the longest first and must not overlap; classes are tried at each place left to right."""
-    name = unicodedata.normalize("NFKC", name)
-    covered, hits = bytearray(len(name)), []
-    for chunk in chunks:
-        for m in chunk.finditer(name):
-            if not any(covered[m.start() : m.end()]):
-                covered[m.start() : m.end()] = b"\1" * len(m[0])
-                hits.append({"Chunk": chunk.pattern.replace("\\", ""), "start": m.start(), "end": m.end()})
-    if not hits and not without_hits:
-        return False, hits, [], -1, None
-    at, sequence = 0, []
-    while at < len(name):
-        if covered[at] or name[at].isspace():
-            at += 1
-            continue
-        found = [(m.end(), -rank) for rank, (_, p) in enumerate(classes) if (m := p.match(name, at))]
-        if not found:
-            return False, hits, sequence, at, None
-        end, rank = max(found)
-        sequence.append({"class": classes[-rank][0], "start": at, "end": end})
-        covered[at:end] = b"\1" * (end - at)
-        at = end
-    pieces, done = [], 0
-    for s in sequence:
-        pieces += [name[done : s["start"]], placeholder(s["class"])]
-        done = s["end"]
-    return True, hits, sequence, -1, "".join(pieces) + name[done:]
+class Coverer:
+    """Tells whether protected chunks and known classes explain names. One automaton finds chunks and terms at once."""
+
+    def __init__(self, chunks: list[str], terms: Terms, without_hits: bool = True) -> None:
+        self.chunks = sorted(set(chunks), key=lambda c: (-len(c), c))
+        self.without_hits = without_hits
+        patterns = terms.scan_patterns()
+        self.rank = {k: i for i, (k, _) in enumerate(patterns)}
+        words = {"TECH": terms.tech, "ENV": terms.env, "REG": terms.reg}
+        self.patterns = [(k, re.compile(p)) for k, p in patterns if k not in words]
+        listed = [(k, w) for k, known in words.items() for w in sorted(known) if w]
+        self.kinds = [k for k, _ in listed]
+        self.automaton = Automaton([*self.chunks, *(w for _, w in listed)])
+
+    def cover(self, name: str) -> tuple[bool, list[dict], list[dict], int, str | None]:
+        """Whether a name is explained, hits, sequence, first offset that fails, masked name. Of chunks the longest go first
+        and none overlap; then at each place left to right the class that reaches farthest is taken."""
+        name = unicodedata.normalize("NFKC", name)
+        of_chunks, of_terms = [], {}
+        for i, start, end in self.automaton.find(folded(name)):
+            if i < len(self.chunks):
+                of_chunks.append((i, start, end))
+            elif apart(name, start, end):
+                of_terms.setdefault(start, []).append((end, -self.rank[self.kinds[i - len(self.chunks)]]))
+        covered, hits, last = bytearray(len(name)), [], (-1, 0)
+        for i, start, end in sorted(of_chunks):
+            if i == last[0] and start < last[1]:  # within the chunk's own occurrence before
+                continue
+            last = i, end
+            if not any(covered[start:end]):
+                covered[start:end] = b"\1" * (end - start)
+                hits.append({"Chunk": self.chunks[i], "start": start, "end": end})
+        if not hits and not self.without_hits:
+            return False, hits, [], -1, None
+        at, sequence = 0, []
+        classes = {-rank: k for k, rank in self.rank.items()}
+        while at < len(name):
+            if covered[at] or name[at].isspace():
+                at += 1
+                continue
+            found = [(m.end(), -self.rank[k]) for k, p in self.patterns if (m := p.match(name, at))] + of_terms.get(at, [])
+            if not found:
+                return False, hits, sequence, at, None
+            end, rank = max(found)
+            sequence.append({"class": classes[rank], "start": at, "end": end})
+            covered[at:end] = b"\1" * (end - at)
+            at = end
+        pieces, done = [], 0
+        for s in sequence:
+            pieces += [name[done : s["start"]], placeholder(s["class"])]
+            done = s["end"]
+        return True, hits, sequence, -1, "".join(pieces) + name[done:]
 
 
 COVERAGE = T.StructType([T.StructField("ResourceId", T.StringType()), T.StructField("GluedExplained", T.BooleanType()), T.StructField("ProtectedHits", T.StringType()), T.StructField("CoverageSequence", T.StringType()), T.StructField("CoverageFailOffset", T.IntegerType()), T.StructField("GluedMaskedString", T.StringType())])
@@ -163,13 +216,11 @@ COVERAGE = T.StructType([T.StructField("ResourceId", T.StringType()), T.StructFi
 
 def glued_coverage(rows: DataFrame, chunks: list[str], terms: Terms, without_hits: bool = True) -> DataFrame:
     """Coverage of each glued name of ``flagged`` rows. ``chunks`` is a protect set, whose size is capped."""
-    listed = sorted(set(chunks), key=lambda c: (-len(c), c))
 
     def cover(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        patterns = [re.compile(re.escape(c), re.IGNORECASE) for c in listed]
-        classes = [(k, re.compile(p)) for k, p in terms.scan_patterns()]
+        coverer = Coverer(chunks, terms, without_hits)
         for b in batches:
-            out = [cover_glued(n or "", patterns, classes, without_hits) for n in b["ResourceName"]]
+            out = [coverer.cover(n or "") for n in b["ResourceName"]]
             yield pd.DataFrame({"ResourceId": b["ResourceId"], "GluedExplained": [o[0] for o in out], "ProtectedHits": [json.dumps(o[1]) for o in out], "CoverageSequence": [json.dumps(o[2]) for o in out], "CoverageFailOffset": [o[3] for o in out], "GluedMaskedString": [o[4] for o in out]})
 
     return rows.where("IsGlued").select("ResourceId", "ResourceName").mapInPandas(cover, COVERAGE)

@@ -139,7 +139,9 @@ def _covered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 
 
 def glued_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _covered(spark, sf_dir)[1].select("ResourceId", "GluedExplained", F.col("CoverageFailOffset").cast("long").alias("CoverageFailOffset"), "GluedMaskedString")
+    hits = F.from_json("ProtectedHits", "array<struct<Chunk:string,start:long,end:long>>")
+    covered = F.aggregate(hits, F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    return _covered(spark, sf_dir)[1].select("ResourceId", covered.alias("CoveredChars"), "GluedExplained", F.col("CoverageFailOffset").cast("long").alias("CoverageFailOffset"), "GluedMaskedString")
 
 
 def corpus_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:

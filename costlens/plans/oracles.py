@@ -84,7 +84,7 @@ COVER_SQL = SPANS_SQL + f""", covered AS (
   SELECT *, list_reduce(list_prepend(lower(nm), (SELECT list(Chunk ORDER BY length(Chunk) DESC, Chunk) FROM freq)),
            lambda acc, c: replace(acc, c, repeat(chr(1), length(c)))) AS blank FROM phase1 WHERE IsGlued
 ), coverage AS (
-  SELECT ResourceId, blank = repeat(chr(1), length(blank)) OR whole AS GluedExplained, nm, whole, kind,
+  SELECT ResourceId, CAST(length(blank) - length(replace(blank, chr(1), '')) AS BIGINT) AS CoveredChars, blank = repeat(chr(1), length(blank)) OR whole AS GluedExplained, nm, whole, kind,
     CASE WHEN blank = repeat(chr(1), length(blank)) OR whole THEN -1 ELSE length(regexp_extract(blank, '^' || chr(1) || '*')) END AS off
   FROM (SELECT *, CASE WHEN list_contains({TECH}, lower(nm)) THEN 'TECH' WHEN list_contains({ENV}, lower(nm)) THEN 'ENV'
                        WHEN list_contains({REG}, lower(nm)) THEN 'REG' WHEN regexp_full_match(nm, '[0-9]+') THEN 'NUM' END AS kind,
@@ -216,7 +216,7 @@ FROM (SELECT coalesce(f.Chunk, c.Chunk) AS Chunk, coalesce(f.SupportNames, c.Sup
   c.Chunk IS NOT NULL AS InCostSet, CAST(coalesce(f.SpreadSubAccounts, c.SpreadSubAccounts) * 5 AS BIGINT) AS scaled_spread FROM freq f FULL JOIN cost c ON f.Chunk = c.Chunk)""",
     "suggested_entities": f"""WITH {SPANS_SQL} SELECT Chunk AS entity_name, count(*) AS n_names, md5(string_agg(ResourceName, '|' ORDER BY ResourceName)) AS names_md5
 FROM freq JOIN (SELECT DISTINCT ResourceName FROM phase1 WHERE ResourceName IS NOT NULL) ON contains(lower(ResourceName), Chunk) GROUP BY Chunk""",
-    "glued_coverage": f"WITH {COVER_SQL} SELECT ResourceId, GluedExplained, CAST(off AS BIGINT) AS CoverageFailOffset, CASE WHEN GluedExplained THEN CASE WHEN whole THEN '⟂' || kind || '⟂' ELSE nm END END AS GluedMaskedString FROM coverage",
+    "glued_coverage": f"WITH {COVER_SQL} SELECT ResourceId, CoveredChars, GluedExplained, CAST(off AS BIGINT) AS CoverageFailOffset, CASE WHEN GluedExplained THEN CASE WHEN whole THEN '⟂' || kind || '⟂' ELSE nm END END AS GluedMaskedString FROM coverage",
     "corpus_rollup": f"WITH {COVER_SQL}, joined AS (SELECT p.*, c.GluedExplained FROM phase1 p LEFT JOIN coverage c USING (ResourceId)) SELECT {ROLLUP_COLUMNS} FROM {SCOPES_SQL.format('joined')} GROUP BY ScopeType, ScopeValue",
     "topn_scopes": f"WITH {PHASE1_SQL} SELECT 'BillingAccountName' AS ScopeType, BillingAccountName AS ScopeValue, round(avg(PercentRemoved), 6) AS PctRemovedMean FROM phase1 GROUP BY BillingAccountName ORDER BY avg(PercentRemoved) DESC, BillingAccountName LIMIT 15",
     "top_tokens": f"""WITH {PHASE1_SQL}, tokens AS (

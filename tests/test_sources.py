@@ -72,17 +72,6 @@ def test_masks_follow_the_patterns(spark):
         assert r["RemovedChars"] <= r["OriginalLength"]
 
 
-def test_glued_scan():
-    classes = [(k, re.compile(p)) for k, p in Terms.of(["vm"], ["prod"], ["weu"]).scan_patterns()]
-    chunks = [re.compile(c, re.IGNORECASE) for c in ("payroll", "pay")]
-    scan = lambda name: audit.cover_glued(name, chunks, classes)
-    assert scan("payrollPAY")[0] and [h["start"] for h in scan("payrollPAY")[1]] == [0, 7]
-    assert scan("payrollprod")[0] is False and scan("payrollprod")[3] == 7
-    ok, _, sequence, offset, masked = scan("prod payroll 12")
-    assert (ok, offset, masked) == (True, -1, "⟂ENV⟂ payroll ⟂NUM⟂") and [s["class"] for s in sequence] == ["ENV", "NUM"]
-    assert audit.cover_glued("zzz", chunks, classes, without_hits=False) == (False, [], [], -1, None)
-
-
 def test_similarity_keeps_every_pair(spark):
     frame = spark.createDataFrame([(k, n) for k, n in enumerate(["alpha beta", "alpha  betas", "alphabeta", "gamma", "gamma ray", "ab", "delta one two", "delta one too"])], "index long, name string")
     weights = entities.gram_weights(frame).persist()
