@@ -99,10 +99,11 @@ def run_agent(spark: SparkSession, base: str, tenant: str, year: int, month: str
 
 def run_merge(spark: SparkSession, base: str, tenant: str, year: int, month: str) -> dict:
     place = lambda stem, phase: store.month_path(base, tenant, stem, year, month, phase, "parquet")
-    merged = entities.merge(*(store.read_table(spark, place("suggested_entities", p), ENTITY) for p in ("p2", "p3"))).persist()
-    names = merged.select(F.col("entity_name").alias("name"), (F.row_number().over(Window.orderBy(F.col("validation_source")[0].desc(), "entity_name")) - 1).cast("long").alias("index")).persist()
-    members = entities.groups(names, entities.links(entities.similar_pairs(entities.gram_weights(names))).persist())
-    grouped, distinct = entities.master(merged, members.persist())
+    merged = store.held(entities.merge(*(store.read_table(spark, place("suggested_entities", p), ENTITY) for p in ("p2", "p3"))), "merged")
+    names = merged.select(F.col("entity_name").alias("name"), (F.row_number().over(Window.orderBy(F.col("validation_source")[0].desc(), "entity_name")) - 1).cast("long").alias("index"))
+    names = store.held(names, "names")
+    members = entities.groups(names, store.held(entities.links(entities.first_neighbours(store.held(entities.gram_weights(names), "weights"))), "links"))
+    grouped, distinct = entities.master(merged, store.held(members, "members"))
     document = store.master_document(grouped, distinct, year, month, dt.datetime.now().isoformat())
     store.write_document(spark, document, store.month_path(base, tenant, "master_suggested_entities", year, month, "p4", "json"))
     return document

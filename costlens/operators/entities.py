@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +12,8 @@ from ..sources.store import held, scratch
 
 DUPLICATE, RELATED, CONFIDENT, TOP_K = 0.92, 0.80, 0.95, 5
 GRAMS = (3, 5)
+#: Names of which all similar pairs are listed, at most; names of a block.
+MOST_NAMES, CELL = 5000, 512
 
 
 def _grams_of(text: Column, n: int) -> Column:
@@ -33,16 +37,25 @@ def gram_weights(names: DataFrame, sizes: tuple[int, int] = GRAMS) -> DataFrame:
     return raw.join(norm, "index").select("index", "gram", (F.col("w") / F.col("norm")).alias("weight"))
 
 
-def similar_pairs(weights: DataFrame, least: float = RELATED) -> DataFrame:
-    """Pairs i < j of cosine ``least`` or more: i, j, similarity. Exact.
+class TooManyNames(ValueError):
+    """More names than all pairs of similar ones may be listed for."""
 
-    A vector's grams are ordered from the rarest; those after which the rest cannot reach ``least`` any more are its
-    prefix, and similar names share a gram of their prefixes. Only pairs that meet there are scored in full.
-    """
-    df = weights.groupBy("gram").agg(F.count("*").alias("df"))
+
+def prefixes(weights: DataFrame, df: DataFrame, least: float) -> DataFrame:
+    """index, gram: of each vector, ordered from its rarest gram, those until the rest cannot reach ``least`` any more.
+    Similar names share one of these. ``df``: gram, df."""
     w = Window.partitionBy("index").orderBy("df", "gram")
     rest = F.sqrt(F.greatest(F.lit(0.0), 1.0 - F.coalesce(F.sum(F.col("weight") * F.col("weight")).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))))
-    prefix = weights.join(df, "gram").withColumn("rest", rest).where((F.col("rest") >= least - 1e-9) & (F.col("df") > 1)).select("index", "gram")
+    return weights.join(df, "gram").withColumn("rest", rest).where((F.col("rest") >= least - 1e-9) & (F.col("df") > 1)).select("index", "gram")
+
+
+def similar_pairs(weights: DataFrame, least: float = RELATED, most: int | None = MOST_NAMES) -> DataFrame:
+    """Pairs i < j of cosine ``least`` or more: i, j, similarity. Exact; only pairs that share a gram of their prefixes are
+    scored. Lists of like names make a square of pairs, so more than ``most`` names are refused (None: never);
+    ``first_neighbours`` has no such bound."""
+    if most is not None and (n := weights.select("index").distinct().count()) > most:
+        raise TooManyNames(f"{n} names, {most} at most")
+    prefix = prefixes(weights, weights.groupBy("gram").agg(F.count("*").alias("df")), least)
     a, b = prefix.withColumnRenamed("index", "i"), prefix.withColumnRenamed("index", "j")
     met = a.join(b, "gram").where("i < j").select("i", "j").distinct()
     left = met.join(weights.select(F.col("index").alias("i"), "gram", F.col("weight").alias("wi")), "i")
@@ -50,14 +63,60 @@ def similar_pairs(weights: DataFrame, least: float = RELATED) -> DataFrame:
     return both.groupBy("i", "j").agg(F.sum(F.col("wi") * F.col("wj")).alias("similarity")).where(F.col("similarity") >= least)
 
 
-def links(pairs: DataFrame, k: int = TOP_K, by_similarity: bool = False) -> DataFrame:
-    """Pairs that are among each other's first ``k`` neighbours, or similar enough: i, j, similarity, link_type.
+def first_neighbours(weights: DataFrame, k: int = TOP_K, least: float = RELATED, by_similarity: bool = False) -> DataFrame:
+    """i, j, similarity of each name's first ``k`` neighbours of cosine ``least`` or more. Exact, and no table of pairs.
 
-    Neighbours rank by index, or by similarity if ``by_similarity``.
+    Names are in blocks by index. A name meets the blocks that hold a gram of its prefix, in cells of two blocks: a cell
+    multiplies at most ``CELL`` vectors by as many and gives only each name's first ``k`` there, so like names cost a cell's
+    rows and not its pairs. A neighbour among the first ``k`` of all is among the first ``k`` of its cell. Neighbours rank
+    by index, or by similarity if ``by_similarity``.
     """
-    ends = pairs.select("i", "j", "similarity").unionByName(pairs.select(F.col("j").alias("i"), F.col("i").alias("j"), "similarity"))
+    df = held(weights.groupBy("gram").agg(F.count("*").alias("df")).withColumn("number", F.monotonically_increasing_id()), "grams")
+    vectors = weights.join(df.select("gram", "number"), "gram").groupBy("index").agg(F.array_sort(F.collect_list(F.struct("number", "weight"))).alias("v"))
+    vectors = held(vectors.select("index", F.col("v.number").alias("grams"), F.col("v.weight").alias("weights")), "vectors")
+    block = F.floor(F.col("index") / CELL)
+    prefix = held(prefixes(weights, df.select("gram", "df"), least), "prefixes")
+    posted = prefix.select("gram", block.alias("to")).distinct()
+    meets = prefix.join(posted, "gram").select("index", "to").distinct()
+    # both blocks of a cell have the names that meet the other
+    ends = meets.select("index", F.greatest(block, "to").alias("a"), F.least(block, "to").alias("b"))
+
+    def meet(key: tuple, cell: pd.DataFrame) -> pd.DataFrame:
+        index = cell["index"].to_numpy()
+        order = np.argsort(index)
+        index, grams, weight = index[order], [cell["grams"].iloc[i] for i in order], [cell["weights"].iloc[i] for i in order]
+        sizes = [len(g) for g in grams]
+        _, column = np.unique(np.concatenate(grams), return_inverse=True)
+        row, dense = np.repeat(np.arange(len(index)), sizes), index // CELL
+        sides = [np.flatnonzero(dense == key[0]), np.flatnonzero(dense == key[1])]
+        shared = np.ones(column.max() + 1, bool)
+        for side in sides:
+            shared &= np.bincount(column[np.isin(row, side)], minlength=len(shared)) > 0
+        place, width = np.cumsum(shared) - 1, int(shared.sum())
+        ok = shared[column]
+        matrix = np.zeros((len(index), width))
+        matrix[row[ok], place[column[ok]]] = np.concatenate(weight)[ok]
+        found = []
+        for x, y in [sides] if key[0] == key[1] else [sides, sides[::-1]]:
+            cosine = matrix[x] @ matrix[y].T
+            cosine[x[:, None] == y] = 0
+            near = cosine >= least
+            if by_similarity:
+                rank = np.argsort(np.argsort(-np.where(near, cosine, -1), axis=1, kind="stable"), axis=1)
+                near &= rank < k
+            else:
+                near &= np.cumsum(near, axis=1) <= k
+            i, j = np.nonzero(near)
+            found.append(pd.DataFrame({"i": index[x[i]], "j": index[y[j]], "similarity": cosine[i, j]}))
+        return pd.concat(found, ignore_index=True)
+
+    cells = ends.distinct().join(vectors, "index").groupBy("a", "b").applyInPandas(meet, "i long, j long, similarity double")
     order = [F.desc("similarity"), "j"] if by_similarity else ["j"]
-    kept = ends.withColumn("rank", F.row_number().over(Window.partitionBy("i").orderBy(*order))).where(F.col("rank") <= k).drop("rank")
+    return cells.withColumn("rank", F.row_number().over(Window.partitionBy("i").orderBy(*order))).where(F.col("rank") <= k).drop("rank")
+
+
+def links(kept: DataFrame) -> DataFrame:
+    """Pairs that are among each other's first neighbours, or similar enough and one's: i, j, similarity, link_type."""
     pair = kept.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "similarity")
     counted = pair.groupBy("i", "j").agg(F.max("similarity").alias("similarity"), F.count("*").alias("sides"))
     good = counted.where((F.col("sides") == 2) | (F.col("similarity") >= CONFIDENT))

@@ -175,13 +175,13 @@ def extracted_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tfidf_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(entities.similar_pairs(entities.gram_weights(entity_names(spark, sf_dir))))
+    return _rounded(entities.similar_pairs(entities.gram_weights(entity_names(spark, sf_dir)), most=None))  # the tables may have more names than the bound
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     names = store.held(entity_names(spark, sf_dir), "names")
     weights = store.held(entities.gram_weights(names), "weights")
-    return names, store.held(entities.links(entities.similar_pairs(weights)), "links")
+    return names, store.held(entities.links(entities.first_neighbours(weights)), "links")
 
 
 def entity_links(spark: SparkSession, sf_dir: str) -> DataFrame:
