@@ -90,11 +90,17 @@ def run_report(spark: SparkSession, base: str, tenant: str, year: int, month: st
     return out
 
 
-def run_agent(spark: SparkSession, base: str, tenant: str, year: int, month: str, model: extraction.Model = extraction.offline_model, size: str = "small") -> None:
+def run_agent(spark: SparkSession, base: str, tenant: str, year: int, month: str, model: extraction.Model = extraction.offline_model, size: str = "small", name: str = "offline", retry: extraction.Retry = extraction.Retry()) -> int:
+    """Writes the entities that a model finds in a month's residues; gives how many residues it failed on. Answers are kept
+    by the model's name in the tenant's folder, and asked for once."""
     place = lambda stem, phase: store.month_path(base, tenant, stem, year, month, phase, "parquet")
     residues = extraction.clean_residues(spark.read.parquet(place("audit_readiness", "p1")), spark.read.parquet(place("protect_set", "p2")).select("Chunk"))
-    found = extraction.extract(residues, model, extraction.batch_size(*extraction.LIMITS[size]))
+    found = store.held(extraction.remembered(residues, model, name, f"{base.rstrip('/')}/{tenant}/audit/answers", extraction.batch_size(*extraction.LIMITS[size]), retry), "found")
+    failed = found.where("entities IS NULL").count()
+    if failed:
+        log.warning("the model failed on %d residues; another run asks for them", failed)
     store.write_table(extraction.by_entity(found), place("suggested_entities", "p3"))
+    return failed
 
 
 def run_merge(spark: SparkSession, base: str, tenant: str, year: int, month: str) -> dict:
@@ -149,7 +155,7 @@ def main(args: list[str] | None = None) -> None:
     if a.command == "audit":
         run_audit(spark, a.output_base, a.tenant, a.year, month)
     elif a.command == "agent":
-        run_agent(spark, a.output_base, a.tenant, a.year, month, model_named(a.llm_model, a.temperature), a.model_size)
+        run_agent(spark, a.output_base, a.tenant, a.year, month, model_named(a.llm_model, a.temperature), a.model_size, f"{a.llm_model} at {a.temperature:g}")
     elif a.command == "report":
         run_report(spark, a.output_base, a.tenant, a.year, month)
     else:

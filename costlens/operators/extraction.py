@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import json
 import re
+import time
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import Accumulator
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.masks import CLASSES, placeholder
+from ..sources import store
 
 ENTITY = "array<struct<entity_name:string,abbreviations:array<string>>>"
 LEAST_LENGTH = 3
@@ -71,27 +74,86 @@ def validated(response) -> dict[str, list[dict]]:
     return out
 
 
-def extract(residues: DataFrame, model: Model = offline_model, size: int = 275, progress: Accumulator | None = None) -> DataFrame:
-    """Adds entities to each distinct residue, asking the model for ``size`` at a time. A batch that fails has none.
+@dataclass(frozen=True)
+class Retry:
+    """How long a batch is asked for again: seconds before the second time, by what they grow, at most, and in all. Which
+    errors are worth it is told by ``transient``."""
+
+    first: float = 1.0
+    factor: float = 2.0
+    most: float = 60.0
+    deadline: float = 300.0
+    transient: Callable[[Exception], bool] = lambda error: True
+
+    def call(self, model: Model, batch: list[str]):
+        """The model's response; raises its last error once the deadline would pass."""
+        began, wait = time.monotonic(), self.first
+        while True:
+            try:
+                return model(batch)
+            except Exception as error:  # noqa: BLE001  the model is foreign code
+                if not self.transient(error) or time.monotonic() - began + wait > self.deadline:
+                    raise
+            time.sleep(wait)
+            wait = min(wait * self.factor, self.most)
+
+
+NO_RETRY = Retry(deadline=0.0)
 
-    ``progress`` counts the batches that were asked; the driver may read it while tasks run."""
+
+def asked(residues: DataFrame, model: Model = offline_model, size: int = 275, retry: Retry = NO_RETRY, progress: Accumulator | None = None, failures: Accumulator | None = None) -> DataFrame:
+    """Each distinct residue with its entities, asking the model for ``size`` at a time; null where the model failed.
+
+    ``progress`` counts the batches that were asked, ``failures`` those that failed; the driver may read them while tasks
+    run. A task that runs again counts again."""
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            listed = b["residue"].tolist()
-            found: dict[str, list[dict]] = {}
-            for at in range(0, len(listed), size):
+            for at in range(0, len(b), size):
+                listed = b["residue"].iloc[at : at + size].tolist()
                 try:
-                    found.update(validated(model(listed[at : at + size])))
-                except Exception:  # noqa: BLE001  the model is foreign code; its batch stays without entities
-                    pass
+                    found = validated(retry.call(model, listed))
+                    entities = [found.get(r, []) for r in listed]
+                except Exception:  # noqa: BLE001
+                    entities = [None] * len(listed)
+                    if failures is not None:
+                        failures.add(1)
                 if progress is not None:
                     progress.add(1)
-            yield pd.DataFrame({"residue": listed, "entities": [found.get(r, []) for r in listed]})
+                yield pd.DataFrame({"residue": listed, "entities": entities})
 
     return residues.select("residue").distinct().mapInPandas(ask, f"residue string, entities {ENTITY}")
 
 
+def extract(residues: DataFrame, model: Model = offline_model, size: int = 275, progress: Accumulator | None = None) -> DataFrame:
+    """``asked`` once; a batch that fails has no entities."""
+    found = asked(residues, model, size, progress=progress)
+    return found.withColumn("entities", F.coalesce("entities", F.array().cast(ENTITY)))
+
+
+#: Residues that are asked for before their answers are written.
+WAVE = 50_000
+ANSWERS = f"model string, residue string, entities {ENTITY}"
+
+
+def remembered(residues: DataFrame, model: Model, name: str, path: str, size: int = 275, retry: Retry = Retry(), wave: int = WAVE, failures: Accumulator | None = None) -> DataFrame:
+    """Each distinct residue with its entities, null where the model failed, from a table of answers by model and residue.
+
+    The model is asked only for what the table lacks, in waves of about ``wave`` residues whose answers are added to the
+    table before the next: a run that is lost, or run again, asks for no more than a wave twice. Failures are not kept."""
+    spark = residues.sparkSession
+    known = lambda: store.read_table(spark, path, ANSWERS).where(F.col("model") == name).dropDuplicates(["residue"])
+    listed = store.held(residues.select("residue").distinct(), "residues")
+    absent = store.held(listed.join(known().select("residue"), "residue", "left_anti"), "absent")
+    waves = -(-absent.count() // wave)
+    for k in range(waves):
+        part = absent.where(F.pmod(F.xxhash64("residue"), F.lit(waves)) == k)
+        found = asked(part, model, size, retry, failures=failures).where("entities IS NOT NULL")
+        store.write_table(found.select(F.lit(name).alias("model"), "residue", "entities"), path, mode="append")
+    store.discard(absent)
+    return listed.join(known().select("residue", "entities"), "residue", "left")
+
+
 def by_entity(extracted: DataFrame) -> DataFrame:
     """Extracted entities as a suggestion list: entity_name, abbreviations, found_in_chunks."""
     each = extracted.select("residue", F.explode("entities").alias("e"))

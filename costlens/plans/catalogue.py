@@ -159,10 +159,9 @@ def top_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _residues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Residues that contain no protected chunk. Every name of the tables has a chunk of three names, so that here a tenth
-    of the names makes a chunk protected."""
+    """Residues that contain no protected chunk."""
     rows = store.held(report(spark, sf_dir), "report")
-    return extraction.clean_residues(rows, audit.protect_by_frequency(rows, TERMS, least=-(-rows.count() // 10)).select("Chunk"))
+    return extraction.clean_residues(rows, audit.protect_by_frequency(rows, TERMS).select("Chunk"))
 
 
 def residue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +169,8 @@ def residue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def extracted_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = extraction.by_entity(extraction.extract(_residues(spark, sf_dir)))
+    answers = f"{store.scratch(spark)}/answers-{uuid.uuid4().hex}"
+    found = extraction.by_entity(extraction.remembered(_residues(spark, sf_dir), extraction.offline_model, "offline", answers))
     return found.select("entity_name", F.size("found_in_chunks").cast("long").alias("n_residues"))
 
 

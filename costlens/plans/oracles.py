@@ -95,7 +95,7 @@ RESIDUE_SQL = SPANS_SQL + """, cleaned AS (
   SELECT array_to_string(list_transform(tk, lambda x: CASE x.k WHEN '' THEN x.t ELSE '' END), '') AS residue FROM phase1
 ), residues AS (
   SELECT residue FROM cleaned WHERE length(residue) > 2
-  AND NOT EXISTS (SELECT 1 FROM freq WHERE SupportNames * 10 >= (SELECT count(*) FROM phase1) AND contains(residue, Chunk))
+  AND NOT EXISTS (SELECT 1 FROM freq WHERE contains(residue, Chunk))
 )"""
 
 SCOPES_SQL = """(SELECT 'overall' AS ScopeType, 'overall' AS ScopeValue, * FROM {0}

@@ -103,7 +103,8 @@ def named_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     tech = F.element_at(F.array(*map(F.lit, ["vm", "sql2019", "aks", "app", "sqlx"])), (p % 5 + 1).cast("int"))
     plain = F.concat_ws("-", F.array_join(words, "-"), tech, env, region, p.cast("string"))
     odd = F.when(p % 7 == 0, _text("-", F.lower(F.hex(p * 2654435761)))).otherwise("")
-    name = F.when(p % 97 == 0, None).when(p % 5 == 0, F.concat(F.array_join(words, ""), env, F.when(p % 10 == 0, F.lit("12")).otherwise(""))).when(p % 11 == 0, F.concat_ws("_", F.upper(words[0]), env, region)).otherwise(F.concat(plain, odd))
+    own = F.concat(F.lit("zx"), F.translate(p.cast("string"), "0123456789", "bcdfghjklm"), F.lit("-"), region)  # no other name has its letters
+    name = F.when(p % 97 == 0, None).when(p % 23 == 0, own).when(p % 5 == 0, F.concat(F.array_join(words, ""), env, F.when(p % 10 == 0, F.lit("12")).otherwise(""))).when(p % 11 == 0, F.concat_ws("_", F.upper(words[0]), env, region)).otherwise(F.concat(plain, odd))
     return (
         part.join(cost, p == F.col("l_partkey"))
         .select(
@@ -122,6 +123,7 @@ def named_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
 NAMED_SQL = """named_resources AS (
   SELECT '/r/' || p_partkey AS ResourceId,
          CASE WHEN p_partkey % 97 = 0 THEN NULL
+              WHEN p_partkey % 23 = 0 THEN 'zx' || translate(CAST(p_partkey AS VARCHAR), '0123456789', 'bcdfghjklm') || '-' || reg
               WHEN p_partkey % 5 = 0 THEN replace(p_name, ' ', '') || env || CASE WHEN p_partkey % 10 = 0 THEN '12' ELSE '' END
               WHEN p_partkey % 11 = 0 THEN upper(split_part(p_name, ' ', 1)) || '_' || env || '_' || reg
               ELSE replace(p_name, ' ', '-') || '-' || tech || '-' || env || '-' || reg || '-' || p_partkey

@@ -99,6 +99,34 @@ def test_extraction(spark):
     assert [extraction.batch_size(*v) for v in extraction.LIMITS.values()] == [2475, 1475, 275]
 
 
+def test_model_is_asked_again_and_remembered(spark, tmp_path):
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def model(batch):
+        place = calls / re.sub("[^a-z]", "", "".join(sorted(batch)))
+        with open(place, "a") as f:
+            f.write("x")
+        if "never" in batch or place.stat().st_size <= 2:
+            raise TimeoutError("busy")
+        return extraction.offline_model(batch)
+
+    asked = lambda: sum(f.stat().st_size for f in calls.iterdir())
+    words = ["payroll", "ledger", "core"]
+    residues = spark.createDataFrame([(w,) for w in [*words, *words, "never"]], "residue string")
+    path, retry, failures = str(tmp_path / "answers"), extraction.Retry(0.01, 2, 0.1, 1.0), spark.sparkContext.accumulator(0)
+    run = lambda name, again=retry: {r["residue"]: r["entities"] for r in extraction.remembered(residues, model, name, path, 1, again, 2, failures).collect()}
+    got = run("m")
+    assert [got[w][0]["entity_name"] for w in words] == words and got["never"] is None and failures.value == 1
+    before = asked()
+    assert run("m", extraction.NO_RETRY) == got and asked() == before + 1  # only what failed is asked for
+    run("other")
+    assert asked() > before + 4  # another model has answers of its own
+    once = extraction.Retry(0.01, 2, 0.1, 5.0, lambda error: not isinstance(error, TimeoutError))
+    with pytest.raises(TimeoutError):
+        once.call(model, ["never"])
+
+
 def cost_row(day, resource, cost, tags="{}"):
     row = {n: "x" for n, _, level in SPEC if level == "mandatory"}
     row |= {n: "1.5" for n, k, _ in SPEC if k == "decimal" and n in row}
