@@ -30,7 +30,9 @@ def resources_per_day(costs: DataFrame) -> DataFrame:
     """
     named = costs.withColumn("ResourceGroup", day_resource_group(F.col("ResourceId")))
     tuples = ["ResourceGroup", *METADATA]
-    per_tuple = named.groupBy(*DAY, *tuples).agg(F.min("Tags").alias("Tags"), F.sum("EffectiveCost").alias("cost"))
+    # costs of 32 decimals leave a sum only six digits before the point
+    cost = F.col("EffectiveCost").cast("decimal(38,20)")
+    per_tuple = named.groupBy(*DAY, *tuples).agg(F.min("Tags").alias("Tags"), F.sum(cost).alias("cost"))
     by_day = per_tuple.groupBy(*DAY).agg(F.min("Tags").alias("Tags"), F.sum("cost").cast("decimal(38,4)").alias("TotalEffectiveCost"), F.collect_list(F.when(F.col("ResourceId").isNotNull(), F.struct(*tuples))).alias("tuples"))
     # ids that are null meet no metadata: one row, all null
     none = F.array(F.lit(None).cast(by_day.schema["tuples"].dataType.elementType))
@@ -60,14 +62,19 @@ def resource_daily_aggregated_state(per_day_json: DataFrame) -> DataFrame:
     )
 
 
-def monthly(per_day: DataFrame, year: int, month: str) -> DataFrame:
-    """A month's cost of each resource, with the tags of its last day. Raises nothing if the month is empty."""
-    rows = per_day.where((F.col("year") == year) & (F.col("month") == month))
+def months(per_day: DataFrame) -> DataFrame:
+    """Cost of each resource and month, with the tags of the month's last day; year and month come last."""
     last = F.max_by(F.struct("Tags"), F.struct("day", F.coalesce("Tags", F.lit("")))).getField("Tags")
-    return rows.groupBy("ResourceId").agg(
+    rows = per_day.groupBy("ResourceId", "year", "month").agg(
         F.max("ResourceName").alias("ResourceName"), F.max("ResourceType").alias("ResourceType"), F.sum("TotalEffectiveCost").cast("decimal(38,4)").alias("Cost"),
         F.max("BillingAccountName").alias("BillingAccountName"), F.max("SubAccountName").alias("SubAccountName"), last.alias("Tags"),
     ).withColumn("ResourceGroup", month_resource_group(F.col("ResourceId")))
+    return rows.select(*(c for c in rows.columns if c not in ("year", "month")), "year", "month")
+
+
+def monthly(per_day: DataFrame, year: int, month: str) -> DataFrame:
+    """A month's cost of each resource, with the tags of its last day. Raises nothing if the month is empty."""
+    return months(per_day.where((F.col("year") == year) & (F.col("month") == month))).drop("year", "month")
 
 
 class EmptyMonth(ValueError):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import json_text, scalars
 from ..functions.masks import Terms
-from ..operators import audit, entities, extraction, reports, views
+from ..operators import audit, entities, extraction, incremental, reports, views
 from ..sources import ingest, store
 from ..sources.spec import SPEC
 from ..sources.tables import ENV_TERMS, REG_TERMS, TECH_TERMS, entity_names, named_resources, order_files, rollup_costs, table
@@ -318,6 +318,25 @@ def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.sum(F.col("EffectiveCost").cast("decimal(18,2)")).cast("decimal(38,2)").alias("cost"))
 
 
+def _kept(spark: SparkSession, sf_dir: str) -> str:
+    """Three ingests of overlapping days, each followed by a refresh of what it touched."""
+    base = f"{store.scratch(spark)}/kept-{uuid.uuid4().hex}"
+    folders = order_files(spark, sf_dir, f"{base}/in")
+    service = ingest.IngestionService(spark, base, "t", overwrite=False, multi_line=False)
+    for pattern in (f"{folders[0]}/*.csv", f"{folders[1]}/*.csv", f"{base}/in/folder=[23]/*.csv"):
+        incremental.refresh(spark, base, "t", service.ingest(pattern).rows_by_day)
+    return base
+
+
+def incremental_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    days = incremental.per_day(spark, _kept(spark, sf_dir), "t")
+    return days.select("ResourceId", "ResourceGroup", "ProviderName", "TotalEffectiveCost", "year", "month", "day")
+
+
+def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return incremental.per_month(spark, _kept(spark, sf_dir), "t").select("ResourceId", "ResourceGroup", "Cost", "Tags", "year", "month")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -325,6 +344,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
         glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
         master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, violin, csv_roundtrip, csv_roundtrip_days,
-        ingest_ledger, refused_lines, replayed_batches,
+        ingest_ledger, refused_lines, replayed_batches, incremental_days, incremental_months,
     )
 }

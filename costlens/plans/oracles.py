@@ -257,6 +257,10 @@ FROM rollup_costs GROUP BY year, month, day""",
     "refused_lines": f"WITH {ORDERS_SQL} SELECT folder, key, CASE key % 41 WHEN 0 THEN '3' ELSE '51' END || ' fields for 50 columns' AS reason FROM order_costs WHERE bad",
     "replayed_batches": f"""WITH {ORDERS_SQL} SELECT CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day, count(*) AS n, CAST(sum(cost) AS DECIMAL(38,2)) AS cost
 FROM order_costs WHERE NOT bad GROUP BY date""",
+    "incremental_days": f"""WITH {ORDERS_SQL} SELECT resource AS ResourceId, 'g' || (key % 10) AS ResourceGroup, 'a, "b"' AS ProviderName, CAST(sum(cost) AS DECIMAL(38,4)) AS TotalEffectiveCost,
+  CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day FROM order_costs WHERE NOT bad GROUP BY resource, key % 10, date""",
+    "incremental_months": f"""WITH {ORDERS_SQL} SELECT resource AS ResourceId, 'g' || (key % 10) AS ResourceGroup, CAST(sum(cost) AS DECIMAL(38,4)) AS Cost, '{{}}' AS Tags,
+  CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month FROM order_costs WHERE NOT bad GROUP BY resource, key % 10, date""",
     "csv_roundtrip_days": f"""WITH {ROLLUP_SQL} SELECT year, month, day, count(*) AS n, CAST(sum(EffectiveCost) AS DECIMAL(38,4)) AS cost, count(ResourceId) AS with_id, 'a, "b"' AS service
 FROM rollup_costs GROUP BY year, month, day""",
     "violin": f"""WITH {PHASE1_SQL}, sized AS (

@@ -151,7 +151,7 @@ def order_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
     key = F.col("o_orderkey")
     cost = F.when(key % 50 == 2, "no cost").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
     made = {"time": F.date_format("o_orderdate", "yyyy-MM-01"), "decimal": F.lit("0.5"), "string": F.lit('a, "b"'), "json": F.lit("{}")}
-    fields = [F.coalesce({"AvailabilityZone": key.cast("string"), "EffectiveCost": cost}.get(n, made[k]), F.lit("")).alias(n) for n, k, _ in SPEC]
+    fields = [F.coalesce({"AvailabilityZone": key.cast("string"), "EffectiveCost": cost, "ResourceId": _text("/s/resourcegroups/g", key % 10, "/x")}.get(n, made[k]), F.lit("")).alias(n) for n, k, _ in SPEC]
     whole = F.to_csv(F.struct(*fields), {"escape": '"'})
     line = F.when(key % 41 == 0, F.substring_index(whole, ",", 3)).when(key % 41 == 1, F.concat(whole, F.lit(",more"))).otherwise(whole)
     lines = table(spark, sf_dir, "orders").select((key % FOLDERS).alias("folder"), line.alias(",".join(n for n, _, _ in SPEC)))
@@ -162,7 +162,7 @@ def order_files(spark: SparkSession, sf_dir: str, base: str) -> list[str]:
 
 
 ORDERS_SQL = """order_costs AS (
-  SELECT o_orderkey AS key, o_orderkey % 4 AS folder, o_orderkey % 41 < 2 AS bad, o_orderkey % 50 = 2 AS odd, CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+  SELECT o_orderkey AS key, o_orderkey % 4 AS folder, o_orderkey % 41 < 2 AS bad, o_orderkey % 50 = 2 AS odd, CAST(date_trunc('month', o_orderdate) AS DATE) AS date, '/s/resourcegroups/g' || (o_orderkey % 10) || '/x' AS resource,
     CASE WHEN o_orderkey % 50 <> 2 THEN CAST(o_totalprice AS DECIMAL(18,2)) END AS cost FROM orders
 )"""
 
