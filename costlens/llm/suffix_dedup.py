@@ -11,10 +11,10 @@ input.
    is an anchor. Blocks of documents ask how often their anchors' hashes occur in the corpus (see ``blobs``).
 3. Strings around anchors that occur once are unique. The others, as one stretch of bytes for each anchor, meet the
    equal anchors of all documents; equal stretches of one block go as one, the least, and the others are known to repeat.
-4. There the suffixes of the stretches at each offset are merge-sorted, those that have a hash in common as one, those
-   whose hash is unique not at all. A comparison takes prefix polynomial hashes and finds the common extension by
-   binary search. Equal hashes are verified byte by byte; where they collide, the offset goes by its bytes. Of equal
-   strings all but the earliest repeat.
+4. There the suffixes of the stretches at each offset are merge-sorted, but for those whose string's hash is unique. A
+   comparison takes prefix polynomial hashes and finds the common extension by binary search. Neighbours in the order
+   whose common extension is a whole string are equal, which is verified byte by byte; where hashes collide, the offset
+   goes by its bytes. Of equal strings all but the earliest repeat.
 
 Nulls: a null text is empty, a null doc_id is kept and comes first. Rows of equal doc_id count as one document: they are
 earlier or later by start alone, so that repeated rows fare alike. Other columns are ignored. An empty table gives no rows.
@@ -311,39 +311,38 @@ class Stretches:
     def repeated(self, row: np.ndarray, at: np.ndarray, seg: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows and offsets of strings that an earlier place has too. Elements come by segment, then place.
 
-        A string whose hash occurs once in its segment is unique. Of those with equal hashes the earliest is sorted,
-        and the others are verified against it byte by byte; neighbours in the sorted order must differ.
+        A string whose hash occurs once in its segment equals no other and is left out. The others are sorted, and
+        repeats are read off the order: neighbours whose common extension is a whole string are equal, and of these the
+        first is the earliest, since the sort is stable. Equality of neighbours is verified byte by byte.
         """
         name = self.sums[row, at + LENGTH] - self.sums[row, at] + seg.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
         name = (name ^ name >> np.uint64(31)) * np.uint64(0x9E3779B97F4A7C15)
         order = np.argsort(name, kind="stable")
         new = np.ones(len(order), bool)
         new[1:] = np.diff(name[order]) != 0
-        start = np.flatnonzero(new)
-        size = np.diff(np.append(start, len(order)))
-        first = np.repeat(order[start], size)
-        shared = np.repeat(size > 1, size)
-        el, first = order[shared], first[shared]
-        wrong = seg[el] != seg[first]
+        size = np.diff(np.append(np.flatnonzero(new), len(order)))
+        el = np.sort(order[np.repeat(size > 1, size)])
+        in_order, p, s_ = self.sort(row[el], at[el], seg[el]), at[el], seg[el]
+        linked = np.zeros(len(el), bool)
+        if len(el) > 1:
+            linked[1:] = (s_[1:] == s_[:-1]) & (self.extension(in_order[:-1], in_order[1:], p[1:]) == LENGTH)
         strings = np.lib.stride_tricks.sliding_window_view(self.bytes, LENGTH, axis=1)
-        for k in range(0, len(el), 50_000):
-            e, f = el[k : k + 50_000], first[k : k + 50_000]
-            wrong[k : k + 50_000] |= (strings[row[e], at[e]] != strings[row[f], at[f]]).any(1)
-        heads = np.sort(order[start[size > 1]])
-        sorted_ = self.sort(row[heads], at[heads], seg[heads])
-        x, y, p = sorted_[:-1], sorted_[1:], at[heads][1:]
-        tied = (seg[heads][1:] == seg[heads][:-1]) & (self.extension(x, y, p) == LENGTH) if len(heads) > 1 else np.zeros(0, bool)
-        doubtful = np.unique(np.concatenate([seg[el[wrong]], seg[first[wrong]], seg[heads][1:][tied]]))
-        good = ~np.isin(seg[el], doubtful) if len(doubtful) else np.ones(len(el), bool)
-        el, first = el[good], first[good]
+        wrong, pairs = np.zeros(len(el), bool), np.flatnonzero(linked)
+        for k in range(0, len(pairs), 50_000):
+            e = pairs[k : k + 50_000]
+            wrong[e] = (strings[in_order[e], p[e]] != strings[in_order[e - 1], p[e]]).any(1)
+        head = np.maximum.accumulate(np.where(linked, 0, np.arange(len(el)))) if len(el) else el
+        doubtful = np.unique(s_[wrong])
+        good = linked & ~np.isin(s_, doubtful)
+        later_rows, first_rows, later_at = in_order[good], in_order[head[good]], p[good]
         for s in doubtful.tolist():  # hashes collided: these offsets go by their bytes
             own = np.flatnonzero(seg == s)
             earliest: dict[bytes, int] = {}
-            heads_ = [earliest.setdefault(self.bytes[row[i], at[i] : at[i] + LENGTH].tobytes(), i) for i in own.tolist()]
-            el, first = np.concatenate([el, own]), np.concatenate([first, np.array(heads_)])
-        f, r = places[row[first]], places[row[el]]
+            heads = np.array([earliest.setdefault(self.bytes[row[i], at[i] : at[i] + LENGTH].tobytes(), i) for i in own.tolist()])
+            later_rows, first_rows, later_at = (np.concatenate(x) for x in ((later_rows, row[own]), (first_rows, row[heads]), (later_at, at[own])))
+        f, r = places[first_rows], places[later_rows]
         later = (r["key"] > f["key"]) | ((r["key"] == f["key"]) & (r["start"] > f["start"]))
-        return row[el[later]], at[el[later]]
+        return later_rows[later], later_at[later]
 
 
 def _sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -419,3 +419,19 @@ def test_chat_ranks_branches(spark):
         got[r["root"]].append(r["node"])
     assert got == {1: [1, 3, 5], 7: [7]}
     assert chat.paths(nodes, keep=2).select("leaf").distinct().count() == 3
+
+
+def test_repeats_are_read_off_the_order(monkeypatch):
+    """Stretches whose repeats lie apart: without the sort equal strings are no neighbours."""
+    rng = np.random.default_rng(17)
+    kinds = rng.integers(97, 123, (5, suffix_dedup.STRETCH)).astype(np.uint8)
+    pick = rng.integers(0, 5, 60)
+    places = np.zeros(60, suffix_dedup.PLACE)
+    places["key"], places["high"] = np.arange(60), suffix_dedup.SPAN - 1
+    row, seg = np.tile(np.arange(60), 3), np.repeat(np.arange(3), 60)
+    at = np.repeat([0, 7, 40], 60)
+    want = {(i, a) for i in range(60) for a in (0, 7, 40) if pick[i] in pick[:i]}
+    found = lambda: set(zip(*(x.tolist() for x in suffix_dedup.Stretches(kinds[pick]).repeated(row, at, seg, places))))
+    assert found() == want
+    monkeypatch.setattr(suffix_dedup.Stretches, "sort", lambda self, row, at, seg: row)
+    assert found() != want
