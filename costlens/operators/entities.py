@@ -184,8 +184,7 @@ def entity_costs(entities: DataFrame, resources: DataFrame) -> DataFrame:
     """Cost of the resources whose names contain any chunk of an entity, once each: entity_name, num_members, cost,
     cost_pct_of_total, cumulative_cost_pct. ``entities``: entity_name, found_in_chunks, num_members.
 
-    Chunks that are whole names are met by equality; others are looked for in the distinct names, in blocks of entities
-    that a task can hold. Costs are added up by name first.
+    Chunks meet the names' parts of their lengths by equality. Costs are added up by name first.
     """
     by_name = resources.where(F.col("ResourceName").isNotNull()).groupBy(F.lower("ResourceName").alias("name")).agg(F.sum("Cost").alias("cost"))
     chunks = entities.select("entity_name", F.explode("found_in_chunks").alias("chunk")).select("entity_name", F.lower("chunk").alias("chunk")).where("chunk <> ''").distinct()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import json_text, scalars
 from ..functions.masks import Terms
 from ..operators import audit, entities, extraction, incremental, reports, views
-from ..sources import ingest, store
+from ..sources import datasource, ingest, store
 from ..sources.spec import SPEC
 from ..sources.tables import ENV_TERMS, REG_TERMS, TECH_TERMS, entity_names, named_resources, order_files, rollup_costs, table
 from ..streaming import files
@@ -116,7 +116,7 @@ def _cost_set(rows: DataFrame) -> DataFrame:
 
 
 def protect_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _cost_set(report(spark, sf_dir))
+    found = _cost_set(store.held(report(spark, sf_dir), "report"))
     return _rounded(found.select("Chunk", "DisplayForm", "SupportNames", F.col("TotalCost").cast("decimal(38,4)").alias("TotalCost"), "CostPercentOfTotal"))
 
 
@@ -337,6 +337,67 @@ def incremental_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return incremental.per_month(spark, _kept(spark, sf_dir), "t").select("ResourceId", "ResourceGroup", "Cost", "Tags", "year", "month")
 
 
+def ordered_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshots and states by day, read from the last of the views that build on each other."""
+    last = views.create_views(spark, rollup_costs(spark, sf_dir))[-1]
+    return spark.table(last).groupBy("SnapshotDate").agg(F.count("*").alias("n"), F.count_distinct("state_hash").alias("states"))
+
+
+def guid_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masks of names with identifiers: with and without dashes, beside delimiters, and glued to letters."""
+    key, md5 = F.col("o_orderkey"), F.md5(F.col("o_orderkey").cast("string"))
+    dashed = F.regexp_replace(md5, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-")
+    kind = key % 4
+    name = F.when(kind == 0, F.concat(F.lit("app-"), dashed, F.lit("-prod"))).when(kind == 1, F.concat(F.lit("app_"), F.upper(md5))).when(kind == 2, F.concat(F.lit("zz"), md5, F.lit("zz"))).otherwise(F.concat(F.lit("/"), dashed, F.lit("."), md5, F.lit(":")))
+    rows = table(spark, sf_dir, "orders").select(key.cast("string").alias("ResourceId"), name.alias("ResourceName"), F.lit("t").alias("ResourceType"))
+    found = audit.masked(rows, TERMS)
+    return found.select("ResourceId", "MaskedName", F.col("MaskHitsGuid").cast("long").alias("MaskHitsGuid"), F.col("RemovedChars").cast("long").alias("RemovedChars"), F.col("ResidualLength").cast("long").alias("ResidualLength"))
+
+
+#: Letters that NFKC changes; their forms are in the SQL.
+ODD = ["\ufb01", "\uff21\uff42", "e\u0301", "\u2460", "\u212b", "plain"]
+
+
+def nfkc_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in their normal form and lower case, from ligatures, wide letters, marks, circled numbers and signs."""
+    odd = F.element_at(F.array(*map(F.lit, ODD)), (F.col("p_partkey") % len(ODD) + 1).cast("int"))
+    return table(spark, sf_dir, "part").select("p_partkey", scalars.normalized(F.concat(F.col("p_brand"), odd)).alias("name"))
+
+
+def ingest_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ingest itself counted by day."""
+    base = f"{store.scratch(spark)}/orders-{uuid.uuid4().hex}"
+    order_files(spark, sf_dir, f"{base}/in")
+    result = ingest.IngestionService(spark, base, "t", multi_line=False).ingest(f"{base}/in/*/*.csv")
+    return spark.createDataFrame(list(result.rows_by_day.items()), "day string, n long")  # a row for each day
+
+
+def registered_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days read through the registered format."""
+    base = _landed(spark, sf_dir)
+    datasource.register(spark)
+    days = spark.read.format(datasource.NAME).options(path=base, tenant="t").load().where("year >= 1995")
+    return days.groupBy("year", "month", "day").agg(F.count("*").alias("n"), F.sum(F.col("EffectiveCost").cast("decimal(18,2)")).cast("decimal(38,2)").alias("cost"))
+
+
+def merged_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two suggestion lists, written as a month's files, read back and merged."""
+    base, kind = f"{store.scratch(spark)}/lists-{uuid.uuid4().hex}", "entity_name string, abbreviations array<string>, found_in_chunks array<string>"
+    places = [store.month_path(base, "t", "suggested_entities", YEAR, MONTH, p, "parquet") for p in ("p2", "p3", "p9")]
+    for frame, place in zip(_suggestions(spark, sf_dir), places):
+        store.write_table(frame, place)
+    lists = [store.read_table(spark, place, kind) for place in places]
+    merged = entities.merge(lists[0], lists[1].unionByName(lists[2]))  # the third file is absent
+    return merged.select("entity_name", *(F.array_join(c, "|").alias(c) for c in ("abbreviations", "found_in_chunks", "validation_source")))
+
+
+def acronyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each part's words and codes those that may be acronyms."""
+    listed = F.concat(F.split("p_name", " "), F.split("p_type", " "), F.split("p_brand", "#"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", listed.alias("abbreviations"))
+    return extraction.known_acronyms(rows).select("p_partkey", F.array_join("abbreviations", "|").alias("abbreviations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -344,6 +405,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
         glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
         master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, violin, csv_roundtrip, csv_roundtrip_days,
-        ingest_ledger, refused_lines, replayed_batches, incremental_days, incremental_months,
+        ordered_views, guid_masks, nfkc_names, ingest_days, registered_source, merged_lists, acronyms, ingest_ledger, refused_lines, replayed_batches, incremental_days, incremental_months,
     )
 }

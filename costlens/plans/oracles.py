@@ -181,17 +181,19 @@ ROLLUP_COLUMNS = f"""ScopeType, ScopeValue, count(*) AS ResourceCount, round(avg
   {_rate('IsGlued')} AS IsGluedRate, {_rate('AcronymOnlyResidual')} AS AcronymOnlyResidualRate, {_rate('HeavyScaffold')} AS HeavyScaffoldRate, {_rate('len(env_list) >= 2')} AS EnvConflictRate,
   {_rate('CASE WHEN IsGlued THEN GluedExplained END')} AS GluedExplainedRate, {_rate('CASE WHEN IsGlued THEN len(env_list) > 0 END')} AS EmbeddedEnvRate"""
 
-ORACLE_SQL: dict[str, str] = {
-    "resources_per_day": f"WITH {PER_DAY_SQL} SELECT * FROM resources_per_day",
-    "resources_per_day_json": f"WITH {PER_DAY_SQL} SELECT * FROM per_day_json",
-    "state_hashes": f"""WITH {PER_DAY_SQL}, tagged AS (
+STATES_SQL = f"""WITH {PER_DAY_SQL}, tagged AS (
   SELECT *, (SELECT string_agg(t.s.Key || '=' || coalesce(t.s.Value, ''), ';' ORDER BY t.s.Key, t.s.Value)
              FROM unnest(json_transform(Tags, '[{{"Key": "VARCHAR", "Value": "VARCHAR"}}]')) AS t(s) WHERE t.s.Key IS NOT NULL) AS n FROM per_day_json)
 SELECT make_date(year, CAST(month AS INTEGER), CAST(day AS INTEGER)) AS SnapshotDate, ResourceId, ResourceGroup, ResourceName, ResourceType, SubAccountId, SubAccountName,
   RegionId, RegionName, BillingAccountId, BillingAccountName, ProviderName, Tags,
   md5(ResourceId || '|#|' || coalesce(ResourceGroup, '') || '|#|' || coalesce(ResourceName, '') || '|#|' || coalesce(SubAccountId, '') || '|#|' || coalesce(BillingAccountName, '') || '|#|' || coalesce(RegionId, '') || '|#|' || coalesce(n, '')) AS state_hash,
   md5(coalesce(ResourceGroup, '') || '|#|' || coalesce(ResourceName, '') || '|#|' || coalesce(ResourceType, '') || '|#|' || coalesce(SubAccountId, '') || '|#|' || coalesce(BillingAccountName, '') || '|#|' || coalesce(RegionId, '') || '|#|' || coalesce(n, '')) AS full_state_hash
-FROM tagged""",
+FROM tagged"""
+
+ORACLE_SQL: dict[str, str] = {
+    "resources_per_day": f"WITH {PER_DAY_SQL} SELECT * FROM resources_per_day",
+    "resources_per_day_json": f"WITH {PER_DAY_SQL} SELECT * FROM per_day_json",
+    "state_hashes": STATES_SQL,
     "monthly_resource_cost": f"""WITH {PER_DAY_SQL} SELECT ResourceId, max(ResourceName) AS ResourceName, max(ResourceType) AS ResourceType, CAST(sum(TotalEffectiveCost) AS DECIMAL(38,4)) AS Cost,
   max(BillingAccountName) AS BillingAccountName, max(SubAccountName) AS SubAccountName, max(CASE WHEN rn = 1 THEN Tags END) AS Tags,
   nullif(regexp_extract(ResourceId, '(?i)/resourceGroups/([^/]+)', 1), '') AS ResourceGroup
@@ -257,6 +259,15 @@ FROM rollup_costs GROUP BY year, month, day""",
     "refused_lines": f"WITH {ORDERS_SQL} SELECT folder, key, CASE key % 41 WHEN 0 THEN '3' ELSE '51' END || ' fields for 50 columns' AS reason FROM order_costs WHERE bad",
     "replayed_batches": f"""WITH {ORDERS_SQL} SELECT CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day, count(*) AS n, CAST(sum(cost) AS DECIMAL(38,2)) AS cost
 FROM order_costs WHERE NOT bad GROUP BY date""",
+    "ordered_views": f"SELECT SnapshotDate, count(*) AS n, count(DISTINCT state_hash) AS states FROM ({STATES_SQL}) GROUP BY SnapshotDate",
+    "guid_masks": """SELECT CAST(o_orderkey AS VARCHAR) AS ResourceId, CASE o_orderkey % 4 WHEN 0 THEN 'app-⟂GUID⟂-⟂ENV⟂' WHEN 1 THEN 'app_⟂GUID⟂' WHEN 2 THEN 'zz' || md5(CAST(o_orderkey AS VARCHAR)) || 'zz' ELSE '/⟂GUID⟂.⟂GUID⟂:' END AS MaskedName,
+  [1, 1, 0, 2][o_orderkey % 4 + 1] AS MaskHitsGuid, [40, 32, 0, 68][o_orderkey % 4 + 1] AS RemovedChars, [3, 3, 36, 0][o_orderkey % 4 + 1] AS ResidualLength FROM orders""",
+    "nfkc_names": "SELECT p_partkey, lower(p_brand) || ['fi', 'ab', chr(233), '1', chr(229), 'plain'][p_partkey % 6 + 1] AS name FROM part",
+    "ingest_days": f"WITH {ORDERS_SQL} SELECT strftime(date, '%Y-%m-%d') AS day, count(*) AS n FROM order_costs WHERE NOT bad GROUP BY date",
+    "registered_source": f"""WITH {ORDERS_SQL} SELECT CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day, count(*) AS n, CAST(sum(cost) AS DECIMAL(38,2)) AS cost
+FROM order_costs WHERE NOT bad AND year(date) >= 1995 GROUP BY date""",
+    "merged_lists": f"WITH RECURSIVE {GROUPS_SQL} SELECT entity_name, array_to_string(abbreviations, '|') AS abbreviations, array_to_string(found_in_chunks, '|') AS found_in_chunks, validation_source FROM merged",
+    "acronyms": """SELECT p_partkey, coalesce(array_to_string(list_filter(string_split(p_name, ' ') || string_split(p_type, ' ') || string_split(p_brand, '#'), lambda w: regexp_full_match(w, '[A-Za-z]{3,5}')), '|'), '') AS abbreviations FROM part""",
     "incremental_days": f"""WITH {ORDERS_SQL} SELECT resource AS ResourceId, 'g' || (key % 10) AS ResourceGroup, 'a, "b"' AS ProviderName, CAST(sum(cost) AS DECIMAL(38,4)) AS TotalEffectiveCost,
   CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day FROM order_costs WHERE NOT bad GROUP BY resource, key % 10, date""",
     "incremental_months": f"""WITH {ORDERS_SQL} SELECT resource AS ResourceId, 'g' || (key % 10) AS ResourceGroup, CAST(sum(cost) AS DECIMAL(38,4)) AS Cost, '{{}}' AS Tags,
