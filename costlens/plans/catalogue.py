@@ -144,6 +144,15 @@ def glued_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _covered(spark, sf_dir)[1].select("ResourceId", covered.alias("CoveredChars"), "GluedExplained", F.col("CoverageFailOffset").cast("long").alias("CoverageFailOffset"), "GluedMaskedString")
 
 
+def hit_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Protected chunks and classes that were found in each glued name, with their places."""
+    rows = _covered(spark, sf_dir)[1]
+    place = "start:long,end:long"
+    hits = F.transform(F.from_json("ProtectedHits", f"array<struct<Chunk:string,{place}>>"), lambda h: F.struct(F.lit("chunk").alias("kind"), h["Chunk"].alias("found"), h["start"].alias("start"), h["end"].alias("end")))
+    classes = F.transform(F.from_json("CoverageSequence", f"array<struct<class:string,{place}>>"), lambda h: F.struct(F.lit("class").alias("kind"), h["class"].alias("found"), h["start"].alias("start"), h["end"].alias("end")))
+    return rows.select("ResourceId", F.explode(F.concat(hits, classes)).alias("h")).select("ResourceId", "h.*")
+
+
 def corpus_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, covered = _covered(spark, sf_dir)
     return _rounded(audit.corpus_rollup(rows.join(covered.select("ResourceId", "GluedExplained"), "ResourceId", "left")))
@@ -403,7 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         resources_per_day, resources_per_day_json, state_hashes, monthly_resource_cost, tags_index, tag_json_parse, resource_group_extract, date_parse, decimal_parse,
         charge_period_check, null_safe_filter, entropy, mask_report, phase1_flags, embedded_terms, protect_freq, protect_cost, protect_combined, suggested_entities,
-        glued_coverage, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
+        glued_coverage, hit_lists, corpus_rollup, topn_scopes, top_tokens, residue, extracted_entities, tfidf_pairs, entity_links, components, entity_groups, entity_merge,
         master_groups, entity_cost_coverage, top_coverage, top_groups, scorecard, histogram, density, box, violin, csv_roundtrip, csv_roundtrip_days,
         ordered_views, guid_masks, nfkc_names, ingest_days, registered_source, merged_lists, acronyms, ingest_ledger, refused_lines, replayed_batches, incremental_days, incremental_months,
     )

@@ -219,6 +219,14 @@ FROM (SELECT coalesce(f.Chunk, c.Chunk) AS Chunk, coalesce(f.SupportNames, c.Sup
     "suggested_entities": f"""WITH {SPANS_SQL} SELECT Chunk AS entity_name, count(*) AS n_names, md5(string_agg(ResourceName, '|' ORDER BY ResourceName)) AS names_md5
 FROM freq JOIN (SELECT DISTINCT ResourceName FROM phase1 WHERE ResourceName IS NOT NULL) ON contains(lower(ResourceName), Chunk) GROUP BY Chunk""",
     "glued_coverage": f"WITH {COVER_SQL} SELECT ResourceId, CoveredChars, GluedExplained, CAST(off AS BIGINT) AS CoverageFailOffset, CASE WHEN GluedExplained THEN CASE WHEN whole THEN '⟂' || kind || '⟂' ELSE nm END END AS GluedMaskedString FROM coverage",
+    "hit_lists": f"""WITH {COVER_SQL}, chunks AS (
+  SELECT list({{'t': Chunk, 'h': CAST([] AS STRUCT(c VARCHAR, s BIGINT)[])}} ORDER BY length(Chunk) DESC, Chunk) AS l FROM freq
+), met AS (
+  SELECT ResourceId, list_reduce(l, lambda a, c: {{'t': replace(a.t, c.t, repeat(chr(1), length(c.t))), 'h': a.h || list_transform(list_filter(range(length(a.t)), lambda i: substring(a.t, i + 1, length(c.t)) = c.t), lambda i: {{'c': c.t, 's': i}})}},
+    {{'t': lower(nm), 'h': CAST([] AS STRUCT(c VARCHAR, s BIGINT)[])}}) AS a FROM phase1, chunks WHERE IsGlued
+)
+SELECT ResourceId, 'chunk' AS kind, x.c AS found, x.s AS start, CAST(x.s + length(x.c) AS BIGINT) AS "end" FROM (SELECT ResourceId, unnest(a.h) AS x FROM met)
+UNION ALL SELECT ResourceId, 'class', kind, 0, CAST(length(nm) AS BIGINT) FROM coverage WHERE whole AND kind IS NOT NULL""",
     "corpus_rollup": f"WITH {COVER_SQL}, joined AS (SELECT p.*, c.GluedExplained FROM phase1 p LEFT JOIN coverage c USING (ResourceId)) SELECT {ROLLUP_COLUMNS} FROM {SCOPES_SQL.format('joined')} GROUP BY ScopeType, ScopeValue",
     "topn_scopes": f"WITH {PHASE1_SQL} SELECT 'BillingAccountName' AS ScopeType, BillingAccountName AS ScopeValue, round(avg(PercentRemoved), 6) AS PctRemovedMean FROM phase1 GROUP BY BillingAccountName ORDER BY avg(PercentRemoved) DESC, BillingAccountName LIMIT 15",
     "top_tokens": f"""WITH {PHASE1_SQL}, tokens AS (
