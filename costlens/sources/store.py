@@ -24,14 +24,20 @@ DEFAULTS = {"exclusions": "vm sql aks db adf nsg vnet disk storage", "environmen
 
 
 def scratch(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A local session that names none has one of its own."""
+    """A folder of this application in the one that driver and executors share. A local session that names none has one of
+    its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
         if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
             raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costlens-"))
         folder = spark.sparkContext.getCheckpointDir()
-    return folder
+    return f"{folder.rstrip('/')}/costlens-{spark.sparkContext.applicationId}"
+
+
+def sweep(spark: SparkSession) -> bool:
+    """Deletes all tables that the application's operators wrote for themselves; frames that still read them fail."""
+    return remove(spark, scratch(spark))
 
 
 def held(frame: DataFrame, name: str) -> DataFrame:

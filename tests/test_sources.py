@@ -226,6 +226,15 @@ def test_stream_lands_each_batch_once(spark, tmp_path, cost_files, monkeypatch):
     assert ingest.read_refused(spark, base, "t").count() == 3 and ingest.read_ledger(spark, base, "t").count() == 3
 
 
+def test_tables_of_an_application_are_swept(spark):
+    place = store.scratch(spark)
+    rows = store.held(spark.range(3), "some")
+    assert rows.count() == 3 and all(place.rsplit("/", 1)[1] in f for f in rows.inputFiles())
+    other = store.held(spark.range(4), "other")
+    store.discard(rows)
+    assert other.count() == 4 and not any(store.exists(spark, f) for f in rows.inputFiles())
+
+
 def test_store_documents(spark, tmp_path):
     path = str(tmp_path / "t" / "known.yaml")
     assert store.read_yaml(spark, path) == {} and not store.exists(spark, path)
