@@ -11,7 +11,7 @@ In roles and texts ``\``, ``#`` and the ``<`` of ``</turn>`` are written ``\\``,
 role's texts. A conversation is one row, or several rows of ``TURNS`` turns each if it is longer.
 
 Nulls: a null text or role is empty, a null conv_id is a conversation of its own, a null turn comes first; rows of
-equal turn follow each other by role and text. An empty table gives only the added conversation. Other columns are
+equal turn follow each other by role and text; branches of equal score by length, then leaf. A long text is one row. An empty table gives only the added conversation. Other columns are
 ignored.
 """
 

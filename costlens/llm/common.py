@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -10,18 +9,11 @@ from contextlib import contextmanager
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import scratch
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share. A local session that names none (as in tests) has one of its own."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.sparkContext.getCheckpointDir()
-    if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="costlens-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
+
+#: The folder that driver and executors share.
+shared_dir = scratch
 
 
 #: Held while a table is written: a finished query deletes its own shuffle files, and batches for Python are small, since

@@ -1,7 +1,8 @@
 """Connected components over tables, for graphs that no machine holds.
 
-``chains`` must be links of a forest-like graph (a few links a vertex); each round hooks every vertex to the least
-neighbour of its component's root and halves the paths, so rounds grow as the logarithm of the longest path.
+Links are vertices' pairs of any orderable type. Rounds of large-star and small-star steps turn each component into a star
+around its least vertex; their number grows as the logarithm of the longest path. A link of a vertex to itself is
+dropped, repeated ones count once.
 """
 
 from __future__ import annotations

@@ -6,8 +6,9 @@ of its number of sequences. A partition that meets its bound is certified and ke
 one; the others keep only full sequences. What is released is dealt anew, to fewer partitions, and packed again,
 until one partition holds it all or the rounds end. A round that does not lower the count is not taken.
 
-Nulls: a null text is empty (only the end id); a null doc_id is kept. Repeated rows are documents of their own. Other
-columns are ignored. An empty table gives no rows.
+Nulls: a null text is empty (only the end id); a null doc_id is kept. Repeated rows are documents of their own. A very long
+text is encoded as one row and gives as many pieces as it takes; of pieces of equal size any may go first, so that plans
+may differ in order but not in number. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

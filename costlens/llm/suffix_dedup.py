@@ -17,7 +17,8 @@ input.
    goes by its bytes. Of equal strings all but the earliest repeat.
 
 Nulls: a null text is empty, a null doc_id is kept and comes first. Rows of equal doc_id count as one document: they are
-earlier or later by start alone, so that repeated rows fare alike. Other columns are ignored. An empty table gives no rows.
+earlier or later by start alone, so that repeated rows fare alike. A very long text goes through its tasks in pieces, but is
+one row. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations

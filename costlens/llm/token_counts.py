@@ -9,7 +9,8 @@ looking back, so that from a border that old and new text share, the old leaves
 
 Nulls: a null text is empty, a null doc_id is kept. Edits are (start, stop, replacement), in characters of the text,
 and must not overlap; edits of a doc_id hold for all its rows, and those of no document are ignored. Texts with characters outside the encoder's sure ones are one leaf and are encoded anew as a
-whole. Repeated rows are documents of their own; other columns are ignored, whatever their names. A very long text is one
+whole. Repeated rows are documents of their own; edits that
+start at one place are ties, which overlap and so must not occur. Other columns are ignored, whatever their names. A very long text is one
 row of the table. An empty table gives no rows.
 """
 

@@ -7,7 +7,7 @@ stored in an exception list. Frames are rows of a Parquet table (a binary column
 write, and its commit protocol, serve for them; a lost task writes its shard again.
 
 Nulls: a null text is empty, a null doc_id is kept and sorts first. Rows with equal doc_id follow each other, ordered
-by text. Other columns are ignored. An empty table gives an empty file set and no rows.
+by text. A text of more ids than a frame has a frame of its own. Other columns are ignored. An empty table gives an empty file set and no rows.
 """
 
 from __future__ import annotations

@@ -73,3 +73,21 @@ def test_counts_are_those_of_every_term_of_every_word():
             said = rng.sample(words, rng.randint(0, 50))
             grades = [max((lexicon.grade(found[t][0] - (own is True), found[t][1] - (own is False)) for t in lexicon.terms(w) if t in found), default=0) for w in said]
             assert count(", ".join(said).upper().replace("Ç", "ç"), own) == (sum(g == 2 for g in grades), sum(g > 0 for g in grades))
+
+
+def test_verdicts_read_again_from_the_list(spark):
+    """kept is what a plain reading of the learned list says of the statistics."""
+    rows = made(900)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(k, int(k % 5 > 0), int(k % 8 == 0)) for k, _ in rows if k % 3], "doc_id long, quality int, toxic int")
+    rules, marking = quality.teach(docs, labels)
+    assert rules and marking
+    features = quality.FEATURES + quality.LEXICAL
+    stats = quality.with_statistics(docs, ["doc_id"], marking).collect()
+    value = lambda r, f: float(r[f[0]]) if f[1] is None else r[f[0]] / max(r[f[1]], 1)
+    want = {}
+    for r in stats:
+        holds = lambda t: (value(r, features[t.feature]) >= t.threshold) == t.above  # noqa: B023, E731
+        failed = r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"]
+        want[r["doc_id"]] = not failed and not any(all(map(holds, rule)) for rule in rules)
+    assert {r["doc_id"]: r["kept"] for r in quality.apply(docs, labels).collect()} == want and not all(want.values())
