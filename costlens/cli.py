@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.scalars import normalized
-from .operators import audit, entities, extraction, reports, views
+from .operators import audit, entities, extraction, incremental, reports, views
 from .sources import ingest, store
 
 log = logging.getLogger("costlens")
@@ -132,6 +132,8 @@ def parser() -> argparse.ArgumentParser:
             p.add_argument("--multi-line", action=argparse.BooleanOptionalAction, default=True)
             p.add_argument("--compression", default="snappy")
             p.add_argument("--overwrite", action=argparse.BooleanOptionalAction, default=True)
+            p.add_argument("--run", help="name of the run; a run of the same name replaces what it left")
+            p.add_argument("--keep-views", action="store_true", help="bring the kept resource-day view up to date")
         else:
             p.add_argument("--year", type=int, required=True)
             p.add_argument("--month", required=True)
@@ -149,7 +151,12 @@ def main(args: list[str] | None = None) -> None:
     if a.command == "ingest":
         at = lambda path: path if "://" in path or not a.fs else a.fs.rstrip("/") + "/" + path.lstrip("/")
         spark.conf.set("spark.sql.files.maxPartitionBytes", a.batch_size * 1024)
-        log.info("%s", ingest.IngestionService(spark, at(a.output_base), a.tenant, a.compression, a.overwrite, a.multi_line).ingest(at(a.input)))
+        result = ingest.IngestionService(spark, at(a.output_base), a.tenant, a.compression, a.overwrite, a.multi_line).ingest(at(a.input), a.run)
+        log.info("%s", result)
+        if result.refused_lines:
+            log.warning("%d lines refused, see %s", result.refused_lines, ingest.dataset_path(at(a.output_base), a.tenant, ingest.REFUSED))
+        if a.keep_views:
+            incremental.refresh(spark, at(a.output_base), a.tenant, result.rows_by_day)
         return
     month = f"{int(a.month):02d}"
     if a.command == "audit":

@@ -298,6 +298,8 @@ def csv_roundtrip_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     base = f"{store.scratch(spark)}/orders-{uuid.uuid4().hex}"
     order_files(spark, sf_dir, f"{base}/in")
+    # files of another kind, which lack the mandatory columns
+    table(spark, sf_dir, "nation").repartition(2, "n_regionkey").write.csv(f"{base}/in/folder=9", header=True)
     ingest.IngestionService(spark, base, "t", multi_line=False).ingest(f"{base}/in/*/*.csv")
     return base
 
@@ -308,7 +310,7 @@ _folder = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("long")
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of each folder's files."""
     ledger = ingest.read_ledger(spark, _landed(spark, sf_dir), "t")
-    return ledger.groupBy(_folder.alias("folder")).agg(F.sum("rows").alias("n_rows"), F.sum("refused").alias("refused"), F.sum("rejected_cells").alias("rejected_cells"))
+    return ledger.groupBy(_folder.alias("folder")).agg(F.sum("rows").alias("n_rows"), F.sum("refused").alias("refused"), F.sum("rejected_cells").alias("rejected_cells"), F.max(F.col("error").startswith("file") & F.col("error").contains(" lacks BilledCost")).alias("failed"))
 
 
 def refused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

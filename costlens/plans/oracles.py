@@ -263,7 +263,7 @@ SELECT *, round(CASE WHEN num_groups + num_distinct > 0 THEN (num_members + num_
     "density": f"WITH {PHASE1_SQL} SELECT {_bin('OriginalLength', 20)} AS x_bin, {_bin('ResidualLength', 20)} AS y_bin, count(*) AS n FROM phase1 GROUP BY ALL",
     "csv_roundtrip": f"""WITH {ROLLUP_SQL} SELECT year, month, day, count(*) AS n, CAST(sum(EffectiveCost) AS DECIMAL(38,4)) AS cost, count(ResourceId) AS with_id, 'a, "b"' AS service
 FROM rollup_costs GROUP BY year, month, day""",
-    "ingest_ledger": f"WITH {ORDERS_SQL} SELECT folder, count(*) FILTER (NOT bad) AS n_rows, count(*) FILTER (bad) AS refused, count(*) FILTER (odd AND NOT bad) AS rejected_cells FROM order_costs GROUP BY folder",
+    "ingest_ledger": f"WITH {ORDERS_SQL} SELECT folder, count(*) FILTER (NOT bad) AS n_rows, count(*) FILTER (bad) AS refused, count(*) FILTER (odd AND NOT bad) AS rejected_cells, NULL::BOOLEAN AS failed FROM order_costs GROUP BY folder UNION ALL SELECT 9, 0, 0, 0, count(*) > 0 FROM nation",
     "refused_lines": f"WITH {ORDERS_SQL} SELECT folder, key, CASE key % 41 WHEN 0 THEN '3' ELSE '51' END || ' fields for 50 columns' AS reason FROM order_costs WHERE bad",
     "replayed_batches": f"""WITH {ORDERS_SQL} SELECT CAST(year(date) AS BIGINT) AS year, strftime(date, '%m') AS month, strftime(date, '%d') AS day, count(*) AS n, CAST(sum(cost) AS DECIMAL(38,2)) AS cost
 FROM order_costs WHERE NOT bad GROUP BY date""",

@@ -26,6 +26,7 @@ from . import store
 from .spec import KINDS, MANDATORY, PARTITIONS, SCHEMA, SPEC
 
 DATASET, REFUSED, LEDGER = "costs_raw", "costs_refused", "ingest_ledger"
+LEDGER_SCHEMA = "run string, file string, rows long, refused long, rejected_cells long, error string"
 #: Columns that a read frame has beside the file's own: the line if it was refused, why, and the file.
 LINE, REASON, FILE = "_corrupt_record", "_reason", "_file"
 #: Files whose headers are read at a time.
@@ -184,8 +185,9 @@ def land(rows: DataFrame, base: str, tenant: str, run: str, overwrite: bool = Tr
     write_days(stage.where(good).select(*SCHEMA.names), path, overwrite, compression, out.run)
     lines = stage.where(~good).select(F.lit(out.run).alias("run"), F.col(FILE).alias("file"), F.col(REASON).alias("reason"), F.col(LINE).alias("line"))
     named(lines, out.run).mode("append").parquet(refused)
-    named(by_file.select(F.lit(out.run).alias("run"), "*"), out.run).mode("append").parquet(ledger)
-    total = spark.read.parquet(ledger).where(F.col("run") == out.run).agg(F.count("*"), F.sum("rows"), F.sum("refused"), F.sum("rejected_cells")).first()
+    named(by_file.select(F.lit(out.run).alias("run"), "*", F.lit(None).cast("string").alias("error")), out.run).mode("append").parquet(ledger)
+    own = store.read_table(spark, f"{ledger}/{out.run}-*", LEDGER_SCHEMA)  # this run's files alone
+    total = own.agg(F.count("*"), F.sum("rows"), F.sum("refused"), F.sum("rejected_cells")).first()
     out.files_processed, out.rows_processed, out.refused_lines, out.rejected_cells = (v or 0 for v in total)
     out.rows_by_day, out.partitions_written = days, len(days)
     store.discard(stage)
@@ -198,8 +200,8 @@ def read_refused(spark: SparkSession, base: str, tenant: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, base: str, tenant: str) -> DataFrame:
-    """What became of each file: run, file, rows, refused, rejected_cells."""
-    return store.read_table(spark, dataset_path(base, tenant, LEDGER), "run string, file string, rows long, refused long, rejected_cells long")
+    """What became of each file: run, file, rows, refused, rejected_cells, and the error of one that was not read."""
+    return store.read_table(spark, dataset_path(base, tenant, LEDGER), LEDGER_SCHEMA)
 
 
 @dataclass
@@ -227,6 +229,13 @@ class IngestionService:
         with ThreadPoolExecutor(OPENED) as pool:
             return list(pool.map(one, paths))
 
+    def _record(self, failed: dict[str, str], name: str) -> None:
+        ledger = dataset_path(self.output_base, self.tenant, LEDGER)
+        forget(self.spark, [ledger], name)
+        if failed:
+            rows = self.spark.createDataFrame([(name.removesuffix("_failed"), f, 0, 0, 0, e) for f, e in failed.items()], LEDGER_SCHEMA)
+            named(rows, name).mode("append").parquet(ledger)
+
     def ingest(self, pattern: str, run: str | None = None) -> IngestResult:
         """Lands the files as a run; name it to be able to repeat it after a crash without doubling what it appended."""
         failed: dict[str, str] = {}
@@ -240,6 +249,8 @@ class IngestionService:
         for names, paths in by_header.items():
             typed = read_csv(self.spark, paths, list(names), self.multi_line)
             rows = typed if rows is None else rows.unionByName(typed, allowMissingColumns=True)
-        out = IngestResult() if rows is None else land(rows, self.output_base, self.tenant, run or uuid.uuid4().hex, self.overwrite, self.compression)
+        run = re.sub(r"[^A-Za-z0-9_.]", "_", run or uuid.uuid4().hex)
+        out = IngestResult(run=run) if rows is None else land(rows, self.output_base, self.tenant, run, self.overwrite, self.compression)
+        self._record(failed, f"{run}_failed")
         out.files_failed, out.files_processed = failed, sum(map(len, by_header.values()))
         return out

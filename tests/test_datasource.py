@@ -9,6 +9,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from costlens import cli
 from costlens.operators import incremental, views
 from costlens.sources import datasource, ingest
 from costlens.sources.spec import SCHEMA, SPEC
@@ -89,3 +90,14 @@ def test_kept_views_equal_the_full_ones(spark, base, monkeypatch):
         assert sorted(map(str, month.collect())) == sorted(map(str, views.monthly(full, 2025, "01").collect()))
     incremental.refresh(spark, str(base), "t", [])
     assert incremental.per_day(spark, str(base), "other").count() == incremental.per_month(spark, str(base), "other").count() == 0
+
+
+def test_command_line_keeps_views(spark, base, caplog):
+    rows = [cost_row(7, "r1", "5"), cost_row(8, "r1", "6")]
+    ingested(spark, base, "e", rows)
+    path = base / "e.csv"
+    path.write_text(path.read_text() + "broken,line\n")
+    for _ in range(2):
+        cli.main(["ingest", "--tenant", "u", "--output-base", str(base), "--input", str(path), "--no-overwrite", "--run", "once", "--keep-views"])
+    got = {(r["day"], str(r["TotalEffectiveCost"])) for r in incremental.per_day(spark, str(base), "u").collect()}
+    assert got == {("07", "5.0000"), ("08", "6.0000")} and ingest.read_refused(spark, str(base), "u").count() == 1

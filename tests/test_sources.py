@@ -186,6 +186,10 @@ def test_bad_lines_are_kept_apart(spark, tmp_path, cost_files):
     width = len(next(csv.reader(good.splitlines())))
     refused = {(r["line"], r["reason"], r["file"].rsplit("/", 1)[1]) for r in ingest.read_refused(spark, base, "t").collect()}
     assert refused == {("broken,line", f"2 fields for {width} columns", "good.csv"), (extra, f"{width + 1} fields for {width} columns", "good.csv"), (quoted, f"2 fields for {width} columns", "good.csv")}
+    for _ in range(2):
+        ingest.IngestionService(spark, base, "u").ingest(f"{cost_files}/bad.csv", "only bad")
+    failed = ingest.read_ledger(spark, base, "u").collect()
+    assert [(r["run"], r["rows"]) for r in failed] == [("only_bad", 0)] and "lacks BilledCost" in failed[0]["error"]
     ledger = [tuple(r) for r in ingest.read_ledger(spark, base, "t").select("run", "rows", "refused", "rejected_cells").collect()]
     assert ledger == [("first_run", 17, 3, 1)]
     assert ingest.read_ledger(spark, base, "nobody").count() == ingest.read_refused(spark, base, "nobody").count() == 0
