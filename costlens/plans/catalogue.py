@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import json_text, scalars
@@ -304,19 +304,20 @@ def _landed(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
-_folder = F.regexp_extract("file", "folder=([0-9]+)", 1).cast("long")
+def _folder() -> Column:
+    return F.regexp_extract("file", "folder=([0-9]+)", 1).cast("long").alias("folder")
 
 
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What became of each folder's files."""
     ledger = ingest.read_ledger(spark, _landed(spark, sf_dir), "t")
-    return ledger.groupBy(_folder.alias("folder")).agg(F.sum("rows").alias("n_rows"), F.sum("refused").alias("refused"), F.sum("rejected_cells").alias("rejected_cells"), F.max(F.col("error").startswith("file") & F.col("error").contains(" lacks BilledCost")).alias("failed"))
+    return ledger.groupBy(_folder()).agg(F.sum("rows").alias("n_rows"), F.sum("refused").alias("refused"), F.sum("rejected_cells").alias("rejected_cells"), F.max(F.col("error").startswith("file") & F.col("error").contains(" lacks BilledCost")).alias("failed"))
 
 
 def refused_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with more or fewer fields than the header, with file and reason."""
     lines = ingest.read_refused(spark, _landed(spark, sf_dir), "t")
-    return lines.select(_folder.alias("folder"), F.substring_index("line", ",", 1).cast("long").alias("key"), "reason")
+    return lines.select(_folder(), F.substring_index("line", ",", 1).cast("long").alias("key"), "reason")
 
 
 def replayed_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
