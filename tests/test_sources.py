@@ -201,7 +201,8 @@ def test_a_repeated_run_replaces_what_it_left(spark, tmp_path, cost_files):
     for run in ("a", "a", "b", "a"):
         service.ingest(f"{cost_files}/*.csv", run)
     assert ingest.read_days(spark, ingest.dataset_path(base, "t")).count() == 2 * 17
-    assert sorted(r["run"] for r in ingest.read_ledger(spark, base, "t").collect()) == ["a", "b"]
+    ledger = ingest.read_ledger(spark, base, "t").collect()  # of each run the file that was read and the one that was not
+    assert sorted((r["run"], r["rows"], r["error"] is None) for r in ledger) == [("a", 0, False), ("a", 17, True), ("b", 0, False), ("b", 17, True)]
 
 
 def test_stream_lands_each_batch_once(spark, tmp_path, cost_files, monkeypatch):
