@@ -1,4 +1,4 @@
-"""The corpus pipeline: quality rules, line dedup, near-dedup, benchmark decontamination, best-fit packing.
+"""The corpus pipeline: quality rules, line dedup, SimHash near-dedup, benchmark decontamination, best-fit packing.
 
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it kept and returns the columns of
 ``documents``; the last returns the packing plan. ``run`` writes each stage's result as Parquet in the shared folder and
@@ -34,7 +34,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies (five-word shingles, Jaccard 0.8): the one of least doc_id."""
+    """One document of each component, the one of least doc_id: SimHash fingerprints (op7's) link at 2 or fewer differing
+    bits, and an exact join adds the near copies that these do not see (five-word shingles, Jaccard 0.8)."""
     return near_copies.one_of_each(docs)
 
 
@@ -48,7 +49,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(docs, default_vocabulary())[0])
 
 
-STAGES = [("quality rules", quality_rules), ("line dedup", lines), ("near-dedup", near_duplicates), ("benchmark decontamination", benchmark), ("best-fit packing", packed)]
+STAGES = [("quality rules", quality_rules), ("line dedup", lines), ("SimHash near-dedup", near_duplicates), ("benchmark decontamination", benchmark), ("best-fit packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

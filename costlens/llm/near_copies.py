@@ -1,8 +1,9 @@
-r"""Near duplicates of the pipeline: documents whose sets of five-word shingles have Jaccard similarity 0.8 at least.
+r"""Near duplicates of the pipeline: SimHash links (``simhash``: fingerprints at 2 or fewer differing bits), and documents
+whose sets of five-word shingles have Jaccard similarity 0.8 at least. Components go over both.
 
-SimHash cannot decide this: texts of similarity 0.8 differ in about ten of 64 bits, and a radius wide enough for nearly
-all of them leaves parts too short to tell fingerprints apart. So the join is exact, by prefixes (see ``set_join``): in one
-order of all shingles, two such sets share one of their first n - ceil(0.8 n) + 1. The order is by hash; shingles of very
+The second kind is what SimHash does not see: texts of similarity 0.8 differ in about ten of 64 bits, and a radius wide
+enough for nearly all of them leaves parts too short to tell fingerprints apart. That join is exact, by prefixes (see
+``set_join``): in one order of all shingles, two such sets share one of their first n - ceil(0.8 n) + 1. The order is by hash; shingles of very
 many documents go last, as a table of ``CELLS`` counts over all documents tells (its size is fixed; shingles that share a
 cell with others are only taken for more frequent than they are). Tasks return what they find as links of a spanning
 forest of their similar sets, never as pairs.
@@ -22,8 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import blobs, set_join
-from .common import blocks, chosen_rows, cleaned, cut, drop, text_or_empty
+from . import blobs, set_join, simhash
+from .common import blocks, chosen_rows, cleaned, cut, drop, lower_words, text_or_empty
 from .components import components
 from .set_join import ROW, TOP, UNDER, row_batch, taken, unpack
 from .word_hash import ascending, mixed, pieces, text_words
@@ -59,15 +60,17 @@ def name_of(found: np.ndarray) -> int:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, row and, of the text's set, the name s."""
+    """doc_id, row, of the text's set the name s, and the text's SimHash fingerprint fp."""
 
     @blobs.lean
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blobs.small(batches):
-            names = np.array([name_of(found) for found in shingle_sets(b.column(2).to_pylist())], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names, pa.int64())], names=["doc_id", "row", "s"])
+            texts = b.column(2).to_pylist()
+            names = np.array([name_of(found) for found in shingle_sets(texts)], np.uint64).view(np.int64)
+            prints = [simhash.fingerprint(lower_words(t)) for t in texts]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(names, pa.int64()), pa.array(prints, pa.int64())], names=["doc_id", "row", "s", "fp"])
 
-    return docs.select("doc_id", "row", "text").mapInArrow(measure, "doc_id long, row long, s long")
+    return docs.select("doc_id", "row", "text").mapInArrow(measure, "doc_id long, row long, s long, fp long")
 
 
 def cell_of(found: np.ndarray) -> np.ndarray:
@@ -171,8 +174,15 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.RecordBatch.from_arrays([pa.array(names[linked]), pa.array(names[label[linked]])], names=["a", "b"])
 
 
-def linked(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """vertex, component of the sets that are similar to another; ``docs``: doc_id, row, text; ``names``: ``signed``."""
+def same_print(names: DataFrame) -> DataFrame:
+    """Links (a, b) that join the sets whose fingerprints are of one SimHash component, each to the least of them."""
+    members = names.join(simhash.groups(names).select("fp", "component"), "fp").select("component", "s").distinct()
+    least = members.groupBy("component").agg(F.min("s").alias("b"))
+    return members.join(least, "component").where("s <> b").select(F.col("s").alias("a"), "b")
+
+
+def similar(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """Links (a, b) of a forest over the similar sets; ``docs``: doc_id, row, text; ``names``: ``signed``."""
     spark, parts = docs.sparkSession, blocks(docs)
     table = spark.sparkContext.broadcast(frequent(docs, parts))
     tables: list[DataFrame] = []
@@ -189,14 +199,15 @@ def linked(docs: DataFrame, names: DataFrame) -> DataFrame:
     links = cut(sets.mapInArrow(_link, "a long, b long"), "near")
     for done in tables:
         drop(done)
-    return components(links)
+    return links
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """One row of ``docs`` for each component of near copies: that of least doc_id, of equal ones that of least text hash."""
+    """One row of ``docs`` for each component of near duplicates: that of least doc_id, of equal ones that of least text hash."""
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("row"), text_or_empty().alias("text"))
     names = cut(signed(named), "sets")
-    known = linked(named, names).select(F.col("vertex").alias("s"), "component")
+    links = same_print(names).unionByName(similar(named, names))
+    known = components(links).select(F.col("vertex").alias("s"), "component")
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("best")
     chosen = names.join(known, "s", "left").groupBy(F.coalesce("component", "s").alias("c")).agg(best).select("best.*")
     return chosen_rows(docs, chosen)

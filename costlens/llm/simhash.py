@@ -229,16 +229,21 @@ def links(prints: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Data
 
 
 def grouped(docs: DataFrame, keep: list[str], shingle: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
-    """Columns ``keep`` (doc_id among them) and fp of each row of ``docs``; and of each fingerprint its component, a
-    fingerprint, and the least doc_id that the component reaches."""
+    """Columns ``keep`` (doc_id among them) and fp of each row of ``docs``; and ``groups`` of these."""
     rows = cut(with_fingerprint(docs, keep, shingle), "fingerprints")
+    return rows, groups(rows)
+
+
+def groups(rows: DataFrame) -> DataFrame:
+    """Of each fingerprint of ``rows`` (fp, doc_id) its component, a fingerprint, and the least doc_id that the component
+    reaches."""
     prints = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
     found = cut(components(links(prints.select("fp"))), "components")
     members = found.withColumnRenamed("vertex", "fp").join(prints, "fp")
     ids = members.groupBy("component").agg(F.min("least").alias("component_id"))
     linked = members.join(ids, "component").select("fp", "component", "component_id")
     known = prints.join(linked, "fp", "left")
-    return rows, known.select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "least").alias("component_id"))
+    return known.select("fp", F.coalesce("component", "fp").alias("component"), F.coalesce("component_id", "least").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

@@ -64,3 +64,16 @@ def test_stage_keeps_clashing_columns(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string, row string, s int, none string")
     out = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
     assert out.columns == docs.columns and [tuple(r) for r in out.collect()] == [rows[0]]
+
+
+def test_stage_links_by_simhash(spark, sf_dir):
+    random.seed(3)
+    say = lambda n: " ".join("w" + str(random.randint(0, 10**6)) for _ in range(n))
+    chorus = " ".join([say(21)] * 60)  # outweighs the rest in the fingerprint, not in the set of shingles
+    first, second = chorus + " " + say(30), chorus + " " + say(30)
+    near = second + " one more"  # a near copy of the second alone
+    sets = [shingles(t) for t in (first, second, near)]
+    same = lambda a, b: 5 * len(a & b) >= 4 * len(a | b)
+    assert not same(sets[0], sets[1]) and not same(sets[0], sets[2]) and same(sets[1], sets[2])
+    docs = spark.createDataFrame([(7, first), (3, second), (5, near), (9, say(60))], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, sf_dir).collect()) == [3, 9]
