@@ -37,8 +37,9 @@ COSINE = 0.4
 SURE, PARAPHRASE, ANSWER = 0.75, 0.55, 0.5
 ITEMS = 500
 CHUNK = 64
-#: Documents of a batch, and entries of the sparse matrix, that are worked on at once.
-SLICE, ENTRIES = 400, 40_000
+#: Documents of a batch, and passages of the sparse matrix, that are worked on at once: so few passages share their words,
+#: and a block of them is small enough for the processor's cache.
+SLICE, BLOCK = 400, 128
 BLANKS = bytes(32 if chr(b) in " \t\n\r\x0b\x0c!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~" else b for b in range(256))
 
 
@@ -152,24 +153,19 @@ class Passages:
         norm = np.sqrt(np.add.reduceat(value * value, starts)) if len(starts) else np.zeros(0)
         return (value / np.repeat(norm, np.diff(np.append(starts, len(value))))).astype(np.float32), starts, norm
 
-    def times_matrix(self, value: np.ndarray, starts: np.ndarray, matrix: np.ndarray) -> np.ndarray:
-        """A M for the sparse rows A."""
-        out = np.empty((len(starts), matrix.shape[1]), np.float32)
-        edges = np.append(starts, len(value))
-        b = 0
-        while b < len(starts):
-            a, b = b, max(b + 1, int(np.searchsorted(edges, edges[b] + ENTRIES * RANK // max(RANK, matrix.shape[1]))) - 1)
+    def blocks(self, value: np.ndarray, starts: np.ndarray, names: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """The sparse rows by ``BLOCK``: the first one's number, the words that these have, and their columns, dense."""
+        edges, index = np.append(starts, len(value)), np.empty(names, np.int64)
+        for a in range(0, len(starts), BLOCK):
+            b = min(a + BLOCK, len(starts))
             part = slice(edges[a], edges[b])
-            out[a:b] = np.add.reduceat(value[part, None] * matrix[self.word[part]], starts[a:b] - edges[a], axis=0)
-        return out
-
-    def transposed_times(self, value: np.ndarray, dense: np.ndarray, out: np.ndarray) -> None:
-        """Adds A' D to ``out``."""
-        order = np.argsort(self.word, kind="stable")
-        for a in range(0, len(order), ENTRIES):
-            part = order[a : a + ENTRIES]
-            starts = np.flatnonzero(np.diff(self.word[part], prepend=-1))
-            out[self.word[part[starts]]] += np.add.reduceat(value[part, None] * dense[self.entry[part]], starts, axis=0)
+            seen = np.zeros(names, bool)
+            seen[self.word[part]] = True
+            used = np.flatnonzero(seen)
+            index[used] = np.arange(len(used))
+            dense = np.zeros((b - a, len(used)), np.float32)
+            dense[self.entry[part] - a, index[self.word[part]]] = value[part]
+            yield a, used, dense
 
 
 def summed(found: DataFrame, add, shape: tuple[int, int]) -> np.ndarray:
@@ -240,8 +236,8 @@ def latent_space(found: DataFrame, items: Items, weight: np.ndarray, rows: np.nd
     def power(b: pa.RecordBatch, total: np.ndarray) -> None:
         p = Passages.of(b, names)
         value, starts, _ = p.rows(weight)
-        if len(starts):
-            p.transposed_times(value, p.times_matrix(value, starts, omega), total)
+        for _, used, dense in p.blocks(value, starts, names):
+            total[used] += dense.T @ (dense @ omega[used])
 
     range_ = summed(found, power, (names, size))
     # the items' rows weigh as much as all passages
@@ -315,11 +311,8 @@ def _matches(docs: DataFrame, items: Items, schema: str) -> DataFrame:
             p = Passages.of(b.select(["n_words", "words", "places"]), names)
             value, starts, _ = p.rows(weight)
             passage, item, cosine = [], [], []
-            for at in range(0, len(starts), 20_000):
-                stop = min(at + 20_000, len(starts))
-                edge = [starts[at], starts[stop] if stop < len(starts) else len(value)]
-                part = Passages(p.doc, p.start, p.entry[edge[0] : edge[1]], p.word[edge[0] : edge[1]], p.times[edge[0] : edge[1]])
-                near = unit(part.times_matrix(value[edge[0] : edge[1]], starts[at:stop] - starts[at], space)) @ latent.T
+            for at, used, dense in p.blocks(value, starts, names):
+                near = unit(dense @ space[used]) @ latent.T
                 i, j = candidates(near)
                 passage.append(i + at)
                 item.append(j)

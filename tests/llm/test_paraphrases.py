@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from costlens.llm import decontamination as d
 
@@ -74,3 +75,22 @@ def test_nothing_is_found_without_the_latent_space(spark, sf_dir, monkeypatch):
     assert d.matches(docs, bench).count()
     monkeypatch.setattr(d, "latent_space", lambda found, items, weight, rows: np.zeros((len(weight), 4)))
     assert not d.matches(docs, bench).count()
+
+
+def test_blocks_hold_every_entry():
+    """Blocks of passages that share their words multiply as the whole matrix does."""
+    random = np.random.default_rng(5)
+    names, docs = 300, 9
+    rows = [np.sort(random.choice(4000, 900, replace=False)) for _ in range(docs)]
+    words = [random.integers(0, names, len(r)).astype(np.int32).tobytes() for r in rows]
+    batch = pa.RecordBatch.from_arrays([pa.array([4000] * docs), pa.array(words, pa.binary()), pa.array([r.astype(np.int32).tobytes() for r in rows], pa.binary())], names=["n_words", "words", "places"])
+    p = d.Passages.of(batch, names)
+    value, starts, _ = p.rows(np.ones(names))
+    whole = np.zeros((len(starts), names), np.float32)
+    whole[p.entry, p.word] = value
+    assert len(starts) > 3 * d.BLOCK
+    got = np.zeros_like(whole)
+    for at, used, dense in p.blocks(value, starts, names):
+        assert len(dense) <= d.BLOCK and (dense != 0).any(axis=0).all()
+        got[np.arange(at, at + len(dense))[:, None], used] = dense
+    assert (got == whole).all()
