@@ -18,13 +18,13 @@ COST_WORDS = ("cost", "price", "amount", "rate")
 def to_cost(text: Column) -> Column:
     """Decimal(38,32) of a text that may have dollar signs, commas and blanks; null if it is none or has over six
     integer digits."""
-    return F.regexp_replace(text, r"[$,\s]", "").try_cast("decimal(38,32)")
+    return F.translate(text, "$, \t\n\x0b\f\r", "").try_cast("decimal(38,32)")
 
 
 def to_time(text: Column) -> Column:
     """Timestamp of a text in UTC, to the second; blank gives null, what is no date gives the epoch."""
     trimmed = F.trim(text)
-    plain = F.regexp_replace(trimmed, " UTC$", "Z")
+    plain = F.when(trimmed.contains(" UTC"), F.regexp_replace(trimmed, " UTC$", "Z")).otherwise(trimmed)
     parsed = F.when(plain.rlike(r"^\d{4}-\d{1,2}-\d{1,2}"), F.try_to_timestamp(plain))
     return F.when(trimmed != "", F.date_trunc("second", F.coalesce(parsed, F.lit(EPOCH).cast("timestamp"))))
 

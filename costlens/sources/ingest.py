@@ -14,7 +14,9 @@ from __future__ import annotations
 import csv
 import re
 import uuid
+from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -112,9 +114,12 @@ def with_rejects(rows: DataFrame) -> DataFrame:
     """Rows of text columns in the specification's schema, with the partition columns of the charge's start, in _rejected
     how many cells of a row were no decimals, and what ``marked`` added, if it did."""
     start = F.coalesce("ChargePeriodStart", F.lit("1970-01-01").cast("timestamp"))
-    more = [F.col(c) for c in (LINE, REASON, FILE) if c in rows.columns]
-    typed = rows.select(*(_typed(n, k, n in rows.columns) for n, k, _ in SPEC), rejected(rows).alias("_rejected"), *more)
-    return typed.withColumns({"year": F.year(start).cast("long"), "month": F.date_format(start, "MM"), "day": F.date_format(start, "dd")})
+    more = [c for c in (LINE, REASON, FILE) if c in rows.columns]
+    costs = [n for n, k, _ in SPEC if k == "decimal" and n in rows.columns]
+    # a cell is cast once: of the cells that hold something those are rejected that gave no decimal
+    typed = rows.select(*(_typed(n, k, n in rows.columns) for n, k, _ in SPEC), _count(F.trim(F.col(f"`{n}`")) != "" for n in costs).alias("_cells"), *more)
+    rejected = F.col("_cells") - _count(F.col(n).isNotNull() for n in costs)
+    return typed.select(*(n for n, _, _ in SPEC), rejected.alias("_rejected"), *more, F.year(start).cast("long").alias("year"), F.date_format(start, "MM").alias("month"), F.date_format(start, "dd").alias("day"))
 
 
 def conform(rows: DataFrame) -> DataFrame:
@@ -122,11 +127,24 @@ def conform(rows: DataFrame) -> DataFrame:
     return with_rejects(rows).drop("_rejected")
 
 
-def rejected(rows: DataFrame) -> Column:
-    """Cells of a row whose text is no decimal."""
-    costs = [n for n, k, _ in SPEC if k == "decimal" and n in rows.columns]
-    bad = [(F.trim(F.col(f"`{n}`")) != "") & to_cost(F.col(f"`{n}`")).isNull() for n in costs]
-    return sum((F.coalesce(b, F.lit(False)).cast("int") for b in bad), F.lit(0))
+def _count(tests: Iterable[Column]) -> Column:
+    return sum((F.coalesce(t, F.lit(False)).cast("int") for t in tests), F.lit(0))
+
+
+#: The JVM interprets methods of more bytes than this, and the generated code of so many columns is longer.
+COMPILED = 8000
+
+
+@contextmanager
+def compiled(spark: SparkSession) -> Iterator[None]:
+    """While a query is run: Spark splits generated code that the JVM would not compile."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, COMPILED)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def write_days(rows: DataFrame, path: str, overwrite: bool = True, compression: str = "snappy", run: str = "part") -> None:
@@ -175,14 +193,16 @@ def land(rows: DataFrame, base: str, tenant: str, run: str, overwrite: bool = Tr
     it left. Driver and ledger hold a row for each day and file of the run."""
     spark, out = rows.sparkSession, IngestResult(run=re.sub(r"[^A-Za-z0-9_.]", "_", run))
     path, refused, ledger = (dataset_path(base, tenant, d) for d in (DATASET, REFUSED, LEDGER))
-    stage = store.held(with_rejects(rows), "staged")
+    with compiled(spark):
+        stage = store.held(with_rejects(rows), "staged")
     good, day = F.col(LINE).isNull(), F.struct(*PARTITIONS)
     by_file = stage.groupBy(F.col(FILE).alias("file")).agg(F.count_if(good).alias("rows"), F.count_if(~good).alias("refused"), F.sum(F.when(good, F.col("_rejected")).otherwise(0)).alias("rejected_cells"))
     days = {"-".join(map(str, r["d"])): r["n"] for r in stage.where(good).groupBy(day.alias("d")).agg(F.count("*").alias("n")).orderBy("d").collect()}
     forget(spark, [refused, ledger], out.run)
     if not overwrite:
         forget(spark, [f"{path}/year={y}/month={m}/day={d}" for y, m, d in (k.split("-") for k in days)], out.run)
-    write_days(stage.where(good).select(*SCHEMA.names), path, overwrite, compression, out.run)
+    with compiled(spark):
+        write_days(stage.where(good).select(*SCHEMA.names), path, overwrite, compression, out.run)
     lines = stage.where(~good).select(F.lit(out.run).alias("run"), F.col(FILE).alias("file"), F.col(REASON).alias("reason"), F.col(LINE).alias("line"))
     named(lines, out.run).mode("append").parquet(refused)
     named(by_file.select(F.lit(out.run).alias("run"), "*", F.lit(None).cast("string").alias("error")), out.run).mode("append").parquet(ledger)
