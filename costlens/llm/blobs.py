@@ -49,19 +49,31 @@ def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield b.slice(at, ROWS)
 
 
+#: Numbers of so many bytes as one or two fields of bytes that a processor moves at once; two of them overlap.
+FIELDS = {w: [(0, n)] if w == n else [(0, n), (w - n, n)] for w, n in zip(range(1, 9), (1, 2, 2, 4, 4, 4, 4, 8))}
+LAYOUT = {w: np.dtype({"names": [f"at{a}" for a, _ in f], "formats": [f"<u{n}" for _, n in f], "offsets": [a for a, _ in f], "itemsize": w}) for w, f in FIELDS.items()}
+
+
 def packed(values: np.ndarray) -> bytes:
     """Unsigned numbers at the least whole number of bytes."""
     data = np.ascontiguousarray(values, "<u8")
     width = (int(data.max()).bit_length() + 7) // 8 if len(data) else 0
-    return bytes([width]) + len(data).to_bytes(8, "little") + data.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    out = np.empty(len(data) if width else 0, LAYOUT[width or 1])
+    if width:
+        for a, _ in FIELDS[width]:
+            out[f"at{a}"] = data >> np.uint64(8 * a) if a else data
+    return bytes([width]) + len(data).to_bytes(8, "little") + out.tobytes()
 
 
 def unpacked(data: bytes) -> np.ndarray:
     width, n = data[0], int.from_bytes(data[1:9], "little")
-    out = np.zeros((n, 8), np.uint8)
-    if width:
-        out[:, :width] = np.frombuffer(data, np.uint8, n * width, 9).reshape(n, width)
-    return out.view("<u8")[:, 0]
+    if not width:
+        return np.zeros(n, np.uint64)
+    rows = np.frombuffer(data, LAYOUT[width], n, 9)
+    out = rows["at0"].astype("<u8")
+    for a, _ in FIELDS[width][1:]:
+        out |= rows[f"at{a}"].astype("<u8") << np.uint64(8 * a)
+    return out
 
 
 def steps(ascending: np.ndarray) -> bytes:

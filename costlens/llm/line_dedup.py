@@ -38,9 +38,9 @@ SALT = np.uint64(0x9E3779B97F4A7C15)
 REMOVALS = "doc_id long, row long, n_lines int, removed array<int>, match_doc array<long>, match_line array<int>, class_id long, n_links long"
 
 
-def sums(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Names of sets: sums of their words' mixed hashes."""
-    return np.add.reduceat(mixed(hashes + SALT), starts) if len(starts) else np.zeros(0, np.uint64)
+def sums(hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Names of sets: sums of their words' mixed hashes; ``at`` are the words' places in ``hashes``, which are mixed once."""
+    return np.add.reduceat(mixed(hashes + SALT)[at], starts) if len(starts) else np.zeros(0, np.uint64)
 
 
 def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts: list[bytes]) -> tuple:
@@ -50,7 +50,7 @@ def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts:
     line, at = np.divmod(ascending(np.repeat(np.arange(len(sizes)), sizes) * n + at), n)
     starts = np.flatnonzero(np.diff(line, prepend=-1))
     size, own = np.diff(np.append(starts, len(line))), line[starts]
-    _, chosen, of = np.unique(sums(hashes[at], starts) + size.astype(np.uint64), return_index=True, return_inverse=True)
+    _, chosen, of = np.unique(sums(hashes, at, starts) + size.astype(np.uint64), return_index=True, return_inverse=True)
     n = size[chosen]
     places = at[np.repeat(starts[chosen], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
     first = np.cumsum(counts) - counts
@@ -69,8 +69,7 @@ def _slabs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(found, [pa.int64()] + [pa.binary()] * 3)], names=["block", "hash", "sets", "docs"])
 
     for b in batches:
-        for i, r, t in zip(*(b.column(k).to_pylist() for k in range(3))):
-            t = t.encode("utf-8", "surrogatepass")
+        for i, r, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist()):
             if texts and size + len(t) > SLAB:
                 yield made()
                 ids, rows, texts, size, block = [], [], [], 0, block + 1
@@ -98,7 +97,7 @@ class Slab:
             self.holder = np.repeat(np.arange(len(with_words)), with_words)
 
     def names(self) -> np.ndarray:
-        return sums(self.hash[self.word], self.start)
+        return sums(self.hash, self.word, self.start)
 
     def firsts(self) -> tuple[Rows, np.ndarray]:
         """Place of each set's first line, and its lines."""
@@ -112,7 +111,8 @@ class Slab:
         """Takes the totals of all words, which come by bucket; then ``words`` knows the order by rarity."""
         answers = [blobs.unpacked(t["data"]) for t in sorted(totals, key=lambda t: t["origin"])]
         self.total = np.concatenate(answers) if answers else np.zeros(0, np.uint64)
-        self.by_rank = np.lexsort((self.hash, self.total))
+        # by total and hash, which ascends
+        self.by_rank = np.argsort(self.total, kind="stable")
         self.rank = np.empty(len(self.by_rank), np.int64)
         self.rank[self.by_rank] = np.arange(len(self.by_rank))
 
@@ -129,7 +129,7 @@ class Slab:
 def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Slab, dict]]:
     for b in batches:
         for k in range(b.num_rows):
-            data = b.slice(k, 1).to_pylist()[0]
+            data = {name: c[k].as_buffer() if pa.types.is_binary(c.type) else c[k].as_py() for name, c in zip(b.schema.names, b.columns)}
             yield Slab(data), data
 
 
@@ -164,15 +164,15 @@ def _posts(parts: int):
             slab.order(data["totals"])
             first, _ = slab.firsts()
             rank, own = slab.words(np.arange(len(slab.size)))
-            key = slab.hash[slab.by_rank][rank]
             place = np.arange(len(rank)) - slab.start[own]
             size = slab.size[own]
-            is_post = (size > UNDER - 2) & (place < size - -(-TOP * size // UNDER) + 1) & (slab.total[slab.by_rank][rank] > 1)
-            at = np.flatnonzero(is_post)
-            item = own[at]
-            bits = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(key) >> np.uint64(58)), slab.start) if len(slab.size) else key
-            rows = {"cell": key[at] >> np.uint64(16), "name": slab.names()[item], "prev": np.where(place[at] > 0, key[at - 1] >> np.uint64(24), np.uint64(0)), "bits": bits[item], "size": size[at].astype(np.uint64), "place": place[at].astype(np.uint64), "item": item.astype(np.uint64)} | dict.fromkeys(("lead", "second", "side"), np.zeros(len(at), np.uint64)) | {k: v[item] for k, v in first.items()}
-            yield row_batch([(0, b, slab.block, set_join.sent_posts(taken(rows, x))) for b, x in set_join.by_bucket(rows["cell"], parts)])
+            single = np.searchsorted(slab.total[slab.by_rank], np.uint64(1), side="right")
+            at = np.flatnonzero((size > UNDER - 2) & (place < size - -(-TOP * size // UNDER) + 1) & (rank >= single))
+            item, place, size = own[at], place[at], size[at]
+            key, prev = (slab.hash[slab.by_rank[rank[np.maximum(x, 0)]]] for x in (at, at - 1))
+            bits = np.bitwise_xor.reduceat(set_join.parities(slab.hash)[slab.word], slab.start) if len(slab.size) else slab.hash
+            rows = {"cell": key >> np.uint64(16), "name": slab.names()[item], "prev": np.where(place > 0, prev >> np.uint64(24), np.uint64(0)), "bits": bits[item], "size": size.astype(np.uint64), "place": place.astype(np.uint64), "item": item.astype(np.uint64)} | dict.fromkeys(("lead", "second", "side"), np.zeros(len(at), np.uint64)) | {k: v[item] for k, v in first.items()}
+            yield row_batch([(0, b, slab.block, set_join.sent_posts(x)) for b, x in set_join.buckets(rows, parts)])
 
     return posts
 

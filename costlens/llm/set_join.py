@@ -78,10 +78,17 @@ ROW = "kind int, target long, origin long, data binary"
 
 def by_bucket(cell: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
     """(bucket, indices ascending by cell) of 48-bit cells."""
-    order = np.argsort(cell, kind="stable")
+    order = np.argsort(cell)
     return [(b, order[i:j]) for b, i, j in blobs.slices(blobs.bucket_of(cell[order], 48, parts))]
 
 
+def buckets(rows: Rows, parts: int) -> Iterator[tuple[int, Rows]]:
+    """(bucket, its rows ascending by cell): rows are put in order once, and a bucket's are a piece of them."""
+    rows = taken(rows, np.argsort(rows["cell"]))
+    for b, i, j in blobs.slices(blobs.bucket_of(rows["cell"], 48, parts)):
+        yield b, {k: v[i:j] for k, v in rows.items()}
+
+
 def sent_posts(rows: Rows) -> bytes:
     """Posts of one block, ascending by cell."""
     return pack([np.diff(rows["cell"], prepend=rows["cell"][:1] * 0), *(rows[k] for k in POST[1:-1])])
@@ -94,6 +101,11 @@ def read_posts(data: bytes, block: int | None) -> Rows:
     return rows | {"block": rows["name"] if block is None else np.full(len(found[0]), block, np.int64).view(np.uint64)}
 
 
+def parities(words: np.ndarray) -> np.ndarray:
+    """The bit of each word's group; a set's bits are their exclusive or."""
+    return np.left_shift(np.uint64(1), mixed(words) >> np.uint64(58))
+
+
 def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Words that sets of n and m share at least."""
     return -(-TOP * (n + m) // (TOP + UNDER))
@@ -101,7 +113,7 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def distinct(rows: Rows) -> Rows:
     """Posts of cells that have several, by cell and size; of one set's posts in a cell and side only the first."""
-    at = np.argsort(rows["cell"], kind="stable")
+    at = np.argsort(rows["cell"])
     cell = rows["cell"][at]
     same = cell[1:] == cell[:-1]
     at = at[np.append(same, False) | np.append(False, same)] if len(at) else at
@@ -294,7 +306,8 @@ class Verifier:
         before = np.cumsum([0] + [len(f[len(names)]) for f in found])[:-1]
         of = rows["set"].astype(np.int64) + np.repeat(before, [len(f[0]) for f in found])
         start = np.cumsum(size) - size
-        bits = np.bitwise_xor.reduceat(np.left_shift(np.uint64(1), mixed(words) >> np.uint64(58)), start) if len(size) else words
+        kinds, self.word = np.unique(words, return_inverse=True)
+        bits = np.bitwise_xor.reduceat(parities(kinds)[self.word], start) if len(size) else words
         place = rows["place"].astype(np.int64)
         none = np.zeros(len(of), np.uint64)
         first, second = (words[start[of] + np.minimum(k, size[of] - 1)] for k in (0, 1))
@@ -302,7 +315,6 @@ class Verifier:
         self.rows = distinct(rows)
         self.n, self.set = len(self.rows["cell"]), self.rows["set"].astype(np.int64)
         self.start, self.size = start[self.set], size[self.set]
-        kinds, self.word = np.unique(words, return_inverse=True)
         self.kinds = max(1, len(kinds))
         self.table = np.sort(np.repeat(np.arange(len(size)), size) * self.kinds + self.word)
 
