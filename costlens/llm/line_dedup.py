@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from . import blobs, set_join
 from .common import blocks, cut, cut_by, drop, table, text_or_empty
 from .set_join import ROW, TOP, UNDER, Rows, pack, row_batch, taken, unpack, unzigzag, zigzag
-from .word_hash import ascending, line_words, mixed
+from .word_hash import ascending, line_words, mixed, numbered
 
 #: Bytes of text in a slab; a longer text is one by itself.
 SLAB = 3_000_000
@@ -45,7 +45,7 @@ def sums(hashes: np.ndarray, at: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def _slab(block: int, none: list[bool], doc: np.ndarray, row: np.ndarray, texts: list[bytes]) -> tuple:
     word, sizes, counts = line_words(texts)
-    hashes, at = np.unique(word, return_inverse=True)
+    hashes, at = numbered(word)
     n = max(1, len(hashes))
     line, at = np.divmod(ascending(np.repeat(np.arange(len(sizes)), sizes) * n + at), n)
     starts = np.flatnonzero(np.diff(line, prepend=-1))
@@ -88,12 +88,12 @@ class Slab:
         self.block = data["block"]
         self.hash = blobs.unstepped(data["hash"])
         size, place = unpack(data["sets"])
-        self.size, self.word = size.astype(np.int64), place.astype(np.int64)
+        self.size, self.word = size.view(np.int64), place.view(np.int64)
         self.start = np.cumsum(self.size) - self.size
         if "docs" in data:
             none, doc, self.row, *rest = unpack(data["docs"])
             self.none, self.doc, self.row = none.astype(bool), unzigzag(doc), self.row.view(np.int64)
-            self.n_lines, with_words, self.line, self.set = (x.astype(np.int64) for x in rest)
+            self.n_lines, with_words, self.line, self.set = (x.view(np.int64) for x in rest)
             self.holder = np.repeat(np.arange(len(with_words)), with_words)
 
     def names(self) -> np.ndarray:
@@ -148,7 +148,7 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     asked = [(bucket, block, *unpack(data.as_buffer())) for b in batches for bucket, block, data in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3))]
     if not asked:
         return
-    _, at = np.unique(np.concatenate([np.cumsum(k, dtype=np.uint64) for _, _, k, _ in asked]), return_inverse=True)
+    _, at = numbered(np.concatenate([np.cumsum(k, dtype=np.uint64) for _, _, k, _ in asked]))
     total = np.bincount(at, weights=np.concatenate([n for *_, n in asked]).astype(np.float64)).astype(np.int64)
     i, out = 0, []
     for bucket, block, keys, _ in asked:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import blobs
-from .word_hash import mixed
+from .word_hash import mixed, numbered, order_of
 
 #: Jaccard similarity, as a fraction.
 TOP, UNDER = 4, 5
@@ -78,13 +78,13 @@ ROW = "kind int, target long, origin long, data binary"
 
 def by_bucket(cell: np.ndarray, parts: int) -> list[tuple[int, np.ndarray]]:
     """(bucket, indices ascending by cell) of 48-bit cells."""
-    order = np.argsort(cell)
+    order = order_of(cell)
     return [(b, order[i:j]) for b, i, j in blobs.slices(blobs.bucket_of(cell[order], 48, parts))]
 
 
 def buckets(rows: Rows, parts: int) -> Iterator[tuple[int, Rows]]:
     """(bucket, its rows ascending by cell): rows are put in order once, and a bucket's are a piece of them."""
-    rows = taken(rows, np.argsort(rows["cell"]))
+    rows = taken(rows, order_of(rows["cell"]))
     for b, i, j in blobs.slices(blobs.bucket_of(rows["cell"], 48, parts)):
         yield b, {k: v[i:j] for k, v in rows.items()}
 
@@ -113,7 +113,7 @@ def needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 def distinct(rows: Rows) -> Rows:
     """Posts of cells that have several, by cell and size; of one set's posts in a cell and side only the first."""
-    at = np.argsort(rows["cell"])
+    at = order_of(rows["cell"])
     cell = rows["cell"][at]
     same = cell[1:] == cell[:-1]
     at = at[np.append(same, False) | np.append(False, same)] if len(at) else at
@@ -306,7 +306,7 @@ class Verifier:
         before = np.cumsum([0] + [len(f[len(names)]) for f in found])[:-1]
         of = rows["set"].astype(np.int64) + np.repeat(before, [len(f[0]) for f in found])
         start = np.cumsum(size) - size
-        kinds, self.word = np.unique(words, return_inverse=True)
+        kinds, self.word = numbered(words)
         bits = np.bitwise_xor.reduceat(parities(kinds)[self.word], start) if len(size) else words
         place = rows["place"].astype(np.int64)
         none = np.zeros(len(of), np.uint64)

@@ -68,6 +68,29 @@ def ascending(x: np.ndarray) -> np.ndarray:
     return x[new]
 
 
+def order_of(x: np.ndarray) -> np.ndarray:
+    """Places of unsigned numbers in ascending order. Numbers that carry their place in their low bits are sorted, which is
+    several times faster than ``argsort``; where different ones agree in all other bits, it is that after all."""
+    if not len(x):
+        return np.zeros(0, np.int64)
+    mask = np.uint64((1 << (len(x) - 1).bit_length()) - 1)
+    high = x << np.uint64(64 - int(x.max()).bit_length() & 63)
+    order = (np.sort(high & ~mask | np.arange(len(x), dtype=np.uint64)) & mask).view(np.int64)
+    found = x[order]
+    return order if (found[1:] >= found[:-1]).all() else np.argsort(x)
+
+
+def numbered(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct unsigned numbers, ascending, and the place of each number of ``x`` among them."""
+    order = order_of(x)
+    found = x[order]
+    new = np.ones(len(x), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    at = np.empty(len(x), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return found[new], at
+
+
 def pieces(texts: list[bytes]):
     """Runs of texts of about ``PIECE`` bytes in all: (first, stop)."""
     at = 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pytest
 
-from costlens.llm import blobs, line_dedup, set_join
+from costlens.llm import blobs, line_dedup, set_join, word_hash
 
 
 def test_words_are_mixed_once(monkeypatch):
@@ -44,3 +44,18 @@ def test_packed_bytes(width):
         back = blobs.unpacked(view)
         assert back.dtype == np.uint64 and back.flags.writeable and back.tolist() == values
     assert blobs.unpacked(blobs.packed(np.zeros(0, np.uint64))).tolist() == []
+
+
+def test_order_of_numbers(monkeypatch):
+    """Numbers of 64, 48 and few bits, equal ones, ones that differ in their low bits alone; ``argsort`` only for these."""
+    draw, asked, argsort = np.random.default_rng(2), [], np.argsort
+    monkeypatch.setattr(np, "argsort", lambda *a, **k: asked.append(len(a[0])) or argsort(*a, **k))
+    whole = draw.integers(0, (1 << 64) - 1, 3000, dtype=np.uint64)
+    plain = [whole, whole >> np.uint64(16), whole >> np.uint64(60), np.repeat(whole[:5], 300), whole[:1], whole[:0], whole[:9] * np.uint64(0)]
+    close = (np.uint64(1) << np.uint64(63)) + whole % np.uint64(50)
+    for x in (*plain, close):
+        order = word_hash.order_of(x)
+        assert sorted(order.tolist()) == list(range(len(x))) and x[order].tolist() == sorted(x.tolist())
+        found, at = word_hash.numbered(x)
+        assert found.tolist() == sorted(set(x.tolist())) and (found[at] == x).all()
+    assert asked == [len(close)] * 2
